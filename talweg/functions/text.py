@@ -85,11 +85,16 @@ def ascii_fold(value: Column) -> Column:
     rows that contain one (the branch is lazy).
     """
     single_from, single_to, several = _ascii_fold_tables()
-    expansions = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in several])
-    has_several = value.rlike("[" + "".join(a for a, _ in several) + "]")
+    # One literal, folded to an array of pairs when the plan is optimised.
+    table = "\x02".join(f"{a}\x03{b}" for a, b in several)
+    expansions = F.map_entries(F.str_to_map(F.lit(table), F.lit("\x02"), F.lit("\x03")))
+    # Cheap range test first, then the exact one by dictionary.
+    unusual = value.rlike(r"[\x{BC}-\x{BE}\x{132}\x{133}\x{180}-\x{10FFFF}]")
+    without = F.translate(value, "".join(a for a, _ in several), "")
+    has_several = unusual & (F.length(without) < F.length(value))
     expanded = F.when(
         has_several,
-        F.aggregate(expansions, value, lambda text, pair: F.replace(text, pair["a"], pair["b"])),
+        F.aggregate(expansions, value, lambda text, pair: F.replace(text, pair["key"], pair["value"])),
     ).otherwise(value)
     folded = F.regexp_replace(F.translate(expanded, single_from, single_to), r"[^\x00-\x7F]", "")
     return F.when(value.rlike(r"[^\x00-\x7F]"), folded).otherwise(value)

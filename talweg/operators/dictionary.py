@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from talweg.functions.text import attribute_key, lookup_key, stringify
 from talweg.operators.scale import broadcast_if_small
 
-GENERIC_THEME = "aecom"  # fixed value: theme key of descriptions shared by all layers
+GENERIC_THEME = "generic"  # theme key of descriptions shared by all layers
 
 
 def prefixed(name: Column) -> Column:
@@ -21,20 +21,22 @@ def unprefixed(name: Column) -> Column:
     return F.regexp_replace(attribute_key(name), "^sdb_", "")
 
 
-def descriptions(rows: DataFrame, order_by: str) -> DataFrame:
+def descriptions(rows: DataFrame, order_by: str, derived_prefix: str = "derived") -> DataFrame:
     """Rows (theme, namespace, name, description): first non-empty wins per name.
 
     Each entry counts under its original and its derived name; a missing
     description is borrowed from the other one.
     """
-    original, derived = stringify(F.col("original_description")), stringify(F.col("aecom_description"))
+    original, derived = stringify(F.col("original_description")), stringify(
+        F.col(f"{derived_prefix}_description")
+    )
     entry = lambda space, name, own, other: F.struct(
         F.lit(space).alias("namespace"), attribute_key(F.col(name)).alias("name"),
         F.when(own != "", own).otherwise(other).alias("description"),
     )
     both = F.array(
         entry("original", "original_attribute_name", original, derived),
-        entry("aecom", "aecom_attribute_name", derived, original),
+        entry("derived", f"{derived_prefix}_attribute_name", derived, original),
     )
     long = rows.select(
         lookup_key(F.col("theme")).alias("theme"), F.col(order_by).alias("at"), F.explode(both).alias("e")
@@ -43,14 +45,16 @@ def descriptions(rows: DataFrame, order_by: str) -> DataFrame:
     return long.groupBy("theme", "namespace", "name").agg(F.coalesce(first, F.lit("")).alias("description"))
 
 
-def resolve_descriptions(fields: DataFrame, dictionary: DataFrame, stage: str = "silver") -> DataFrame:
+def resolve_descriptions(
+    fields: DataFrame, dictionary: DataFrame, stage: str = "silver", generic_theme: str = GENERIC_THEME
+) -> DataFrame:
     """Description of rows (theme, field): the best of the ordered candidate names.
 
     One join on the exploded candidates, then the non-empty one with the lowest
     priority; derived fields fall back to the generic theme.
     """
     key = attribute_key(F.col("field"))
-    own, generic = lookup_key(F.col("theme")), F.lit(GENERIC_THEME)
+    own, generic = lookup_key(F.col("theme")), F.lit(generic_theme)
     derived = key.startswith("acm_")
 
     def candidate(order, theme, namespace, name, when=F.lit(True)):
@@ -62,15 +66,15 @@ def resolve_descriptions(fields: DataFrame, dictionary: DataFrame, stage: str =
 
     def preferring(namespace, theme, base, when):
         if namespace == "original":
-            names = (("original", key), ("aecom", prefixed(F.col("field"))), ("aecom", key))
+            names = (("original", key), ("derived", prefixed(F.col("field"))), ("derived", key))
         else:
-            names = (("aecom", key), ("aecom", prefixed(F.col("field"))),
+            names = (("derived", key), ("derived", prefixed(F.col("field"))),
                      ("original", unprefixed(F.col("field"))), ("original", key))
         return [candidate(base + i, theme, n, c, when) for i, (n, c) in enumerate(names)]
 
-    plain = "original" if stage == "bronze" else "aecom"
+    plain = "original" if stage == "bronze" else "derived"
     options = (
-        preferring("aecom", own, 0, derived) + preferring("aecom", generic, 10, derived)
+        preferring("derived", own, 0, derived) + preferring("derived", generic, 10, derived)
         + preferring(plain, own, 0, ~derived)
     )
     asked = fields.select("theme", "field").distinct()

@@ -94,6 +94,9 @@ def similar_pairs(values: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
         F.when(F.col("a_id") < F.col("b_id"), F.col("a_text")).otherwise(F.col("b_text")).alias("e_text"),
         F.when(F.col("a_id") < F.col("b_id"), F.col("b_text")).otherwise(F.col("a_text")).alias("l_text"),
     ).distinct()
+    # Edit distance never exceeds the unmatched characters, so this drops no pair.
+    slack = _slack(F.length("e_text") + F.length("l_text"), cutoff)
+    ordered = ordered.filter(F.levenshtein("e_text", "l_text") <= slack)
     return ordered.withColumn("score", similarity("e_text", "l_text")).filter(F.col("score") >= cutoff)
 
 

@@ -12,7 +12,7 @@ from talweg.functions.text import (
     alias_stem, canonical_domain_text, looks_like_mojibake, repair_mojibake, rule_key, strip,
 )
 from talweg.operators.domains import classify
-from talweg.operators.scale import broadcast_if_small
+from talweg.operators.scale import broadcast_if_small, stage
 
 
 def generate_domain(df: DataFrame, column: str) -> DataFrame:
@@ -124,10 +124,12 @@ def autofix_domain(invalid: DataFrame, accepted: DataFrame) -> DataFrame:
     # Values with one comparison key: the first decides, later ones are known by then.
     firsts = items.groupBy("column", "norm").agg(F.min_by(F.struct("value", "text", "broken", "rank"), "rank").alias("i"))
     items = firsts.select("column", "norm", "i.*").withColumn("key", rule_key(F.col("text")))
-    items = items.withColumn("stem", alias_stem(F.col("text")))
+    items = stage(items.withColumn("stem", alias_stem(F.col("text"))))
 
     known = accepted.select("column", "canonical").distinct()
-    known = known.withColumn("key", rule_key(F.col("canonical"))).withColumn("stem", alias_stem(F.col("canonical")))
+    known = stage(
+        known.withColumn("key", rule_key(F.col("canonical"))).withColumn("stem", alias_stem(F.col("canonical")))
+    )
     by_key = broadcast_if_small(known.groupBy("column", "key").agg(F.max("canonical").alias("known_text")))
     by_stem = known.filter("stem != ''").groupBy("column", "stem").agg(
         F.count(F.lit(1)).alias("a0"), F.min("canonical").alias("sole")
@@ -167,7 +169,7 @@ def autofix_domain(invalid: DataFrame, accepted: DataFrame) -> DataFrame:
         .when(single, F.struct(F.lit("alias").alias("kind"), base.alias("canonical")))
         .otherwise(F.struct(F.lit("accepted").alias("kind"), F.col("value").alias("canonical")))
     )
-    items = items.withColumn("plain", F.when(~F.col("broken"), plain))
+    items = stage(items.withColumn("plain", F.when(~F.col("broken"), plain)))
     # A repair takes an accepted text with its key if one exists by then, else it adds its own.
     taken = items.filter("plain.kind = 'accepted'").select(
         "column", F.col("norm").alias("key"), F.col("value").alias("plain_text"), F.col("rank").alias("plain_rank")

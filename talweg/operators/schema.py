@@ -300,6 +300,6 @@ __all__ = [
     "ColumnRule", "Conformed", "TableSchema", "apply_legacy_aliases", "backfill_derived",
     "boolean_text", "changed_columns", "coerced", "columns_are_normalized", "conform",
     "date_only_columns", "derived_name", "error_rows", "infer_schema", "keep_changed",
-    "matches_dtype", "missing_columns", "normalize_columns", "store_dates", "structure_diff",
+    "matches_dtype", "missing_columns", "normalize_columns", "source_name", "store_dates", "structure_diff",
     "unexpected_columns",
 ]
