@@ -29,7 +29,7 @@ def status_flags(status: Column) -> Column:
     text = lookup_key(status)
     planned = scheduled_for(status).isNotNull()
     bare = F.regexp_replace(F.regexp_replace(text, SCHEDULE_PATTERN, "$1"), r"^[ \-,;]+|[ \-,;]+$", "")
-    parts = F.transform(F.split(F.when(planned, bare).otherwise(text), "[-,;]"), F.trim)
+    parts = F.transform(F.split(F.when(planned, bare).otherwise(text), "[-,;]"), lambda part: F.trim(part))
     flags = F.filter(parts, lambda part: part != "")
     return F.array_sort(
         F.array_distinct(F.when(planned, F.array_append(flags, F.lit("schedule"))).otherwise(flags))

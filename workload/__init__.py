@@ -1,0 +1,29 @@
+"""Registered queries over the given tables, each with an equivalent SQL text where one exists."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from talweg.session import ship_package
+from workload import audits, columns, control, domains, geometry, layers, texts
+
+MODULES = (columns, texts, domains, audits, geometry, control, layers)
+
+
+def _ready(query):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    run.__doc__ = query.__doc__
+    return run
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {name: _ready(q) for module in MODULES for name, q in module.QUERIES.items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {name: sql for module in MODULES for name, sql in module.ORACLES.items()}

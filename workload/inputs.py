@@ -104,6 +104,14 @@ REGION_SQL = """
 """
 
 
+# Lowest region code at the position of a customer key.
+POINT_BOXES_SQL = (
+    "SELECT k, min(code) AS code FROM (SELECT DISTINCT o_custkey AS k, {x} AS px, {y} AS py FROM orders) p JOIN ("
+    + REGION_SQL
+    + ") r ON px BETWEEN rx0 AND rx1 AND py BETWEEN ry0 AND ry1 GROUP BY k"
+)
+
+
 def control_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers as control rows with good and bad statuses, paths, themes and metadata."""
     return table(spark, sf_dir, "supplier").selectExpr(
