@@ -11,7 +11,7 @@ import unicodedata
 from collections.abc import Callable
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -221,15 +221,17 @@ CONDITION_LABELS = {
 CONDITION_CUTOFF = 0.8
 
 
-@F.pandas_udf(StringType())
-def _closest_condition(keys: pd.Series) -> pd.Series:
+@F.arrow_udf(StringType())
+def _closest_condition(keys: pa.Array) -> pa.Array:
     from difflib import get_close_matches
 
-    found = {}
-    for key in keys.dropna().unique():
-        close = get_close_matches(key, list(CONDITION_LABELS), n=1, cutoff=CONDITION_CUTOFF)
-        found[key] = CONDITION_LABELS[close[0]] if close else None
-    return keys.map(found)
+    coded = keys.dictionary_encode()
+    found = [
+        get_close_matches(key, list(CONDITION_LABELS), n=1, cutoff=CONDITION_CUTOFF)
+        for key in coded.dictionary.to_pylist()
+    ]
+    labels = pa.array([CONDITION_LABELS[f[0]] if f else None for f in found], pa.string())
+    return labels.take(coded.indices)
 
 
 def condition_label(value: Column) -> Column:

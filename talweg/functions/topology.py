@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 
 VECTOR_LIMIT = 64  # rings up to this many segments are tested as one batch per size
@@ -81,21 +83,38 @@ def ring_clash(ring: np.ndarray):
     spike = (_orient(a, b, after) == 0) & (((b - a) * (after - b)).sum(axis=1) < 0)
     if spike.any():
         return b[np.flatnonzero(spike)[0]], True
-    boxes = _segment_boxes(a, b)
     touch = None
+    for i, j in _meeting_pairs(a, b):
+        if segments_cross(a[i : i + 1], b[i : i + 1], a[j : j + 1], b[j : j + 1])[0]:
+            return crossing_point(a[i], b[i], a[j], b[j]), True
+        if touch is None:
+            touch = crossing_point(a[i], b[i], a[j], b[j])
+    return (touch, False) if touch is not None else None
+
+
+@lru_cache(maxsize=VECTOR_LIMIT)
+def _apart(m: int):
+    """Index pairs of the segments of a closed ring that are not neighbours."""
+    i, j = np.triu_indices(m, 2)
+    keep = ~((i == 0) & (j == m - 1))
+    return i[keep], j[keep]
+
+
+def _meeting_pairs(a, b):
+    """Non-neighbouring segments of a closed ring that share a point."""
+    m = len(a)
+    if m <= VECTOR_LIMIT:
+        i, j = _apart(m)
+        hit = segments_meet(a[i], b[i], a[j], b[j])
+        yield from zip(i[hit], j[hit])
+        return
+    boxes = _segment_boxes(a, b)
     for i, js in candidate_pairs(boxes, boxes):
         js = js[(js > i + 1) & ~((i == 0) & (js == m - 1))]
-        if not len(js):
-            continue
-        p, q = np.broadcast_to(a[i], (len(js), 2)), np.broadcast_to(b[i], (len(js), 2))
-        hit = js[segments_meet(p, q, a[js], b[js])]
-        if len(hit):
-            j = hit[0]
-            if segments_cross(a[i : i + 1], b[i : i + 1], a[j : j + 1], b[j : j + 1])[0]:
-                return crossing_point(a[i], b[i], a[j], b[j]), True
-            if touch is None:
-                touch = crossing_point(a[i], b[i], a[j], b[j])
-    return (touch, False) if touch is not None else None
+        if len(js):
+            p, q = np.broadcast_to(a[i], (len(js), 2)), np.broadcast_to(b[i], (len(js), 2))
+            for j in js[segments_meet(p, q, a[js], b[js])]:
+                yield i, j
 
 
 def crossing_point(p, q, r, s):
@@ -123,9 +142,7 @@ def simple_rings(xy: np.ndarray, starts: np.ndarray, rings: np.ndarray) -> np.nd
         if m < 3:
             continue
         if m <= VECTOR_LIMIT:
-            i, j = np.triu_indices(m, 2)
-            keep = ~((i == 0) & (j == m - 1))
-            i, j = i[keep], j[keep]
+            i, j = _apart(m)
             block = max(1, 2_000_000 // max(1, len(i)))
             for at in range(0, len(members), block):
                 rows = members[at : at + block]
@@ -305,14 +322,12 @@ def loops(ring: np.ndarray) -> list[np.ndarray]:
     """Node a closed ring at its self-contacts and split it into simple loops."""
     a, b = ring[:-1], ring[1:]
     cuts: list[list] = [[] for _ in a]
-    boxes = _segment_boxes(a, b)
-    for i, js in candidate_pairs(boxes, boxes):
-        for j in js[js > i]:
-            p, q, r, s = a[i], b[i], a[j], b[j]
-            if segments_meet(p[None], q[None], r[None], s[None])[0]:
-                point = crossing_point(p, q, r, s)
-                cuts[i].append(point)
-                cuts[j].append(point)
+    m = len(a)
+    neighbours = [(i, (i + 1) % m) for i in range(m)]
+    for i, j in [*_meeting_pairs(a, b), *neighbours]:
+        point = crossing_point(a[i], b[i], a[j], b[j])
+        cuts[i].append(point)
+        cuts[j].append(point)
     path = []
     for i, extra in enumerate(cuts):
         path.append(a[i])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talweg.functions.text import rule_key, strip
-from talweg.operators.scale import broadcast_if_small
+from talweg.operators.scale import checked_side
 
 # Reasons of a classification.
 NULL_VALUE, BLANK_VALUE = "Valor nulo.", "Valor vazio."
@@ -36,17 +36,21 @@ def domain_lookup(values: DataFrame, aliases: DataFrame, by: list[str]) -> DataF
     )
 
 
-def classify(df: DataFrame, column: str, lookup: DataFrame, out: str = "domain") -> DataFrame:
+def classify(
+    df: DataFrame, column: str, lookup: DataFrame, out: str = "domain", small: bool | None = None
+) -> DataFrame:
     """Add ``out`` = struct(value, status, reason) for a column, given its (key, canonical, by_alias).
 
-    A left join on the comparison key; the lookup is broadcast after a size
-    check, otherwise the join shuffles and adaptive execution splits hot values.
+    A left join on the comparison key; the lookup is broadcast after a size check
+    (``small`` tells the outcome when the caller has checked), otherwise the join
+    shuffles and adaptive execution splits hot values.
     """
     source = F.col(f"`{column}`")
     text = strip(source.cast("string"))
-    side = broadcast_if_small(
+    side = checked_side(
         lookup.select(F.col("key").alias("_key"), F.col("canonical").alias("_canonical"),
-                      F.col("by_alias").alias("_alias"))
+                      F.col("by_alias").alias("_alias")),
+        small,
     )
     keyed = df.withColumn("_key", F.when(text != "", rule_key(text)))
     return (

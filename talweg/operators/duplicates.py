@@ -28,10 +28,11 @@ def geometry_key(column: str = GEOMETRY) -> Column:
 
 
 def flag_duplicates(
-    df: DataFrame, key: Column, out: str, row_key: list[str], hot_rows: int = HOT_ROWS
+    df: DataFrame, key: Column, out: str, row_key: list[str], hot_rows: int = HOT_ROWS,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """All members of a group of equal rows flagged; ``row_key`` spreads large groups."""
-    joined = with_group_facts(df, key, [], F.col("_n") > 1, row_key, hot_rows=hot_rows)
+    joined = with_group_facts(df, key, [], F.col("_n") > 1, row_key, hot_rows=hot_rows, base=base)
     return joined.withColumn(out, F.col("_n").isNotNull()).drop("_n")
 
 
@@ -59,9 +60,10 @@ def flag_repeats(
 
 
 def flag_geometric_duplicates(
-    df: DataFrame, out: str = "dup_geometry", row_key: list[str] | None = None, hot_rows: int = HOT_ROWS
+    df: DataFrame, out: str = "dup_geometry", row_key: list[str] | None = None, hot_rows: int = HOT_ROWS,
+    base: DataFrame | None = None,
 ) -> DataFrame:
-    return flag_duplicates(df, geometry_key(), out, row_key or [ID_COLUMN], hot_rows)
+    return flag_duplicates(df, geometry_key(), out, row_key or [ID_COLUMN], hot_rows, base)
 
 
 def flag_record_duplicates(

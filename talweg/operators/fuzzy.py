@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,20 +13,20 @@ from talweg.operators.scale import stage
 CUTOFF = 0.9
 
 
-@F.pandas_udf(T.DoubleType())
-def similarity(candidate: pd.Series, text: pd.Series) -> pd.Series:
+@F.arrow_udf(T.DoubleType())
+def similarity(candidate: pa.Array, text: pa.Array) -> pa.Array:
     """Ratcliff/Obershelp ratio of two texts."""
     from difflib import SequenceMatcher
 
     matcher = SequenceMatcher()
     out, last = [], None
-    for one, two in zip(candidate, text):
+    for one, two in zip(candidate.to_pylist(), text.to_pylist()):
         if two != last:
             matcher.set_seq2(two)
             last = two
         matcher.set_seq1(one)
         out.append(matcher.ratio())
-    return pd.Series(out)
+    return pa.array(out, pa.float64())
 
 
 def _slack(total, cutoff):

@@ -26,8 +26,9 @@ def add_sequential_id(
     Rows are range-partitioned and sorted once and staged, which freezes the
     partitions; ids are then partition offset plus position.
     """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = stage(
-        df.repartitionByRange(*order_by)
+        df.repartitionByRange(parts, *order_by)
         .sortWithinPartitions(*order_by)
         .withColumn("_at", F.monotonically_increasing_id())
     )

@@ -103,7 +103,7 @@ def quality_reports(
         shapes = df
         if config.full_record_duplicate_flag:
             shapes = flag_record_duplicates(shapes, row_key=row_key)
-        shapes = flag_geometric_duplicates(shapes, row_key=row_key).filter("dup_geometry").drop("dup_geometry")
+        shapes = flag_geometric_duplicates(shapes, row_key=row_key, base=df).filter("dup_geometry").drop("dup_geometry")
     if config.ogc_invalid_geometries:
         invalid = ogc_invalid_records(df)
     return QualityReports(attributes, shapes, invalid)

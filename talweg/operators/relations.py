@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from talweg.operators.scale import broadcast_if_small
+from talweg.operators.scale import checked_side
 
 UNCHECKED_REASON = "Valor fonte fora do dominio configurado para {name}."
 NULL_LABEL = "<NULL>"
@@ -38,15 +38,16 @@ def resolve_relation(name: str, columns: list[str]) -> Relation | None:
 
 
 def enforce_relation(
-    df: DataFrame, relation: Relation, pairs: DataFrame, source: str, target: str, status: str
+    df: DataFrame, relation: Relation, pairs: DataFrame, source: str, target: str, status: str,
+    small: bool | None = None,
 ) -> DataFrame:
     """Force column ``target`` to the mapped value of ``source``; ``status`` tells what happened.
 
     ``pairs(src_value, dst_value)`` has one row per source value; it is broadcast
     after a size check. Relations on one target are applied one after another.
     """
-    side = broadcast_if_small(
-        pairs.select(F.col("src_value").alias("_src"), F.col("dst_value").alias("_dst"))
+    side = checked_side(
+        pairs.select(F.col("src_value").alias("_src"), F.col("dst_value").alias("_dst")), small
     )
     joined = df.join(side, F.col(f"`{source}`").cast("string") == F.col("_src"), "left")
     current = F.col(f"`{target}`")

@@ -19,6 +19,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def checked_side(df: DataFrame, small: bool | None = None) -> DataFrame:
+    """Join side with a broadcast hint when it is known, or found by counting, to be small."""
+    if small is None:
+        return broadcast_if_small(df)
+    return F.broadcast(df) if small else df
+
+
 def staging_folder(spark: SparkSession) -> str:
     """A fresh folder in the shared checkpoint location the cluster names."""
     base = spark.conf.get("spark.checkpoint.dir", "")
@@ -53,16 +60,19 @@ def with_group_facts(
     *,
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Attach per-group aggregates to every row, without gathering a group anywhere.
 
     ``facts`` aggregate with map-side combine next to the group size ``_n``; only
     groups that satisfy ``having`` take part in the join back. The largest groups
     (``HOT_GROUPS`` at most, by construction of the top-k) are salted by
-    ``spread_by`` on the row side and repeated per salt on the group side.
+    ``spread_by`` on the row side and repeated per salt on the group side. ``base``
+    holds the same rows when ``df`` already carries joins that grouping can skip.
     """
     keyed = df.withColumn("_key", key)
-    groups = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), *facts).filter(having)
+    source = keyed if base is None else base.withColumn("_key", key)
+    groups = source.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), *facts).filter(having)
     hot = (
         groups.filter(F.col("_n") >= hot_rows)
         .orderBy(F.desc("_n"), "_key")

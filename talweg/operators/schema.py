@@ -261,17 +261,21 @@ def store_dates(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(f"`{c}`").cast("date") for c in only}) if only else df
 
 
+def change_tests(pairs: Mapping[str, str]) -> dict[str, Column]:
+    """Aggregates that tell whether a derived column differs from its source anywhere."""
+    return {
+        derived: F.coalesce(
+            F.bool_or(~F.col(f"`{derived}`").eqNullSafe(F.col(f"`{source}`"))), F.lit(False)
+        )
+        for derived, source in pairs.items()
+    }
+
+
 def changed_columns(df: DataFrame, pairs: Mapping[str, str]) -> set[str]:
     """Which derived columns differ from their source anywhere, in one aggregate."""
     if not pairs:
         return set()
-    tests = [
-        F.coalesce(
-            F.bool_or(~F.col(f"`{derived}`").eqNullSafe(F.col(f"`{source}`"))), F.lit(False)
-        ).alias(derived)
-        for derived, source in pairs.items()
-    ]
-    row = df.agg(*tests).first()
+    row = df.agg(*[test.alias(name) for name, test in change_tests(pairs).items()]).first()
     return {derived for derived in pairs if row[derived]}
 
 
@@ -298,7 +302,7 @@ def backfill_derived(df: DataFrame) -> DataFrame:
 
 __all__ = [
     "ColumnRule", "Conformed", "TableSchema", "apply_legacy_aliases", "backfill_derived",
-    "boolean_text", "changed_columns", "coerced", "columns_are_normalized", "conform",
+    "boolean_text", "change_tests", "changed_columns", "coerced", "columns_are_normalized", "conform",
     "date_only_columns", "derived_name", "error_rows", "infer_schema", "keep_changed",
     "matches_dtype", "missing_columns", "normalize_columns", "source_name", "store_dates", "structure_diff",
     "unexpected_columns",

@@ -101,7 +101,8 @@ def _scaled(value: Column, unit: float) -> Column:
     return F.rint(value / F.lit(unit) * F.lit(1e6)) / F.lit(1e6)
 
 
-def _metric_values(facts: Column) -> dict[str, Column]:
+def metric_values(facts: Column) -> dict[str, Column]:
+    """Area (ha), perimeter (km) and centroid columns of a facts struct."""
     return {
         AREA: F.when(facts["finite"], _scaled(facts["area_m2"], 10000.0)),
         PERIMETER: F.when(facts["finite"], _scaled(facts["length_m"], 1000.0)),
@@ -115,7 +116,7 @@ def spatial_metrics(df: DataFrame, measure: bool = True) -> DataFrame:
 
     ``measure`` is off for point layers, which have no area or perimeter columns.
     """
-    values = _metric_values(F.col(_FACTS))
+    values = metric_values(F.col(_FACTS))
     wanted = values if measure else {k: values[k] for k in (LONGITUDE, LATITUDE)}
     return with_facts(df).withColumns(wanted).drop(_FACTS)
 
@@ -133,7 +134,7 @@ def fill_missing_metrics(df: DataFrame) -> DataFrame:
         lacking = lacking | F.col(name).isNull()
     lacking = lacking & F.col(GEOMETRY).isNotNull()
     facts = g.geometry_facts(F.when(lacking, F.col(GEOMETRY)))
-    values = _metric_values(F.col(_FACTS))
+    values = metric_values(F.col(_FACTS))
     return (
         df.withColumn("_lacking", lacking)
         .withColumn(_FACTS, facts)
@@ -288,7 +289,7 @@ def clip_to_states(df: DataFrame, state: str | Column, out: str = "clip_status")
     work = work.withColumn(
         out, F.when(clipped, "clipped").when(F.col("_beyond"), "outside").otherwise("kept")
     )
-    values = _metric_values(F.col("_new"))
+    values = metric_values(F.col("_new"))
     refreshed = [c for c in values if c in df.columns]
     if refreshed:
         work = work.withColumn("_new", g.geometry_facts(F.col("_clip"))).withColumns(

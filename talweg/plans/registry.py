@@ -19,28 +19,37 @@ from talweg.operators.spatial_join import assign_regions
 from talweg.sources.rules import RuleTables
 
 
+BROADCAST_CHARACTERS = 32 << 20
+
+
 @dataclass
 class RuleContext:
     """Rules of one profile, and what the functions of a run leave behind."""
 
     rules: RuleTables
+    config: dict
     theme: str = ""
     regions: DataFrame | None = None
     row_key: str = "acm_id"
-    domains: set[str] = field(default_factory=set)
-    relations: list[str] = field(default_factory=list)
     derived: dict[str, str] = field(default_factory=dict)     # derived column -> source column
     classified: dict[str, str] = field(default_factory=dict)  # column -> struct column
     related: list[tuple[str, str, str]] = field(default_factory=list)  # relation, source, status column
     log: list[tuple[str, str, str]] = field(default_factory=list)      # column, function, outcome
 
-    def __post_init__(self):
-        # Configuration only: column and relation names of one profile.
-        self.domains = {r["column"] for r in self.rules.domain_values.select("column").distinct().collect()} | {
-            r["column"] for r in self.rules.domain_aliases.select("column").distinct().collect()
-        }
-        names = self.rules.relation_pairs.groupBy("relation").agg(F.min("relation_position").alias("p"))
-        self.relations = [r["relation"] for r in names.orderBy("p", "relation").collect()]
+    @property
+    def domains(self) -> list[str]:
+        return self.config.get("domains") or []
+
+    @property
+    def relations(self) -> list[str]:
+        return self.config.get("relations") or []
+
+    @property
+    def small(self) -> bool:
+        """Rule components are small enough to broadcast any lookup built from them."""
+        return all(
+            self.config["sizes"].get(part, 0) <= BROADCAST_CHARACTERS for part in ("domains", "relations")
+        )
 
     def lookup(self, column: str) -> DataFrame:
         here = F.col("column") == column
@@ -57,7 +66,7 @@ def validate_domain(df: DataFrame, column: str, ctx: RuleContext) -> DataFrame:
     if column not in ctx.domains:
         return df
     out, target = f"__domain_{column}", derived_name(column)
-    df = classify(df, column, ctx.lookup(column), out).withColumn(target, F.col(f"`{out}`.value"))
+    df = classify(df, column, ctx.lookup(column), out, ctx.small).withColumn(target, F.col(f"`{out}`.value"))
     ctx.classified[column] = out
     ctx.derived[target] = column
     sources = [c for c in df.columns if not c.startswith("__")]
@@ -70,13 +79,13 @@ def validate_domain(df: DataFrame, column: str, ctx: RuleContext) -> DataFrame:
         if known in df.columns:
             df = df.withColumn(effective, F.col(f"`{known}`").cast("string"))
         elif relation.source in ctx.domains:
-            df = classify(df, relation.source, ctx.lookup(relation.source), "_s").withColumn(
+            df = classify(df, relation.source, ctx.lookup(relation.source), "_s", ctx.small).withColumn(
                 effective, F.col("_s.value")
             ).drop("_s")
         else:
             df = df.withColumn(effective, F.col(f"`{relation.source}`").cast("string"))
         pairs = ctx.rules.relation_pairs.filter(F.col("relation") == name)
-        df = rel.enforce_relation(df, relation, pairs, effective, target, status)
+        df = rel.enforce_relation(df, relation, pairs, effective, target, status, ctx.small)
         ctx.related.append((name, effective, status))
     return df
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from talweg.functions.naming import FID_COLUMN, GEOMETRY, ID_COLUMN
+from talweg.functions.naming import AREA, FID_COLUMN, ID_COLUMN, PERIMETER, REPAIR_FLAG
 from talweg.functions.text import collapse
 from talweg.operators import schema as sc
 from talweg.operators import spatial as sp
@@ -18,7 +18,7 @@ from talweg.operators.mining import autofix_domain, mine_relation
 from talweg.operators.quality import QualityConfig
 from talweg.operators.relations import relation_summary, resolve_relation
 from talweg.plans.registry import RuleContext, apply_column_functions, apply_postprocess
-from talweg.sources.rules import RuleTables
+from talweg.sources.rules import RuleTables, profile_config
 
 RELOCATE = "relocate_outside_brazil_bounds_to_centroid"  # fixed value: profile switch
 
@@ -40,30 +40,21 @@ class Profile:
     postprocess: list[str]
     relocate: bool
     quality: QualityConfig
+    config: dict
 
     @classmethod
     def of(cls, rules: RuleTables, name: str) -> "Profile":
-        mine = rules.of(name)
-        head = mine.profiles.first()
-        columns = {
-            r["column"]: sc.ColumnRule(r["dtype"], r["required"], r["nullable"])
-            for r in mine.schema_columns.collect()
-        }
-        option = mine.schema_options.first()
-        if option is not None:
-            schema = sc.TableSchema(columns, option["require_geometry"], option["allow_extra_columns"])
-        else:
-            domains = {r["column"] for r in mine.domain_values.select("column").distinct().collect()}
-            schema = sc.TableSchema.from_config({}, sorted(domains))
-        functions: dict[str, list[str]] = {}
-        for row in mine.column_functions.orderBy("column", "position").collect():
-            functions.setdefault(row["column"], []).append(row["function"])
-        options = mine.options.orderBy("position", "name").collect()
+        config = profile_config(rules, name)
+        treatment = config.get("treatment", {})
         return cls(
-            name, (head["theme"] or name.rsplit("/", 1)[-1]) if head else name, schema, functions,
-            [r["name"] for r in options if r["kind"] == "postprocess"],
-            any(r["kind"] == "output" and r["name"] == RELOCATE and r["enabled"] for r in options),
-            QualityConfig.from_profile({r["name"]: r["enabled"] for r in options if r["kind"] == "quality"}),
+            name,
+            config.get("profile", {}).get("theme_folder") or name.rsplit("/", 1)[-1],
+            sc.TableSchema.from_config(config.get("input_schema"), config.get("domains") or ()),
+            {c: list(f) for c, f in treatment.get("auto_functions", {}).items()},
+            list(treatment.get("postprocess_functions", [])),
+            treatment.get("output_adjustments", {}).get(RELOCATE) is True,
+            QualityConfig.from_profile(treatment.get("quality_outputs")),
+            config,
         )
 
 
@@ -120,22 +111,25 @@ def clean_whitespace(df: DataFrame) -> DataFrame:
     return df.withColumns({c: collapse(F.col(f"`{c}`")) for c in texts}) if texts else df
 
 
-def mandatory_treatments(df: DataFrame, measure: bool) -> DataFrame:
-    """White space, reprojection, 2-D, area, perimeter and centroid; ids are assigned before."""
-    df = sp.force_2d(sp.reproject(clean_whitespace(df)))
-    return sp.spatial_metrics(df, measure=measure)
+DIMS, MEASURABLE = "__dims", "__measurable"
+
 
+def mandatory_treatments(df: DataFrame) -> DataFrame:
+    """White space, reprojection, metrics and 2-D; one look at each geometry.
 
-def treatment_stats(df: DataFrame) -> dict:
-    """Row counts the log reports and the measurable test, from one pass over the geometry."""
+    Metrics need only x and y, so they are taken together with the dimension before
+    Z and M are dropped. Two hidden columns keep what the run statistics need.
+    """
     facts = F.col("_facts")
-    row = sp.with_facts(df.select(GEOMETRY)).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if((facts["dims"] > 2) & ~facts["is_empty"]).alias("forced_to_2d"),
-        F.coalesce(F.bool_or(sp.measurable(facts)), F.lit(False)).alias("measurable"),
-    ).first()
-    skipped = 0 if row["measurable"] else row["rows"]
-    return {**row.asDict(), "skipped_point_measurements": skipped}
+    looked = sp.with_facts(sp.reproject(clean_whitespace(df)))
+    measured = looked.withColumns(
+        {
+            **sp.metric_values(facts),
+            DIMS: F.when(~facts["is_empty"], facts["dims"]),
+            MEASURABLE: F.coalesce(sp.measurable(facts), F.lit(False)),
+        }
+    )
+    return sp.force_2d(measured.drop("_facts"))
 
 
 def prepare_input(df: DataFrame, profile: Profile) -> DataFrame:
@@ -157,20 +151,32 @@ def treat(
     """Treat a feature table by a rule profile.
 
     ``order_by`` names the input columns (before renaming) whose order the ids
-    follow. Actions taken while planning: the schema aggregate, the staged id
-    assignment, one geometry aggregate and one changed-columns aggregate.
+    follow. Everything row-local runs in one pass that ends in the staged table
+    which also fixes the ids; what depends on all rows (which derived columns
+    changed, whether the layer is measurable) is one aggregate over a few columns
+    of that table, and the joins that follow read it instead of recomputing.
     """
     profile = Profile.of(rules, profile_name)
-    ctx = RuleContext(rules.of(profile_name), theme=profile.theme, regions=regions)
+    ctx = RuleContext(rules.of(profile_name), profile.config, theme=profile.theme, regions=regions)
     ordered = [sc.source_name(c) if isinstance(c, str) else c for c in order_by]
-    prepared = add_sequential_id(prepare_input(df, profile), ordered, start=id_start)
-    stats = treatment_stats(prepared)
-    treated = mandatory_treatments(prepared, measure=stats["measurable"])
+    treated = mandatory_treatments(prepare_input(df, profile))
     treated = apply_column_functions(treated, profile.functions, ctx)
-    changed = sc.changed_columns(treated, ctx.derived)
-    hidden = [c for c in treated.columns if c.startswith("__")]
-    final = treated.drop(*hidden, *(set(ctx.derived) - changed))
+    treated = add_sequential_id(sp.repair_geometries(treated), ordered, start=id_start)
+
+    tests = {
+        "rows": F.count(F.lit(1)),
+        "forced_to_2d": F.count_if(F.col(DIMS) > 2),
+        "measurable": F.coalesce(F.bool_or(MEASURABLE), F.lit(False)),
+        **sc.change_tests(ctx.derived),
+    }
+    found = treated.agg(*[test.alias(name) for name, test in tests.items()]).first()
+    stats = {name: found[name] for name in ("rows", "forced_to_2d", "measurable")}
+    stats["skipped_point_measurements"] = 0 if stats["measurable"] else stats["rows"]
+    unchanged = [column for column in ctx.derived if not found[column]]
+    absent = [] if stats["measurable"] else [AREA, PERIMETER]
+
+    hidden = [c for c in treated.columns if c.startswith("__") and c != REPAIR_FLAG]
+    final = treated.drop(*hidden, *unchanged, *absent)
     final = sc.backfill_derived(final).withColumn(FID_COLUMN, F.col(ID_COLUMN))
-    final = sp.repair_geometries(final)
     final = sp.fill_missing_metrics(apply_postprocess(final, profile.postprocess, ctx))
     return TreatmentResult(final.drop("__clip"), ctx, profile, treated, stats)

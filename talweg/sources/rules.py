@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,7 @@ class RuleTables:
     relation_pairs: DataFrame    # profile, relation, relation_position, src_value, dst_value
     column_functions: DataFrame  # profile, column, position, function
     options: DataFrame           # profile, kind, name, enabled, position
+    bundles: DataFrame           # profile, component, body
 
     def of(self, profile: str) -> "RuleTables":
         """Rules of one profile."""
@@ -110,7 +112,33 @@ def rule_tables(bundles: DataFrame) -> RuleTables:
         )
     )
     return RuleTables(profiles, schema_columns, schema_options, domain_values, domain_aliases,
-                      relation_pairs, column_functions, options)
+                      relation_pairs, column_functions, options, bundles)
+
+
+def profile_config(rules: RuleTables, profile: str) -> dict:
+    """Settings of one profile in one small read: everything but domain values and relation pairs.
+
+    Of those only the names and the size of the component come back, which bounds
+    the size of every lookup built from it.
+    """
+    body = F.col("body")
+    names = F.when(
+        F.col("component") == "domains.json",
+        F.to_json(F.json_object_keys(F.get_json_object(body, "$.fields"))),
+    ).when(
+        F.col("component") == "relations.json",
+        F.to_json(F.json_object_keys(F.get_json_object(body, "$.relations"))),
+    ).otherwise(body)
+    found = (
+        rules.bundles.filter(F.col("profile") == profile)
+        .select("component", names.alias("body"), F.length(body).alias("size")).collect()
+    )
+    config: dict = {"sizes": {}}
+    for row in found:
+        part = row["component"].removesuffix(".json")
+        config[part] = json.loads(row["body"]) if row["body"] else {}
+        config["sizes"][part] = row["size"]
+    return config
 
 
 def load_rules(spark: SparkSession, path: str) -> RuleTables:

@@ -10,10 +10,18 @@ from pyspark.sql import functions as F
 SUFFIXES = (".parquet", ".gpkg")
 
 
-def scan(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """A feature table in its Parquet form; a column list prunes the scan, geometry included."""
+def scan(
+    spark: SparkSession, path: str, columns: list[str] | None = None, spread: bool = False
+) -> DataFrame:
+    """A feature table in its Parquet form; a column list prunes the scan, geometry included.
+
+    ``spread`` redistributes an input whose files make fewer partitions than there are
+    cores, which pays before geometry work; larger inputs are left as they are split.
+    """
     df = spark.read.parquet(path)
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if spread and df.rdd.getNumPartitions() < cores else df
 
 
 def scan_many(spark: SparkSession, paths: list[str], recursive: bool = False,

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from talweg.functions.naming import AREA, PERIMETER
 from talweg.operators import schema as sc
 from talweg.plans.registry import RuleContext, apply_column_functions
 from talweg.plans.treatment import Profile, mandatory_treatments
@@ -17,8 +18,9 @@ from talweg.sources.rules import RuleTables
 
 def treat_stream(df: DataFrame, rules: RuleTables, profile_name: str, measure: bool = True) -> DataFrame:
     profile = Profile.of(rules, profile_name)
-    ctx = RuleContext(rules.of(profile_name), theme=profile.theme)
-    treated = mandatory_treatments(sc.normalize_columns(df), measure=measure)
+    ctx = RuleContext(rules.of(profile_name), profile.config, theme=profile.theme)
+    treated = mandatory_treatments(sc.normalize_columns(df))
     treated = apply_column_functions(treated, profile.functions, ctx)
     hidden = [c for c in treated.columns if c.startswith("__")]
-    return sc.backfill_derived(treated.drop(*hidden))
+    absent = () if measure else (AREA, PERIMETER)
+    return sc.backfill_derived(treated.drop(*hidden, *absent))

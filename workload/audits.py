@@ -8,7 +8,7 @@ from talweg.functions import geometry as g
 from talweg.operators import duplicates as dup
 from talweg.operators import quality as q
 from talweg.operators.spatial import repair_geometries
-from workload.inputs import Registry, table
+from workload.inputs import Registry, spread_table, table
 
 QUERIES = Registry()
 ORACLES = QUERIES.sql
@@ -52,7 +52,7 @@ POINT_SQL = "CASE WHEN o_orderkey % 13 <> 0 THEN concat(o_custkey % 300, '/', o_
 
 def order_points(spark, sf):
     point = g.make_point((F.col("o_custkey") % 300).cast("double"), (F.col("o_custkey") % 7).cast("double"))
-    return table(spark, sf, "orders").select(
+    return spread_table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("acm_id"), "o_orderstatus", "o_orderpriority",
         F.when(F.col("o_orderkey") % 13 != 0, point).alias("geometry"), F.lit(4326).alias("srid"),
     )
@@ -127,7 +127,7 @@ def ring_cases(spark, sf):
         F.array(y, y, y), F.array(y, y, y + 1, y + 1, y), F.array(y, y, y, y, y + 1, y),
         F.array(y, y, y + 1, y + 1, y),
     )
-    return table(spark, sf, "orders").select(
+    return spread_table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("acm_id"), case.alias("kind"),
         F.when(case != 7, g.make_polygon(xs, ys)).alias("geometry"), F.lit(4326).alias("srid"),
         x.alias("x"), y.alias("y"),

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talweg.functions import geometry as g
+from talweg.sources.tables import scan
 
 
 class Registry(dict):
@@ -30,7 +31,12 @@ class Registry(dict):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return scan(spark, f"{sf_dir}/{name}.parquet")
+
+
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table about to carry geometries: over all cores even when it is one small file."""
+    return scan(spark, f"{sf_dir}/{name}.parquet", spread=True)
 
 
 def rows(spark: SparkSession, ddl: str, *values) -> DataFrame:
@@ -54,7 +60,7 @@ def lat(key: str) -> Column:
 def customer_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as points; every 11th has no geometry."""
     points = g.make_point(lon("c_custkey"), lat("c_custkey"))
-    return table(spark, sf_dir, "customer").withColumn(
+    return spread_table(spark, sf_dir, "customer").withColumn(
         "geometry", F.when(F.col("c_custkey") % 11 != 0, points)
     ).withColumn("srid", F.lit(4326))
 
@@ -68,7 +74,7 @@ BOX_SQL = """
 
 
 def customer_corners(spark: SparkSession, sf_dir: str) -> DataFrame:
-    corners = table(spark, sf_dir, "customer").withColumns({"x0": lon("c_custkey"), "y0": lat("c_custkey")})
+    corners = spread_table(spark, sf_dir, "customer").withColumns({"x0": lon("c_custkey"), "y0": lat("c_custkey")})
     return corners.withColumns(
         {
             "x1": F.expr("x0 + (1 + c_custkey % 20) / 20.0D"),

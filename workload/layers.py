@@ -13,7 +13,7 @@ from talweg.plans.treatment import TreatmentResult, treat
 from talweg.sources import sinks
 from talweg.sources.rules import rule_tables
 from talweg.sources.tables import resolve_paths, scan_many
-from workload.inputs import BOX_SQL, LAT_SQL, LON_SQL, POINT_BOXES_SQL, Registry, customer_boxes, lat, lon, nation_regions, rows, table
+from workload.inputs import BOX_SQL, LAT_SQL, LON_SQL, POINT_BOXES_SQL, Registry, customer_boxes, lat, lon, nation_regions, rows, spread_table, table
 
 QUERIES = Registry()
 ORACLES = QUERIES.sql
@@ -147,7 +147,7 @@ def order_rules(spark: SparkSession):
 
 def order_layer(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as a point layer with untidy attributes."""
-    return table(spark, sf, "orders").select(
+    return spread_table(spark, sf, "orders").select(
         F.col("o_orderkey").cast("string").alias("Key"),
         F.when(F.col("o_orderkey") % 10 == 0, F.lit(None)).otherwise(F.concat(F.lit(" "), "o_orderstatus", F.lit("  "))).alias("status"),
         F.when(F.col("o_orderkey") % 4 == 0, "encerr.").otherwise("Aberto").alias("label"),
@@ -220,12 +220,11 @@ def treated_rule_deltas(spark, sf):
     "SELECT count(*) AS rows, 0 AS forced_to_2d, count(*) AS skipped_point_measurements FROM orders"
 )
 def treated_stats(spark, sf):
-    """Per-record statistics of the treatment, from its one geometry aggregate."""
-    from talweg.operators import spatial as sp
+    """Per-record statistics of the treatment."""
+    from talweg.plans.treatment import DIMS, MEASURABLE
 
-    layer = order_layer(spark, sf)
-    kinds = sp.with_facts(layer, "f").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("f.dims") > 2).cast("int").alias("forced_to_2d"),
-        F.bool_or(sp.measurable(F.col("f"))).alias("m"),
+    audited = treated_layer(spark, sf).audited
+    return audited.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col(DIMS) > 2).cast("int").alias("forced_to_2d"),
+        F.when(F.bool_or(MEASURABLE), F.lit(0)).otherwise(F.count(F.lit(1))).alias("skipped_point_measurements"),
     )
-    return kinds.select("rows", "forced_to_2d", F.when(F.col("m"), 0).otherwise(F.col("rows")).alias("skipped_point_measurements"))
