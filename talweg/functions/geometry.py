@@ -37,8 +37,7 @@ def _doubles(values, valid):
     return pa.array(values, pa.float64(), mask=~valid)
 
 
-@F.arrow_udf(FACTS)
-def geometry_facts(wkb: pa.Array) -> pa.Array:
+def _facts(wkb: pa.Array) -> pa.Array:
     """Type, dimension, bounds, centroid, and projected area and length of geographic geometries."""
     s = sh.read_shapes(wkb)
     box = sh.bounds(s)
@@ -62,6 +61,12 @@ def geometry_facts(wkb: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays(list(facts.values()), list(facts))
 
 
+geometry_facts = F.arrow_udf(_facts, FACTS)
+# For results that are filtered and then used: not being pushed through the
+# projection, the filter sees the computed column instead of a second evaluation.
+geometry_facts_once = F.arrow_udf(_facts, FACTS).asNondeterministic()
+
+
 def _map_present(wkb: pa.Array, use) -> pa.Array:
     return pa.array([None if raw is None else use(raw) for raw in wkb.to_pylist()], pa.binary())
 
@@ -109,8 +114,7 @@ def to_geographic(wkb: pa.Array, srid: pa.Array) -> pa.Array:
     return pa.array(out, pa.binary())
 
 
-@F.arrow_udf(T.ArrayType(T.StringType()))
-def _ogc_errors(wkb: pa.Array, crs: pa.Array, geographic: pa.Array) -> pa.Array:
+def _errors(wkb: pa.Array, crs: pa.Array, geographic: pa.Array) -> pa.Array:
     s = sh.read_shapes(wkb)
     flags = np.array(geographic.to_pylist(), bool)
     quick = validity.quick_valid(s, flags)
@@ -122,6 +126,10 @@ def _ogc_errors(wkb: pa.Array, crs: pa.Array, geographic: pa.Array) -> pa.Array:
     )
 
 
+# Errors are nearly always filtered by their size, so they are planned like ``geometry_facts_once``.
+_ogc_errors = F.arrow_udf(_errors, T.ArrayType(T.StringType())).asNondeterministic()
+
+
 def ogc_errors(
     wkb: Column, srid: Column, expected_srid: int | None = None, expected_crs: str | None = None
 ) -> Column:

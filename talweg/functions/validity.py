@@ -41,9 +41,11 @@ def _path_errors(path, label, minimum, closed):
     errors = []
     if len(path) < minimum:
         errors.append(FEW_POINTS.format(label=label, count=len(path)))
-    for row, axis in np.argwhere(~np.isfinite(path)):
-        errors.append(BAD_ORDINATE.format(label=label, axis=axis, value=path[row, axis]))
-    if len({tuple(p) for p in path[:, :2].tolist()}) < 2:
+    finite = np.isfinite(path)
+    if not finite.all():
+        for row, axis in np.argwhere(~finite):
+            errors.append(BAD_ORDINATE.format(label=label, axis=axis, value=path[row, axis]))
+    if len(path) < 2 or (path[1:, :2] == path[0, :2]).all():
         errors.append(FEW_DISTINCT.format(label=label))
     if closed and len(path) and (path[0] != path[-1]).any():
         errors.append(OPEN_RING.format(label=label))

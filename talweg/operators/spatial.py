@@ -47,8 +47,10 @@ STATE_BOUNDS = {
 _FACTS = "_facts"
 
 
-def with_facts(df: DataFrame, out: str = _FACTS) -> DataFrame:
-    return df.withColumn(out, g.geometry_facts(F.col(GEOMETRY)))
+def with_facts(df: DataFrame, out: str = _FACTS, once: bool = False) -> DataFrame:
+    """Facts struct of every geometry; ``once`` where rows are filtered by it right after."""
+    facts = g.geometry_facts_once if once else g.geometry_facts
+    return df.withColumn(out, facts(F.col(GEOMETRY)))
 
 
 def reproject(df: DataFrame, assumed_srid: int = SIRGAS2000) -> DataFrame:
@@ -234,7 +236,7 @@ def intersects_region(df: DataFrame, region: Region, out: str) -> DataFrame:
         sure = F.lit(False)
     undecided = F.when(overlap & ~sure, F.col(GEOMETRY))
     tested = F.coalesce(g.intersects(undecided, F.lit(shape)), F.lit(False))
-    return with_facts(df).withColumn(out, F.coalesce(overlap & (sure | tested), F.lit(False))).drop(_FACTS)
+    return with_facts(df, once=True).withColumn(out, F.coalesce(overlap & (sure | tested), F.lit(False))).drop(_FACTS)
 
 
 def filter_to_region(df: DataFrame, region: Region = Region()) -> DataFrame:

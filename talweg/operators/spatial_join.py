@@ -118,7 +118,7 @@ def intersecting_pairs(
 
     f = F.col("f")
     left = (
-        features.select(F.col(row_key), F.col(GEOMETRY), g.geometry_facts(F.col(GEOMETRY)).alias("f"))
+        features.select(F.col(row_key), F.col(GEOMETRY), g.geometry_facts_once(F.col(GEOMETRY)).alias("f"))
         .filter("f.finite")
         .select(row_key, GEOMETRY, f["kind"].alias("kind"), f["minx"].alias("x0"), f["miny"].alias("y0"),
                 f["maxx"].alias("x1"), f["maxy"].alias("y1"))
@@ -162,7 +162,7 @@ def _region_cells(regions: DataFrame, size: float, top: int) -> DataFrame:
     bounds = [F.col(c) for c in ("rx0", "ry0", "rx1", "ry1")]
     boxed = (
         regions.select("code", "name", "uf", F.col(GEOMETRY).alias("r_geometry"),
-                       g.geometry_facts(F.col(GEOMETRY)).alias("f"))
+                       g.geometry_facts_once(F.col(GEOMETRY)).alias("f"))
         .filter("f.finite")
         .select("code", "name", "uf", "r_geometry", f["minx"].alias("rx0"), f["miny"].alias("ry0"),
                 f["maxx"].alias("rx1"), f["maxy"].alias("ry1"))
