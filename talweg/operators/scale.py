@@ -30,6 +30,8 @@ def staging_folder(spark: SparkSession) -> str:
     """A fresh folder in the shared checkpoint location the cluster names."""
     base = spark.conf.get("spark.checkpoint.dir", "")
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="spark-talweg-stage-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/talweg/{uuid.uuid4().hex}"
@@ -70,6 +72,9 @@ def with_group_facts(
     ``spread_by`` on the row side and repeated per salt on the group side. ``base``
     holds the same rows when ``df`` already carries joins that grouping can skip.
     """
+    # A key that is never null keeps join filters off the group side, so its one
+    # shuffle is reused by the top-k and both joins.
+    key = F.coalesce(key, F.lit(""))
     keyed = df.withColumn("_key", key)
     source = keyed if base is None else base.withColumn("_key", key)
     groups = source.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), *facts).filter(having)
