@@ -11,6 +11,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -25,7 +26,7 @@ FEATURES, PENALTY, SEED, STEPS = 192, 1e-3, 20, 1024
 THRESHOLD = 0.3
 STATISTICS = (
     "log_bytes", "log_words", "word_bytes", "word_bytes_sd", "upper", "digit", "space", "comma_stop", "mark", "symbol",
-    "wide", "control", "distinct_words", "top_word", "short_words", "upper_words", "marked_words", "repeated_threes",
+    "wide", "control", "distinct_words", "top_word", "short_words", "upper_words", "marked_words", "echoed_words", "repeated_threes",
     "log_lines", "repeated_lines", "line_words", "deflated",
 )
 
@@ -62,7 +63,7 @@ def statistics(text: bytes) -> list[float]:
         kinds[7] / size, kinds[8] / size,
         len(counts) / n, max(counts.values(), default=0) / n, sum(lengths <= 1) / n,
         sum(c for w, c in counts.items() if w.isupper() and len(w) > 1) / n, sum(c for w, c in counts.items() if w[-1] in _MARKED) / n,
-        1 - len(threes) / max(1, len(words) - 2), np.log1p(len(lines)), 1 - len(set(lines)) / len(lines), len(words) / len(lines),
+        sum(map(eq, words, words[1:])) / n, 1 - len(threes) / max(1, len(words) - 2), np.log1p(len(lines)), 1 - len(set(lines)) / len(lines), len(words) / len(lines),
         sum(len(zlib.compress(text[i : i + _BLOCK], 1)) for i in range(0, size, _BLOCK)) / size,
     ]
 
