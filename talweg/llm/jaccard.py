@@ -4,8 +4,8 @@ A token (a shingle) XORs its hash into the sketch, so a token that two documents
 difference, and the sketches differ in at most as many places as the sets differ in tokens. Two sketches
 are used. The blocked one has a 64-bit word in each of ``m`` pieces; a token goes to one piece. At the asked
 similarity, sets of a size band differ in at most ``d`` tokens, so with ``m = d + 1 + s`` pieces at least ``s + 1`` agree:
-documents are joined on equal pieces. The flat one flips one of 512 bits for a token; its Hamming distance drops
-candidates before texts are compared. Every candidate is verified on the whole texts.
+documents are joined on equal pieces. The flat one has at least two bits for each token of the set, of which the token flips
+one; its Hamming distance drops candidates before texts are compared. Of two lengths, the longer one is folded. Every candidate is verified on the whole texts.
 
 Weak pieces, with hardly any token, agree by chance. A document leaves them out if it has at most ``s`` of them; then
 one of the pieces that agree is left, else all are given, so no link is lost.
@@ -27,7 +27,7 @@ from talweg.llm.components import connected
 
 #: Words in a shingle, and the least similarity in hundredths.
 WORDS, LEAST = 4, 85
-#: Bits of the flat sketch; tokens up to which a piece is weak; spare pieces for each needed one.
+#: Least bits of the flat sketch; tokens up to which a piece is weak; spare pieces for each needed one.
 BITS, WEAK, SPARE = 512, 2, 0.2
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -88,10 +88,16 @@ def signatures(tokens: np.ndarray, bands: Bands) -> np.ndarray:
 
 
 def _flat_sketch(tokens: np.ndarray) -> np.ndarray:
-    odd = (np.bincount((tokens & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1).astype(np.uint8)
+    bits = max(BITS, 1 << (2 * len(tokens) - 1).bit_length())
+    odd = (np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)
     return np.packbits(odd).view(np.int64)
 
 
+def _folded(flat: np.ndarray, words: int) -> np.ndarray:
+    """The sketch that the same tokens give with fewer bits."""
+    return np.bitwise_xor.reduce(flat.reshape(-1, words), axis=0)
+
+
 def sketch(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame:
     """(doc, n, digest, flat, keys) of every row; the digest is that of the words in order."""
 
@@ -149,7 +155,7 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _with_sketches(pairs: DataFrame, facts: DataFrame) -> DataFrame:
-    """Pairs (a, b) that sizes and flat sketches allow, without exact copies."""
+    """Pairs (a, b) with the sizes and flat sketches of both."""
     for side in ("a", "b"):
         own = facts.select(F.col("doc").alias(side), F.col("n").alias(f"n_{side}"), F.col("flat").alias(f"flat_{side}"))
         pairs = pairs.join(own, side)
@@ -157,10 +163,21 @@ def _with_sketches(pairs: DataFrame, facts: DataFrame) -> DataFrame:
 
 
 def _allowed(pairs: DataFrame, least: int) -> DataFrame:
-    distance = F.expr("aggregate(zip_with(flat_a, flat_b, (x, y) -> bit_count(x ^ y)), 0, (s, c) -> s + c)")
-    return pairs.filter(100 * F.least("n_a", "n_b") >= least * F.greatest("n_a", "n_b")).filter(
-        (100 + least) * distance <= (100 - least) * (F.col("n_a") + F.col("n_b"))
-    ).select("a", "b")
+    """Pairs whose sizes and flat sketches are near enough for a link."""
+    close = pairs.filter(100 * F.least("n_a", "n_b") >= least * F.greatest("n_a", "n_b"))
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            sizes = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            flats = (batch.column(i).to_numpy(zero_copy_only=False) for i in (4, 5))
+            for both, one, other in zip(sizes, *flats, strict=True):
+                words = min(len(one), len(other))
+                far = int(np.bitwise_count((_folded(one, words) ^ _folded(other, words)).view(np.uint64)).sum())
+                keep.append((100 + least) * far <= (100 - least) * both)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return close.select("a", "b", "n_a", "n_b", "flat_a", "flat_b").mapInArrow(near, "a long, b long")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, words: int, least: int) -> DataFrame:
@@ -187,6 +204,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, least: int) -> Data
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(verified, "a long, b long")
 
 
+def _blocks(start: int, stop: int, step: int) -> Iterator[tuple[int, int]]:
+    return ((i, min(stop, i + step)) for i in range(start, stop, step))
+
+
 def _across(least: int):
     """Candidates in a bucket between documents that are not connected yet, by label groups."""
 
@@ -195,18 +216,19 @@ def _across(least: int):
         labels, docs, sizes, flats = labels[order], docs[order], sizes[order], flats[order]
         ends = np.r_[np.flatnonzero(labels[1:] != labels[:-1]) + 1, len(labels)]
         begin = 0
-        for end in ends[:-1]:  # a group against all later ones, a few rows at once
-            for i in range(begin, end, 64):
-                j = min(end, i + 64)
-                far = np.bitwise_count(flats[i:j, None, :] ^ flats[None, end:, :]).sum(axis=2, dtype=np.int64)
-                a, b = sizes[i:j, None], sizes[None, end:]
-                x, y = np.nonzero(
-                    ((100 + least) * far <= (100 - least) * (a + b)) & (100 * np.minimum(a, b) >= least * np.maximum(a, b))
-                )
-                if len(x):
-                    one, other = docs[i:j][x], docs[end:][y]
+        words = flats.shape[1]
+        for end in ends[:-1]:  # a group against all later ones, in blocks of bounded size
+            for i, j in _blocks(begin, end, 64):
+                for m, n in _blocks(end, len(labels), max(64, (1 << 14) // words)):
+                    far = np.bitwise_count(flats[i:j, None] ^ flats[None, m:n]).sum(axis=2, dtype=np.int64)
+                    a, b = sizes[i:j, None], sizes[None, m:n]
+                    x, y = np.nonzero(
+                        ((100 + least) * far <= (100 - least) * (a + b)) & (100 * np.minimum(a, b) >= least * np.maximum(a, b))
+                    )
+                    one, other = docs[i:j][x], docs[m:n][y]
                     fresh = (one != heads) & (other != heads)  # pairs with the head were verified before
-                    yield np.stack([np.minimum(one, other)[fresh], np.maximum(one, other)[fresh]])
+                    if fresh.any():
+                        yield np.stack([np.minimum(one, other)[fresh], np.maximum(one, other)[fresh]])
             begin = end
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +236,9 @@ def _across(least: int):
 
         def flush() -> Iterator[pa.RecordBatch]:
             whole = pa.Table.from_batches(held)
-            flats = np.stack(whole.column("flat").combine_chunks().to_numpy(zero_copy_only=False)).view(np.uint64)
+            flats = whole.column("flat").combine_chunks().to_numpy(zero_copy_only=False)
+            words = min(map(len, flats))
+            flats = np.stack([_folded(f, words) for f in flats]).view(np.uint64)
             numbers = {c: whole.column(c).to_numpy() for c in ("label", "doc", "n")}
             for found in bucket(numbers["label"], numbers["doc"], numbers["n"], flats, whole.column("head")[0].as_py()):
                 yield pa.RecordBatch.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64())], ["a", "b"])
