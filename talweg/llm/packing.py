@@ -162,25 +162,25 @@ def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def _packed(items: DataFrame, count: int, together: int, capacity: int, round_: int) -> DataFrame:
-    """Deal ``count`` items into partitions and pack each: columns lot, bin, place, left, bins, bound are added."""
+    """Deal ``count`` items into partitions and pack each: working columns are added."""
     lots = max(1, -(-count // together))
-    dealt = items.withColumn("lot", F.pmod(F.xxhash64("row", F.lit(round_)), F.lit(lots)))
+    dealt = items.withColumn("__lot", F.pmod(F.xxhash64("__row", F.lit(round_)), F.lit(lots)))
 
     def packed(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("row", ignore_index=True)
+        frame = frame.sort_values("__row", ignore_index=True)
         sizes = frame["length"].to_numpy()
         bins, places, left = best_fit(sizes, capacity)
         return frame.assign(
-            bin=bins, place=places, left=left[bins], bins=len(left), bound=lower_bound(np.bincount(sizes, minlength=capacity + 1))
+            __bin=bins, __place=places, __left=left[bins], __bins=len(left), __bound=lower_bound(np.bincount(sizes, minlength=capacity + 1))
         )
 
     kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dealt.schema.fields)
-    return stage(dealt.groupBy("lot").applyInPandas(packed, f"{kind}, bin long, place long, left long, bins long, bound long"))
+    return stage(dealt.groupBy("__lot").applyInPandas(packed, f"{kind}, __bin long, __place long, __left long, __bins long, __bound long"))
 
 
 def _totals(packed: DataFrame) -> tuple[int, int]:
     """Bins and sum of the bounds over all partitions."""
-    row = packed.select("lot", "bins", "bound").distinct().agg(F.sum("bins"), F.sum("bound")).first()
+    row = packed.select("__lot", "__bins", "__bound").distinct().agg(F.sum("__bins"), F.sum("__bound")).first()
     return row[0] or 0, row[1] or 0
 
 
@@ -191,8 +191,8 @@ def pack(pieces: DataFrame, capacity: int = LENGTH, together: int = TOGETHER, ro
     exchange gains nothing, or after ``rounds`` exchanges. An empty table gives an empty result.
     """
     columns = pieces.columns
-    items = stage(pieces.withColumn("row", F.monotonically_increasing_id()))
-    own = items.filter(F.col("length") == capacity).select(*columns, (-1 - F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    items = stage(pieces.withColumn("__row", F.monotonically_increasing_id()))
+    own = items.filter(F.col("length") == capacity).select(*columns, (-1 - F.col("__row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     rest = items.filter(F.col("length") < capacity)
     counts = np.zeros(capacity + 1, np.int64)
     for row in rest.groupBy("length").count().collect():  # at most ``capacity`` rows
@@ -200,8 +200,8 @@ def pack(pieces: DataFrame, capacity: int = LENGTH, together: int = TOGETHER, ro
     goal = lower_bound(counts)
 
     def numbered(packed: DataFrame, round_: int) -> DataFrame:
-        number = F.lit(round_ << 58) + F.shiftleft(F.col("lot"), 24) + F.col("bin")
-        return packed.select(*columns, number.alias("sequence_id"), F.col("place").alias("offset"))
+        number = F.lit(round_ << 58) + F.shiftleft(F.col("__lot"), 24) + F.col("__bin")
+        return packed.select(*columns, number.alias("sequence_id"), F.col("__place").alias("offset"))
 
     now = _packed(rest, int(counts.sum()), together, capacity, 0)
     bins, bounds = _totals(now)
@@ -210,17 +210,17 @@ def pack(pieces: DataFrame, capacity: int = LENGTH, together: int = TOGETHER, ro
         if kept + bins <= goal:
             break
         # Where all partitions meet their bounds, what is left to gain is the rounding of each.
-        gap = (F.col("bins") > F.col("bound")) | F.lit(bins == bounds)
-        released = now.filter(gap & (F.col("left") > 0))
+        gap = (F.col("__bins") > F.col("__bound")) | F.lit(bins == bounds)
+        released = now.filter(gap & (F.col("__left") > 0))
         count = released.count()
-        before = released.select("lot", "bin").distinct().count()
+        before = released.select("__lot", "__bin").distinct().count()
         if not count:
             break
         again = _packed(released.select(*items.columns), count, together, capacity, round_)
         after, again_bounds = _totals(again)
         if after >= before:
             break
-        result = result.unionByName(numbered(now.filter(~(gap & (F.col("left") > 0))), round_ - 1))
+        result = result.unionByName(numbered(now.filter(~(gap & (F.col("__left") > 0))), round_ - 1))
         kept += bins - before
         now, bins, bounds = again, after, again_bounds
     return result.unionByName(numbered(now, rounds + 1 if result is own else round_))
