@@ -21,14 +21,14 @@ def _lines() -> Column:
 
 
 def _windows(lines: Column) -> Column:
-    """A 128-bit hash for each window in order; null for texts with fewer lines."""
+    """A 128-bit hash for each window in order; null for texts with fewer lines. ``lines`` is a computed column."""
+    count = F.size(lines) - (WINDOW - 1)
+    rows = F.arrays_zip(*[F.slice(lines, k + 1, count).alias(f"l{k}") for k in range(WINDOW)])
 
-    def hashed(i: Column) -> Column:
-        parts = [F.get(lines, i + k) for k in range(WINDOW)]
-        return F.struct(F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit(7), *parts).alias("b"))
+    def hashed(row: Column) -> Column:
+        return F.struct(F.xxhash64(row).alias("a"), F.xxhash64(F.lit(7), row).alias("b"))
 
-    count = F.size(lines) - (WINDOW - 1)
-    return F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), hashed))
+    return F.when(count > 0, F.transform(rows, hashed))
 
 
 def _identified(docs: DataFrame) -> DataFrame:
@@ -44,9 +44,9 @@ def later_occurrences(docs: DataFrame) -> DataFrame:
     for each repeated window on one side, so a heavy window's rows on the other can be split.
     """
     place = ["__doc", "__body", "__line"]
-    windows = _identified(docs.select("doc_id", "text")).select(
-        "__doc", "__body", F.posexplode(_windows(_lines())).alias("__line", "h")
-    ).select(*place, "h.a", "h.b")
+    # The lines are a column of their own, split once for each text.
+    split = _identified(docs.select("doc_id", "text")).select("__doc", "__body", _lines().alias("__lines"))
+    windows = split.select("__doc", "__body", F.posexplode(_windows(F.col("__lines"))).alias("__line", "h")).select(*place, "h.a", "h.b")
     first = windows.groupBy("a", "b").agg(F.min(F.struct(*place)).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     later = windows.join(first.drop("n"), ["a", "b"]).filter(F.struct(*place) > F.col("first"))
     # A list is bounded by the lines of its own document.
