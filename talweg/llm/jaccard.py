@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import pairwise
+from math import factorial
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from talweg.llm.components import connected
 
 #: Words in a shingle, and the least similarity in hundredths.
 WORDS, LEAST = 4, 85
-#: Least bits of the flat sketch; tokens up to which a piece is weak; spare pieces for each needed one.
+#: Least bits of the flat sketch; most tokens of a weak piece; spare pieces for each needed one.
 BITS, WEAK, SPARE = 512, 2, 0.2
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -51,6 +52,7 @@ class Bands:
 
     def __init__(self, least: int):
         self.least, self.starts = least, [1, 2]
+        self.known: dict[int, tuple[int, int, int]] = {}
 
     def of(self, size: int) -> int:
         while self.starts[-1] <= size:
@@ -61,27 +63,35 @@ class Bands:
         """The most tokens in which two sets of these sizes, added, differ at the least similarity."""
         return (100 - self.least) * sizes // (100 + self.least)
 
-    def pieces(self, band: int) -> tuple[int, int]:
-        """Pieces for links whose larger set lies in ``band``, and how many of them are spare."""
+    def pieces(self, band: int) -> tuple[int, int, int]:
+        """Pieces for links whose larger set lies in ``band``, how many are spare, and up to how many tokens make one weak.
+
+        The last follows from the smallest sets of such links: of their pieces, weak ones must be expected to be well within the spare ones.
+        """
         while len(self.starts) <= band + 1:
             self.of(self.starts[-1])
-        need = self.difference(2 * (self.starts[band + 1] - 1)) + 1
-        spare = 0 if need == 1 else int(np.ceil(SPARE * need))
-        return need + spare, spare
+        if band not in self.known:
+            need = self.difference(2 * (self.starts[band + 1] - 1)) + 1
+            spare = 0 if need == 1 else int(np.ceil(SPARE * need))
+            rate = self.starts[max(0, band - 1)] / (need + spare)
+            shares = np.cumsum([np.exp(-rate) * rate**k / factorial(k) for k in range(WEAK + 1)])
+            weak = max(0, int((shares * (need + spare) <= 0.7 * spare).sum()) - 1)
+            self.known[band] = need + spare, spare, weak
+        return self.known[band]
 
 
 def signatures(tokens: np.ndarray, bands: Bands) -> np.ndarray:
     """Keys of the pieces, once for links to sets of the own band and smaller, once for those of the next band."""
     own, keys = bands.of(len(tokens)), []
     for band in (own, own + 1):
-        count, spare = bands.pieces(band)
+        count, spare, most = bands.pieces(band)
         piece = ((tokens >> np.uint64(24)) % np.uint64(count)).astype(np.int64)
         order = np.argsort(piece, kind="stable")
         sizes = np.bincount(piece, minlength=count)
         words = np.zeros(count, np.uint64)
         full = np.flatnonzero(sizes)
         words[full] = np.bitwise_xor.reduceat(tokens[order], (np.cumsum(sizes) - sizes)[full])
-        weak = sizes <= WEAK
+        weak = sizes <= most
         use = np.flatnonzero(~weak) if weak.sum() <= spare else np.arange(count)
         keys.append(mix64(words[use] + mix64(use.astype(np.uint64) + np.uint64(band << 32))))
     return np.concatenate(keys).view(np.int64)
@@ -154,17 +164,18 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["key", "head", "doc"])
 
 
-def _with_sketches(pairs: DataFrame, facts: DataFrame) -> DataFrame:
-    """Pairs (a, b) with the sizes and flat sketches of both."""
+def _with_sketches(pairs: DataFrame, facts: DataFrame, least: int) -> DataFrame:
+    """Pairs (a, b) whose sizes allow a link, with the sizes and flat sketches of both."""
+    for side in ("a", "b"):
+        pairs = pairs.join(facts.select(F.col("doc").alias(side), F.col("n").alias(f"n_{side}")), side)
+    pairs = pairs.filter(100 * F.least("n_a", "n_b") >= least * F.greatest("n_a", "n_b"))
     for side in ("a", "b"):
-        own = facts.select(F.col("doc").alias(side), F.col("n").alias(f"n_{side}"), F.col("flat").alias(f"flat_{side}"))
-        pairs = pairs.join(own, side)
+        pairs = pairs.join(facts.select(F.col("doc").alias(side), F.col("flat").alias(f"flat_{side}")), side)
     return pairs
 
 
 def _allowed(pairs: DataFrame, least: int) -> DataFrame:
-    """Pairs whose sizes and flat sketches are near enough for a link."""
-    close = pairs.filter(100 * F.least("n_a", "n_b") >= least * F.greatest("n_a", "n_b"))
+    """Pairs whose flat sketches are near enough for a link."""
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,7 +188,7 @@ def _allowed(pairs: DataFrame, least: int) -> DataFrame:
                 keep.append((100 + least) * far <= (100 - least) * both)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return close.select("a", "b", "n_a", "n_b", "flat_a", "flat_b").mapInArrow(near, "a long, b long")
+    return pairs.select("a", "b", "n_a", "n_b", "flat_a", "flat_b").mapInArrow(near, "a long, b long")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, words: int, least: int) -> DataFrame:
@@ -282,7 +293,7 @@ def link_components(docs: DataFrame, words: int = WORDS, least: int = LEAST) ->
     )
     slim = facts.filter("n > 0").select("doc", "n", "flat")
     stars = members.filter("doc <> head").select(F.col("head").alias("a"), F.col("doc").alias("b")).distinct()
-    first = stage(_verified(stage(_allowed(_with_sketches(stars, slim), least)), docs, words, least))
+    first = stage(_verified(stage(_allowed(_with_sketches(stars, slim, least), least)), docs, words, least))
     labels = connected(first)
     labelled = (
         members.join(labels, F.col("doc") == F.col("node"), "left")
