@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from talweg.functions import geometry as g
 from talweg.functions.naming import GEOMETRY
 from talweg.functions.text import strip
-from talweg.operators.scale import HOT_GROUPS, HOT_ROWS, SALTS
+from talweg.operators.scale import HOT_ROWS, salts_of
 
 # Candidate names of reference columns, the no-match marker, UF codes.
 CODE_COLUMNS = ("sdb_cd_mun", "cd_mun")
@@ -26,7 +27,6 @@ UF_CODES = {
 BROADCAST_CELLS = 500_000
 BROADCAST_BYTES = 256 << 20
 LEVEL_SPAN = 4  # cells a geometry may span on its level
-WORLD_EXTENT = 360.0
 
 
 def first_existing(df: DataFrame, candidates: tuple[str, ...]) -> str | None:
@@ -61,11 +61,10 @@ def normalize_uf(value: Column) -> Column:
     return F.coalesce(F.when(padded.isin(*UF_CODES), acronyms[padded]), F.upper(text))
 
 
-def _level(x0: Column, y0: Column, x1: Column, y1: Column, size: float, top: int) -> Column:
+def _level(x0: Column, y0: Column, x1: Column, y1: Column, size: float) -> Column:
     """Grid level on which bounds span a few cells; cells double in size per level."""
     extent = F.greatest(x1 - x0, y1 - y0)
-    level = F.ceil(F.log2(F.greatest(extent / (size * LEVEL_SPAN), F.lit(1.0))))
-    return F.least(level, F.lit(top)).cast("int")
+    return F.ceil(F.log2(F.greatest(extent / (size * LEVEL_SPAN), F.lit(1.0)))).cast("int")
 
 
 def _cells(x0: Column, y0: Column, x1: Column, y1: Column, level: Column, size: float) -> Column:
@@ -83,16 +82,31 @@ def _cells(x0: Column, y0: Column, x1: Column, y1: Column, level: Column, size:
     )
 
 
-def cell_size(regions: DataFrame) -> float:
-    """Finest cell side: a quarter of the typical region extent, as a power of two.
+@dataclass(frozen=True)
+class Grid:
+    """Finest cell side, coarsest level and common bounds of a set of regions."""
 
-    Powers of two keep cell arithmetic exact.
-    """
-    f = F.col("f")
-    row = regions.select(g.geometry_facts(GEOMETRY).alias("f")).agg(
-        F.percentile_approx(F.greatest(f["maxx"] - f["minx"], f["maxy"] - f["miny"]), 0.5).alias("w")
-    ).first()
-    return 2.0 ** math.floor(math.log2(max(row["w"] or 0.0, 1e-6) / LEVEL_SPAN))
+    size: float
+    top: int
+    bounds: tuple[float, float, float, float]
+
+    @classmethod
+    def of(cls, regions: DataFrame, size: float | None = None) -> "Grid":
+        """Cells of a quarter of the typical region extent, as a power of two, which keeps cell arithmetic exact.
+
+        One cell of the top level spans about a quarter of all regions, so no level ever has
+        to be cut off, however far out a region lies.
+        """
+        f = F.col("f")
+        row = regions.select(g.geometry_facts_once(F.col(GEOMETRY)).alias("f")).filter("f.finite").agg(
+            F.percentile_approx(F.greatest(f["maxx"] - f["minx"], f["maxy"] - f["miny"]), 0.5).alias("w"),
+            F.min(f["minx"]).alias("x0"), F.min(f["miny"]).alias("y0"),
+            F.max(f["maxx"]).alias("x1"), F.max(f["maxy"]).alias("y1"),
+        ).first()
+        bounds = tuple(row[c] or 0.0 for c in ("x0", "y0", "x1", "y1"))
+        size = size or 2.0 ** math.floor(math.log2(max(row["w"] or 0.0, 1e-6) / LEVEL_SPAN))
+        extent = max(bounds[2] - bounds[0], bounds[3] - bounds[1])
+        return cls(size, math.ceil(math.log2(max(extent / (size * LEVEL_SPAN), 1.0))), bounds)
 
 
 def intersecting_pairs(
@@ -104,25 +118,29 @@ def intersecting_pairs(
     Each geometry lies in the few cells under its bounds on a level that fits its
     size, so one huge geometry cannot flood the grid; a pair meets on the coarser of
     its two levels, in the cell with the lower-left corner of the common bounds, so
-    no pair repeats. Points in a cell wholly inside a region need no exact test.
+    no pair repeats. Cells of a feature are listed only within the bounds of all regions, so
+    a stray coordinate costs nothing. Points in a cell wholly inside a region need no exact test.
     Region cells are broadcast after a size check; otherwise both sides shuffle on
     the cell, with crowded cells salted.
     """
-    size = size or cell_size(regions)
-    top = max(0, math.ceil(math.log2(WORLD_EXTENT / (size * LEVEL_SPAN))))
-    right = _region_cells(regions, size, top)
+    grid = Grid.of(regions, size)
+    size = grid.size
+    right = _region_cells(regions, size, grid.top)
     stats = right.agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("r_geometry")), F.lit(0)).alias("b"),
         F.array_sort(F.collect_set("r_level")).alias("levels"),  # a handful of integers
     ).first()
 
     f = F.col("f")
+    left_x, left_y, right_x, right_y = map(F.lit, grid.bounds)
     left = (
         features.select(F.col(row_key), F.col(GEOMETRY), g.geometry_facts_once(F.col(GEOMETRY)).alias("f"))
         .filter("f.finite")
-        .select(row_key, GEOMETRY, f["kind"].alias("kind"), f["minx"].alias("x0"), f["miny"].alias("y0"),
-                f["maxx"].alias("x1"), f["maxy"].alias("y1"))
-        .withColumn("level", _level(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), size, top))
+        .select(row_key, GEOMETRY, f["kind"].alias("kind"),
+                F.greatest(f["minx"], left_x).alias("x0"), F.greatest(f["miny"], left_y).alias("y0"),
+                F.least(f["maxx"], right_x).alias("x1"), F.least(f["maxy"], right_y).alias("y1"))
+        .filter("x0 <= x1 AND y0 <= y1")
+        .withColumn("level", _level(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), size))
     )
     meeting = F.array_distinct(
         F.transform(F.array(*map(F.lit, stats["levels"])), lambda r: F.greatest(F.col("level"), r))
@@ -152,7 +170,7 @@ def intersecting_pairs(
         & (F.floor(F.greatest("y0", "ry0") / side) == F.col("cell.j"))
     )
     sure = F.col("inside") & (F.col("kind") == "Point")
-    exact = g.intersects(F.when(~sure, F.col(GEOMETRY)), F.col("r_geometry"))
+    exact = g.intersects(F.when(~sure, F.col(GEOMETRY)), F.when(~sure, F.col("r_geometry")))
     return pairs.filter(sure | F.coalesce(exact, F.lit(False))).select(row_key, "code", "name", "uf")
 
 
@@ -166,7 +184,7 @@ def _region_cells(regions: DataFrame, size: float, top: int) -> DataFrame:
         .filter("f.finite")
         .select("code", "name", "uf", "r_geometry", f["minx"].alias("rx0"), f["miny"].alias("ry0"),
                 f["maxx"].alias("rx1"), f["maxy"].alias("ry1"))
-        .withColumn("r_level", _level(*bounds, size, top))
+        .withColumn("r_level", _level(*bounds, size))
     )
     levels = F.sequence(F.col("r_level"), F.lit(top))
     cells = boxed.withColumn(
@@ -181,10 +199,10 @@ def _region_cells(regions: DataFrame, size: float, top: int) -> DataFrame:
 
 
 def _salted_join(left: DataFrame, right: DataFrame, row_key: str, hot_rows: int) -> DataFrame:
-    """Shuffle join on the cell; the most crowded cells spread over several partitions."""
+    """Shuffle join on the cell; crowded cells spread over as many partitions as their rows ask for."""
     hot = (
-        left.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= hot_rows)
-        .orderBy(F.desc("n")).limit(HOT_GROUPS).select("cell", F.lit(SALTS).alias("salts"))
+        left.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows)
+        .select("cell", salts_of(F.col("n"), hot_rows).alias("salts"))
     )
     spread = F.pmod(F.xxhash64(row_key), F.coalesce("salts", F.lit(1))).cast("int")
     salted_left = left.join(F.broadcast(hot), "cell", "left").withColumn("salt", spread).drop("salts")

@@ -233,6 +233,23 @@ def region_pairs_shuffled(spark, sf):
     )
 
 
+@QUERIES.query(
+    f"""SELECT c_custkey, code, name, uf FROM (
+          SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 1e9 ELSE x1 END AS x1, CASE c_custkey % 5 WHEN 1 THEN -8e7 ELSE x0 END AS x0,
+                 y0, y1 FROM ({BOX_SQL})) b
+        JOIN ({REGION_SQL}) r ON x1 >= rx0 AND x0 <= rx1 AND y1 >= ry0 AND y0 <= ry1"""
+)
+def region_pairs_of_stray_boxes(spark, sf):
+    """The pairs where two boxes in five have a corner far off the map, as unprojected coordinates give it."""
+    f = F.col("f")
+    wide = sp.with_facts(customer_boxes(spark, sf), "f").select(
+        "c_custkey",
+        g.make_box(F.when(F.col("c_custkey") % 5 == 1, F.lit(-8e7)).otherwise(f["minx"]), f["miny"],
+                   F.when(F.col("c_custkey") % 5 == 0, F.lit(1e9)).otherwise(f["maxx"]), f["maxy"]).alias("geometry"),
+    )
+    return intersecting_pairs(wide, reference_layer(nation_regions(spark, sf)), "c_custkey")
+
+
 @QUERIES.query(
     f"""SELECT s_suppkey, coalesce({UF_SQL.format(uf='(CASE WHEN k BETWEEN 11 AND 35 THEN k END)')},
                CASE WHEN s_suppkey % 2 = 0 THEN upper(x) ELSE x END) AS uf
