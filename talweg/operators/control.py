@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from talweg.functions.keys import location_key, parse_status
 from talweg.functions.text import profile_key, stringify, theme_key
-from talweg.operators.scale import broadcast_if_small
+from talweg.operators.identifiers import version_order
 
 # Issue codes.
 MISSING_SOURCE_PATH, ZIP_SOURCE_PATH = "missing_source_path", "zip_source_path"
@@ -158,7 +158,7 @@ def resolve_profiles(themes: DataFrame, profiles: DataFrame, theme: str = "theme
     by_stem = known.filter("name != stem").select(
         F.col("stem").alias("key"), F.lit(1).alias("rank"), "profile", "declared", "missing"
     )
-    side = broadcast_if_small(by_name.unionByName(by_stem))
+    side = by_name.unionByName(by_stem)
     folder = F.regexp_replace("key", "_?[^_]*$", "")
     rank = (
         F.when(F.col("rank") == 0, 0)
@@ -205,11 +205,11 @@ def triage(
     resolved = resolve_profiles(rows, profiles).select(
         "theme_folder", "profile", "missing", F.col("error").alias("profile_error"), "consistent"
     )
-    rows = rows.join(broadcast_if_small(resolved), "theme_folder", "left")
+    rows = rows.join(resolved, "theme_folder", "left")
     if datasets is None:
         readable = F.lit(True)
     else:
-        side = broadcast_if_small(datasets.select("source_path").distinct().withColumn("_readable", F.lit(True)))
+        side = datasets.select("source_path").distinct().withColumn("_readable", F.lit(True))
         rows = rows.join(side, "source_path", "left")
         readable = F.coalesce("_readable", F.lit(False))
     incomplete = F.lit(False)
@@ -274,9 +274,9 @@ def flagged_records(
             base, stage, F.col("access_constraints"), F.col("category_acronym"), F.col("theme_folder"),
             F.col("citation"), F.col("date"),
         )
-        latest = versions.filter("has_data").groupBy("path").agg(F.max("version").alias("version"))
+        latest = versions.filter("has_data").groupBy("path").agg(F.max_by("version", version_order()).alias("version"))
         rows = rows.withColumn("_where", where).withColumn("path", F.col("_where.path")).join(
-            broadcast_if_small(latest), "path", "left"
+            latest, "path", "left"
         )
         code = code.when(F.col("_where.error").isNotNull(), F.lit(VERSIONING_INCOMPLETE)).when(
             F.col("version").isNull(), F.lit("no_publishable_version")

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talweg.functions.text import attribute_key, lookup_key, stringify
-from talweg.operators.scale import broadcast_if_small
 
 GENERIC_THEME = "generic"  # theme key of descriptions shared by all layers
 
@@ -81,9 +80,7 @@ def resolve_descriptions(
     long = asked.select("theme", "field", F.explode(F.array_compact(F.array(*options))).alias("c")).select(
         "theme", "field", "c.*"
     )
-    side = broadcast_if_small(
-        dictionary.filter("description != ''").withColumnRenamed("theme", "d_theme")
-    )
+    side = dictionary.filter("description != ''").withColumnRenamed("theme", "d_theme")
     found = (
         long.join(side, ["d_theme", "namespace", "name"])
         .groupBy("theme", "field").agg(F.min_by("description", "order").alias("description"))

@@ -37,13 +37,12 @@ def domain_lookup(values: DataFrame, aliases: DataFrame, by: list[str]) -> DataF
 
 
 def classify(
-    df: DataFrame, column: str, lookup: DataFrame, out: str = "domain", small: bool | None = None
+    df: DataFrame, column: str, lookup: DataFrame, out: str = "domain", small: bool = False
 ) -> DataFrame:
     """Add ``out`` = struct(value, status, reason) for a column, given its (key, canonical, by_alias).
 
-    A left join on the comparison key; the lookup is broadcast after a size check
-    (``small`` tells the outcome when the caller has checked), otherwise the join
-    shuffles and adaptive execution splits hot values.
+    A left join on the comparison key. The lookup is broadcast if the caller knows it
+    to be ``small``; otherwise adaptive execution decides by measured bytes and splits hot values.
     """
     source = F.col(f"`{column}`")
     text = strip(source.cast("string"))

@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from talweg.functions.naming import FID_COLUMN, ID_COLUMN
-from talweg.operators.scale import BROADCAST_ROWS, broadcast_if_small, stage
+from talweg.operators.scale import stage
 
+PARTITION_BYTES, MOST_PARTITIONS = 256 << 20, 500_000
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
 
 
+def _partitions(df: DataFrame) -> list[int]:
+    """Partition count where the optimizer's size of the input asks for more than the default, which adapts to smaller ones."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    asked = min(size // PARTITION_BYTES, MOST_PARTITIONS)
+    return [asked] if asked > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else []
+
+
 def _offsets(counts: DataFrame, unit: str, group: list[str]) -> DataFrame:
     """Rows before each unit, per group; one row per file or partition, never per data row."""
     before = Window.partitionBy(*group).orderBy(unit).rowsBetween(Window.unboundedPreceding, -1)
@@ -19,19 +29,22 @@ def _offsets(counts: DataFrame, unit: str, group: list[str]) -> DataFrame:
 
 
 def add_sequential_id(
-    df: DataFrame, order_by: list[str | Column], column: str = ID_COLUMN, start: int = 1
+    df: DataFrame, order_by: list[str | Column], column: str = ID_COLUMN, start: int = 1,
+    work: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Dense ids in the given order.
 
     Rows are range-partitioned and sorted once and staged, which freezes the
-    partitions; ids are then partition offset plus position.
+    partitions; ids are then partition offset plus position. ``work``, which must keep
+    every row and its column ``_at``, runs on the placed rows on their way to the staged
+    table: range partitioning looks at its input twice, so costly columns belong there.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = stage(
-        df.repartitionByRange(parts, *order_by)
+    placed = (
+        df.repartitionByRange(*_partitions(df), *order_by)
         .sortWithinPartitions(*order_by)
         .withColumn("_at", F.monotonically_increasing_id())
     )
+    placed = stage(work(placed) if work else placed)
     part = F.shiftright("_at", _POSITION_BITS)
     counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("n"))
     offsets = _offsets(counts.withColumn("_all", F.lit(0)), "_part", ["_all"]).drop("_all")
@@ -54,7 +67,7 @@ def add_scan_order_id(df: DataFrame, column: str = ID_COLUMN, start: int = 1) ->
     counts = located.groupBy("_file").agg(F.count(F.lit(1)).alias("n"))
     offsets = _offsets(counts.withColumn("_all", F.lit(0)), "_file", ["_all"]).drop("_all")
     return (
-        located.join(broadcast_if_small(offsets, BROADCAST_ROWS), "_file")
+        located.join(stage(offsets), "_file")  # written, so of known size: one row per file
         .withColumn(column, F.col("_before") + F.col("_row") + F.lit(start))
         .drop("_file", "_row", "_before")
     )
@@ -89,9 +102,17 @@ def next_free_version(used: DataFrame, keys: list[str], datasets: DataFrame) ->
     return first.select(*keys, F.when(F.col("v") < 10, F.lpad(text, 2, "0")).otherwise(text).alias("version"))
 
 
+def version_order(version: str = "version") -> Column:
+    """Sort key of a version text: its number, then the text."""
+    return F.struct(F.col(version).try_cast("int"), F.col(version))
+
+
 def latest_version(versions: DataFrame, keys: list[str]) -> DataFrame:
-    """Newest version that holds data, per key, from rows (keys..., version, has_data)."""
-    return versions.filter("has_data").groupBy(*keys).agg(F.max("version").alias("version"))
+    """Newest version that holds data, per key, from rows (keys..., version, has_data).
+
+    Versions compare as numbers, like ``next_free_version`` counts them; texts that are none come before all.
+    """
+    return versions.filter("has_data").groupBy(*keys).agg(F.max_by("version", version_order()).alias("version"))
 
 
 def latest_reference(datasets: DataFrame, order: list[str], path: str) -> DataFrame:

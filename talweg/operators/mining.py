@@ -12,7 +12,7 @@ from talweg.functions.text import (
     alias_stem, canonical_domain_text, looks_like_mojibake, repair_mojibake, rule_key, strip,
 )
 from talweg.operators.domains import classify
-from talweg.operators.scale import broadcast_if_small, stage
+from talweg.operators.scale import stage
 
 
 def generate_domain(df: DataFrame, column: str) -> DataFrame:
@@ -130,12 +130,12 @@ def autofix_domain(invalid: DataFrame, accepted: DataFrame) -> DataFrame:
     known = stage(
         known.withColumn("key", rule_key(F.col("canonical"))).withColumn("stem", alias_stem(F.col("canonical")))
     )
-    by_key = broadcast_if_small(known.groupBy("column", "key").agg(F.max("canonical").alias("known_text")))
+    by_key = known.groupBy("column", "key").agg(F.max("canonical").alias("known_text"))
     by_stem = known.filter("stem != ''").groupBy("column", "stem").agg(
         F.count(F.lit(1)).alias("a0"), F.min("canonical").alias("sole")
     )
     items = items.join(by_key, ["column", "key"], "left").join(
-        broadcast_if_small(by_stem), ["column", "stem"], "left"
+        by_stem, ["column", "stem"], "left"
     ).withColumn("a0", F.coalesce("a0", F.lit(0)))
 
     # First repair that introduces each key, and first value of each stem.

@@ -39,12 +39,12 @@ def resolve_relation(name: str, columns: list[str]) -> Relation | None:
 
 def enforce_relation(
     df: DataFrame, relation: Relation, pairs: DataFrame, source: str, target: str, status: str,
-    small: bool | None = None,
+    small: bool = False,
 ) -> DataFrame:
     """Force column ``target`` to the mapped value of ``source``; ``status`` tells what happened.
 
     ``pairs(src_value, dst_value)`` has one row per source value; it is broadcast
-    after a size check. Relations on one target are applied one after another.
+    if the caller knows it to be ``small``. Relations on one target are applied one after another.
     """
     side = checked_side(
         pairs.select(F.col("src_value").alias("_src"), F.col("dst_value").alias("_dst")), small

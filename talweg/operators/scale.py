@@ -1,4 +1,4 @@
-"""Size-checked broadcasts, salted group facts and staged tables."""
+"""Salted group facts, join sides of known size and staged tables."""
 
 from __future__ import annotations
 
@@ -8,22 +8,18 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
-HOT_GROUPS = 1000
-HOT_ROWS = 100_000
-SALTS = 64
+#: Rows of a group from which on it is hot, and rows that one of its salts takes.
+HOT_ROWS = 1_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after counting (at most ``max_rows + 1`` rows are read)."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def checked_side(df: DataFrame, small: bool = False) -> DataFrame:
+    """Join side with a broadcast hint if the caller knows its size to be small, else left to adaptive execution."""
+    return F.broadcast(df) if small else df
 
 
-def checked_side(df: DataFrame, small: bool | None = None) -> DataFrame:
-    """Join side with a broadcast hint when it is known, or found by counting, to be small."""
-    if small is None:
-        return broadcast_if_small(df)
-    return F.broadcast(df) if small else df
+def salts_of(n: Column, hot_rows: int) -> Column:
+    """Salts of a group of ``n`` rows, so that each of them takes about ``hot_rows``."""
+    return F.ceil(n / F.lit(hot_rows)).cast("int")
 
 
 def staging_folder(spark: SparkSession) -> str:
@@ -61,29 +57,24 @@ def with_group_facts(
     spread_by: list[str],
     *,
     hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
     base: DataFrame | None = None,
 ) -> DataFrame:
     """Attach per-group aggregates to every row, without gathering a group anywhere.
 
     ``facts`` aggregate with map-side combine next to the group size ``_n``; only
-    groups that satisfy ``having`` take part in the join back. The largest groups
-    (``HOT_GROUPS`` at most, by construction of the top-k) are salted by
-    ``spread_by`` on the row side and repeated per salt on the group side. ``base``
+    groups that satisfy ``having`` take part in the join back. Groups above
+    ``hot_rows`` get a salt for each ``hot_rows`` rows: the row side is spread by
+    ``spread_by``, the group side is repeated per salt. The list of hot groups, at
+    most the number of all rows over ``hot_rows``, is broadcast. ``base``
     holds the same rows when ``df`` already carries joins that grouping can skip.
     """
     # A key that is never null keeps join filters off the group side, so its one
-    # shuffle is reused by the top-k and both joins.
+    # shuffle is reused by the hot groups and both joins.
     key = F.coalesce(key, F.lit(""))
     keyed = df.withColumn("_key", key)
     source = keyed if base is None else base.withColumn("_key", key)
     groups = source.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), *facts).filter(having)
-    hot = (
-        groups.filter(F.col("_n") >= hot_rows)
-        .orderBy(F.desc("_n"), "_key")
-        .limit(HOT_GROUPS)
-        .select("_key", F.lit(salts).alias("_salts"))
-    )
+    hot = groups.filter(F.col("_n") > hot_rows).select("_key", salts_of(F.col("_n"), hot_rows).alias("_salts"))
     salted_groups = (
         groups.join(F.broadcast(hot), "_key", "left")
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))

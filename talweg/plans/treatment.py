@@ -17,6 +17,7 @@ from talweg.operators.identifiers import add_sequential_id
 from talweg.operators.mining import autofix_domain, mine_relation
 from talweg.operators.quality import QualityConfig
 from talweg.operators.relations import relation_summary, resolve_relation
+from talweg.operators.scale import stage
 from talweg.plans.registry import RuleContext, apply_column_functions, apply_postprocess
 from talweg.sources.rules import RuleTables, profile_config
 
@@ -151,17 +152,20 @@ def treat(
     """Treat a feature table by a rule profile.
 
     ``order_by`` names the input columns (before renaming) whose order the ids
-    follow. Everything row-local runs in one pass that ends in the staged table
-    which also fixes the ids; what depends on all rows (which derived columns
+    follow. Raw rows are put in order first; everything row-local then runs once on its way
+    to the staged table which also fixes the ids. What depends on all rows (which derived columns
     changed, whether the layer is measurable) is one aggregate over a few columns
-    of that table, and the joins that follow read it instead of recomputing.
+    of that table. Post-processing joins end in a second staged table, so that
+    output, summaries and reports read rows instead of joining again.
     """
     profile = Profile.of(rules, profile_name)
     ctx = RuleContext(rules.of(profile_name), profile.config, theme=profile.theme, regions=regions)
     ordered = [sc.source_name(c) if isinstance(c, str) else c for c in order_by]
-    treated = mandatory_treatments(prepare_input(df, profile))
-    treated = apply_column_functions(treated, profile.functions, ctx)
-    treated = add_sequential_id(sp.repair_geometries(treated), ordered, start=id_start)
+
+    def row_local(rows: DataFrame) -> DataFrame:
+        return sp.repair_geometries(apply_column_functions(mandatory_treatments(rows), profile.functions, ctx))
+
+    treated = add_sequential_id(prepare_input(df, profile), ordered, start=id_start, work=row_local)
 
     tests = {
         "rows": F.count(F.lit(1)),
@@ -178,5 +182,5 @@ def treat(
     hidden = [c for c in treated.columns if c.startswith("__") and c != REPAIR_FLAG]
     final = treated.drop(*hidden, *unchanged, *absent)
     final = sc.backfill_derived(final).withColumn(FID_COLUMN, F.col(ID_COLUMN))
-    final = sp.fill_missing_metrics(apply_postprocess(final, profile.postprocess, ctx))
-    return TreatmentResult(final.drop("__clip"), ctx, profile, treated, stats)
+    final = sp.fill_missing_metrics(apply_postprocess(final, profile.postprocess, ctx)).drop("__clip")
+    return TreatmentResult(stage(final) if profile.postprocess else final, ctx, profile, treated, stats)
