@@ -31,13 +31,29 @@ MONTH_FIRST = {"d/M/yyyy": "M/d/yyyy", "M/d/yyyy": "d/M/yyyy",
                "d-M-yyyy": "M-d-yyyy", "M-d-yyyy": "d-M-yyyy"}
 
 
+#: A clock's fraction of a second and zone, which don't change the written day.
+_TAIL = rf"^({_Y}-{_D}-{_D}[ T]{_CLOCK})(?:\.\d+)?(?: ?(?:Z|[+-]\d{{2}}:?\d{{2}}))?$"
+_SHORT_YEAR = rf"^({_D}[/.-]{_D}[/.-])(\d{{2}})$"
+
+
+def _full_year(text: Column) -> Column:
+    """A two-digit year becomes the nearest one: less than 50 years ahead of today."""
+    year = F.regexp_extract(text, _SHORT_YEAR, 2).try_cast("int") + 2000
+    year = F.when(year >= F.year(F.current_date()) + 50, year - 100).otherwise(year)
+    return F.when(
+        text.rlike(_SHORT_YEAR), F.concat(F.regexp_extract(text, _SHORT_YEAR, 1), year.cast("string"))
+    ).otherwise(text)
+
+
 def _parse(text: Column, formats) -> Column:
-    return F.coalesce(
-        *[
-            F.try_to_timestamp(F.when(text.rlike(shape), text), F.lit(layout)).cast("date")
-            for shape, layout in formats
-        ]
-    )
+    def parsed(t: Column) -> Column:
+        return F.coalesce(
+            *[F.try_to_timestamp(F.when(t.rlike(shape), t), F.lit(layout)).cast("date") for shape, layout in formats]
+        )
+
+    # As lambda arguments, the rewritten texts are worked out once for all formats.
+    plain = F.transform(F.array(text), lambda t: F.regexp_replace(t, _TAIL, "$1"))
+    return F.transform(F.transform(plain, _full_year), parsed)[0]
 
 
 def parse_date(value: Column) -> Column:

@@ -42,13 +42,15 @@ def read_bundles(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(
         path, wholetext=True
     )
-    parts = F.split(F.col("_metadata.file_path"), "/")
-    depth = F.size(parts)
-    base = F.lit(len([p for p in path.rstrip("/").split("/") if p]))
-    folders = F.filter(parts, lambda p: (p != "") & (p != "file:"))
-    inside = F.slice(folders, base + 1, F.size(folders) - base - 1)
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    root = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(root)
+    base = F.lit(len([p for p in root.toUri().getPath().split("/") if p]))
+    # Scheme and host do not count: they can be given in the path, in the listing, or in both.
+    inner = F.regexp_replace(F.col("_metadata.file_path"), r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?", "")
+    folders = F.filter(F.split(inner, "/"), lambda p: p != "")
+    inside = F.transform(F.slice(folders, base + 1, F.size(folders) - base - 1), F.url_decode)
     return files.select(
-        F.array_join(inside, "/").alias("profile"), F.element_at(parts, depth).alias("component"),
+        F.array_join(inside, "/").alias("profile"), F.element_at(folders, -1).alias("component"),
         F.regexp_replace("value", "^﻿", "").alias("body"),
     ).filter(~F.exists(F.split("profile", "/"), lambda p: p.startswith("_")))
 

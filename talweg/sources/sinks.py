@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,13 +13,20 @@ from talweg.operators.quality import QualityReports
 MANIFEST = "dataset_path string, role string, report string, report_path string"
 
 
+def _complete(spark, path: str) -> bool:
+    """Whether a write to the folder ended, by its success marker."""
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+
+
 def drop_internal(df: DataFrame) -> DataFrame:
     return df.drop(REPAIR_FLAG)
 
 
 def write_bronze(df: DataFrame, path: str) -> DataFrame:
-    """Raw rows once per version: an existing copy stays."""
-    df.write.mode("ignore").parquet(path)
+    """Raw rows once per version: a complete copy stays, what a failed write left is replaced."""
+    if not _complete(df.sparkSession, path):
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -51,6 +60,6 @@ def write_reports(reports: QualityReports, folder: str) -> dict[str, str]:
 def append_manifest(spark, path: str, dataset: str, role: str, reports: dict[str, str]) -> DataFrame:
     """One row per report of a dataset (one without a report when there is none)."""
     rows = [(dataset, role, name, where) for name, where in reports.items()] or [(dataset, role, None, None)]
-    frame = spark.createDataFrame(rows, MANIFEST)
+    frame = spark.createDataFrame(rows, MANIFEST).withColumn("written_at", F.lit(datetime.now(UTC)))
     frame.write.mode("append").parquet(path)
-    return frame.withColumn("written_at", F.current_timestamp())
+    return frame

@@ -37,9 +37,11 @@ def scan_many(spark: SparkSession, paths: list[str], recursive: bool = False,
 
 
 def resolve_paths(spark: SparkSession, path: str, suffixes: tuple[str, ...] = SUFFIXES) -> list[str]:
-    """Dataset files behind a path: numbered siblings ``x_1, x_2``, a folder, or a tree of folders.
+    """Datasets behind a path, as full paths: numbered siblings ``x_1, x_2``, a folder, or a tree of folders.
 
-    Listing goes through the session's Hadoop file system, so any store works.
+    A dataset is a file, or a folder that Spark wrote, whose name has a known suffix; names
+    that begin with ``_`` or ``.`` are skipped. Listing goes through the session's Hadoop file
+    system and paths keep its scheme and host, so any store works.
     """
     text = path.strip()
     if not text:
@@ -56,15 +58,18 @@ def resolve_paths(spark: SparkSession, path: str, suffixes: tuple[str, ...] = SU
         found = []
         for status in fs.listStatus(folder):
             name = status.getPath().getName()
-            if status.isFile() and name.lower().endswith(suffixes):
+            if name.startswith(("_", ".")):
+                continue
+            if name.lower().endswith(suffixes):
                 found.append(status.getPath())
             elif deep and status.isDirectory() and not name.lower().endswith(".zip"):
                 found += files(status.getPath(), True)
         return found
 
-    as_texts = lambda found: sorted(p.toUri().getPath() for p in found)
-    if fs.getFileStatus(root).isFile():
-        name = root.getName()
+    as_texts = lambda found: sorted(p.toString() for p in found)
+    root = fs.makeQualified(root)
+    name = root.getName()
+    if fs.getFileStatus(root).isFile() or name.lower().endswith(suffixes):
         if not name.lower().endswith(suffixes):
             raise ValueError(f"Caminho nao suportado para leitura automatica: {text}")
         stem, _, suffix = name.rpartition(".")

@@ -124,3 +124,22 @@ def test_duplicates_treat_nulls_as_equal_and_salting_changes_nothing(spark):
 def test_row_digest_is_injective_for_shifted_values(spark):
     frame = spark.createDataFrame([(1, "ab", "c"), (2, "a", "bc"), (3, None, "-"), (4, "-", None)], "acm_id int, x string, y string")
     assert not any(x.dup_attributes for x in dup.flag_attribute_duplicates(frame).collect())
+
+
+def test_versions_compare_as_numbers(spark):
+    rows = [("a", "99", True), ("a", "100", True), ("a", "101", False), ("b", "x", True), ("b", "07", True)]
+    frame = spark.createDataFrame(rows, "k string, version string, has_data boolean")
+    assert {tuple(r) for r in ids.latest_version(frame, ["k"]).collect()} == {("a", "100"), ("b", "07")}
+
+
+def test_ordering_runs_costly_work_once_for_each_row(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def costly(v):
+        calls.add(1)
+        return v
+
+    frame = spark.range(1000).repartition(4)
+    numbered = ids.add_sequential_id(frame, ["id"], work=lambda rows: rows.withColumn("w", costly("id")))
+    assert numbered.filter("w = id AND acm_id = id + 1").count() == 1000 and calls.value == 1000

@@ -12,7 +12,7 @@ from talweg.plans import registry
 from talweg.plans.treatment import Profile, SchemaMismatch, treat
 from talweg.sources import sinks
 from talweg.sources.gpkg import GeoPackageSource
-from talweg.sources.rules import load_rules
+from talweg.sources.rules import load_rules, read_bundles
 from talweg.sources.tables import resolve_paths, scan_many
 from talweg.streaming.rowlocal import treat_stream
 
@@ -186,3 +186,28 @@ def test_stream_equals_batch(spark, rules, tmp_path):
     got = {r.sdb_cod_tema: (r.acm_nom_tema, r.acm_des_condic, r.acm_a_ha) for r in spark.table("treated").collect()}
     batch = treat(car_layer(spark), rules, name, ["cod_tema"]).audited
     assert got == {r.sdb_cod_tema: (r.acm_nom_tema, r.acm_des_condic, r.acm_a_ha) for r in batch.collect()}
+
+
+def test_rule_folders_have_one_name_however_the_path_is_given(spark, tmp_path):
+    folder = tmp_path / "the rules" / "a" / "b"
+    folder.mkdir(parents=True)
+    (folder / "profile.json").write_text("{}")
+    for path in (str(tmp_path / "the rules"), f"file://{tmp_path}/the rules/"):
+        assert [tuple(r)[:2] for r in read_bundles(spark, path).collect()] == [("a/b", "profile.json")]
+
+
+def test_half_written_bronze_is_replaced(spark, tmp_path):
+    path = tmp_path / "bronze"
+    (path / "_temporary").mkdir(parents=True)
+    assert sinks.write_bronze(spark.range(3), str(path)).count() == 3
+    assert sinks.write_bronze(spark.range(5), str(path)).count() == 3
+    sinks.append_manifest(spark, str(tmp_path / "m"), "silver", "primary", {})
+    assert spark.read.parquet(str(tmp_path / "m")).filter("written_at IS NOT NULL").count() == 1
+
+
+def test_sibling_folders_are_found_and_hidden_names_skipped(spark, tmp_path):
+    for name in ("x_1.parquet", "x_2.parquet", "_x_3.parquet"):
+        spark.range(1).write.parquet(str(tmp_path / name))
+    found = resolve_paths(spark, str(tmp_path / "x_1.parquet"))
+    assert [p.rsplit("/", 1)[1] for p in found] == ["x_1.parquet", "x_2.parquet"] and found[0].startswith("file:")
+    assert resolve_paths(spark, str(tmp_path)) == found

@@ -162,17 +162,19 @@ def timestamps_stored_as_dates(spark, sf):
     return sc.store_dates(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate"))
 
 
-DATE_TEXT = """CASE o_orderkey % 6
+DATE_TEXT = """CASE o_orderkey % 12
+    WHEN 5 THEN concat({f}(o_orderdate, '{iso}'), 'T10:20:30Z') WHEN 6 THEN concat({f}(o_orderdate, '{iso}'), ' 23:59:59.123')
+    WHEN 7 THEN concat({f}(o_orderdate, '{iso}'), 'T23:59:59.5-03:00') WHEN 8 THEN {f}(o_orderdate, '{short}')
     WHEN 0 THEN {f}(o_orderdate, '{iso} 00:00:00') WHEN 1 THEN {f}(o_orderdate, '{day}')
     WHEN 2 THEN concat(' ', {f}(o_orderdate, '{iso}'), ' ') WHEN 3 THEN 'None'
     WHEN 4 THEN {f}(o_orderdate, '{dash}') ELSE 'sem data' END"""
-SPARK_DATE = DATE_TEXT.format(f="date_format", iso="yyyy-MM-dd", day="dd/MM/yyyy", dash="dd-MM-yyyy").replace(
+SPARK_DATE = DATE_TEXT.format(f="date_format", iso="yyyy-MM-dd", day="dd/MM/yyyy", dash="dd-MM-yyyy", short="dd/MM/yy").replace(
     "yyyy-MM-dd 00:00:00", "yyyy-MM-dd HH:mm:ss"
 )
 
 
 @QUERIES.query(
-    """SELECT o_orderkey, CASE WHEN o_orderkey % 6 IN (0, 1, 2, 4) THEN o_orderdate::DATE END AS acm_date FROM orders"""
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 12 IN (0, 1, 2, 4, 5, 6, 7, 8) THEN o_orderdate::DATE END AS acm_date FROM orders"""
 )
 def dates_parsed(spark, sf):
     return table(spark, sf, "orders").selectExpr("o_orderkey", f"{SPARK_DATE} AS t").select(

@@ -36,8 +36,10 @@ def numbered_sibling_files(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey")
     for i in range(3):
         orders.filter(F.col("o_orderkey") % 3 == i).write.parquet(f"{folder}/layer_{i + 1}.parquet")
-    paths = [f"{folder}/layer_{i + 1}.parquet" for i in range(3)]
-    frames = [spark.read.parquet(*resolve_paths(spark, p)).withColumn("file", F.lit(i + 1)) for i, p in enumerate(paths)]
+    frames = [
+        spark.read.parquet(p).withColumn("file", F.lit(int(p.rsplit("_", 1)[1].split(".")[0])))
+        for p in resolve_paths(spark, f"{folder}/layer_1.parquet")
+    ]
     return merge_files(frames).groupBy(F.col("file").cast("bigint").alias("file")).agg(F.count(F.lit(1)).alias("n"))
 
 
