@@ -9,6 +9,7 @@ the layer's srid. Files must be reachable as paths on the workers.
 from __future__ import annotations
 
 import sqlite3
+from datetime import date
 
 import pyarrow as pa
 from pyspark.sql import types as T
@@ -39,6 +40,10 @@ def _layer(path: str):
 
 
 def _spark_type(declared: str) -> T.DataType:
+    if declared == "BOOLEAN":
+        return T.BooleanType()
+    if declared == "DATE":
+        return T.DateType()
     if "INT" in declared:
         return T.LongType()
     if declared.startswith(("REAL", "DOUBLE", "FLOAT")):
@@ -48,6 +53,15 @@ def _spark_type(declared: str) -> T.DataType:
     return T.StringType()
 
 
+def _values(column, kind: T.DataType):
+    """Stored values of a column as Python values of its Spark type."""
+    if isinstance(kind, T.BooleanType):
+        return [None if v is None else bool(v) for v in column]
+    if isinstance(kind, T.DateType):
+        return [None if v is None else date.fromisoformat(v) for v in column]
+    return column
+
+
 def strip_header(blob: bytes | None) -> bytes | None:
     """WKB inside a GeoPackage geometry blob."""
     if blob is None:
@@ -71,11 +85,10 @@ class GeoPackageReader(DataSourceReader):
         for path in self.paths:
             table = _layer(path)[0]
             with _connect(path) as db:
-                low, high = db.execute(f'SELECT min(rowid), max(rowid) FROM "{table}"').fetchone()
-            if low is not None:
-                found += [
-                    RowRange(path, at, min(at + self.rows - 1, high)) for at in range(low, high + 1, self.rows)
-                ]
+                at = db.execute(f'SELECT min(rowid) FROM "{table}"').fetchone()[0]
+                while at is not None:  # the next range begins at a row that exists, so gaps make no ranges
+                    found.append(RowRange(path, at, at + self.rows - 1))
+                    at = db.execute(f'SELECT min(rowid) FROM "{table}" WHERE rowid >= ?', (at + self.rows,)).fetchone()[0]
         return found or [RowRange(self.paths[0], 1, 0)]
 
     def read(self, partition: RowRange):
@@ -92,6 +105,7 @@ class GeoPackageReader(DataSourceReader):
             )
             while rows := cursor.fetchmany(BATCH_ROWS):
                 columns = dict(zip(names, zip(*rows)))
+                columns = {n: _values(c, self.schema[n].dataType) for n, c in columns.items()}
                 columns["geometry"] = [strip_header(b) for b in columns["geometry"]]
                 columns["srid"] = [srid] * len(rows)
                 yield pa.RecordBatch.from_arrays(

@@ -160,17 +160,20 @@ def test_geopackage_layer(spark, tmp_path):
     with sqlite3.connect(path) as db:
         db.execute("CREATE TABLE gpkg_contents (table_name TEXT, data_type TEXT)")
         db.execute("CREATE TABLE gpkg_geometry_columns (table_name TEXT, column_name TEXT, srs_id INTEGER)")
-        db.execute("CREATE TABLE roads (fid INTEGER PRIMARY KEY, name TEXT, size REAL, geom BLOB)")
+        db.execute("CREATE TABLE roads (fid INTEGER PRIMARY KEY, name TEXT, size REAL, geom BLOB, open BOOLEAN, day DATE)")
         db.execute("INSERT INTO gpkg_contents VALUES ('notes', 'attributes'), ('roads', 'features')")
         db.execute("INSERT INTO gpkg_geometry_columns VALUES ('roads', 'geom', 4674)")
-        db.executemany("INSERT INTO roads VALUES (?, ?, ?, ?)",
+        db.executemany("INSERT INTO roads (fid, name, size, geom) VALUES (?, ?, ?, ?)",
                        [(i, f"r{i}", i / 2, (boxed if i % 2 else header) + point_wkb(i, i)) for i in range(1, 101)] + [(101, None, None, None)])
+        db.execute("INSERT INTO roads (fid, open, day) VALUES (1000000000, 1, '2026-02-01')")
     spark.dataSource.register(GeoPackageSource)
     layer = spark.read.format("gpkg").option("path", path).option("rowsPerPartition", "30").load()
-    assert layer.dtypes == [("fid", "bigint"), ("name", "string"), ("size", "double"), ("geometry", "binary"), ("srid", "int")]
-    assert layer.rdd.getNumPartitions() == 4
+    assert layer.dtypes == [("fid", "bigint"), ("name", "string"), ("size", "double"), ("geometry", "binary"),
+                            ("open", "boolean"), ("day", "date"), ("srid", "int")]
+    assert layer.rdd.getNumPartitions() == 5
     rows = {r.fid: r for r in layer.collect()}
-    assert len(rows) == 101 and bytes(rows[7].geometry) == point_wkb(7, 7) and rows[101].geometry is None and rows[8].srid == 4674
+    assert rows[1000000000].open is True and rows[1000000000].day == datetime.date(2026, 2, 1)
+    assert len(rows) == 102 and bytes(rows[7].geometry) == point_wkb(7, 7) and rows[101].geometry is None and rows[8].srid == 4674
 
 
 def test_stream_equals_batch(spark, rules, tmp_path):
