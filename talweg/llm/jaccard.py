@@ -2,7 +2,7 @@
 
 A token (a shingle) XORs its hash into the sketch, so a token that two documents share cancels out in their
 difference, and the sketches differ in at most as many places as the sets differ in tokens. Two sketches
-are used. The blocked one has a 64-bit word in each of ``m`` pieces; a token goes to one piece. At the asked
+are used. The blocked one has a 64-bit word in each of ``m`` pieces; a token goes to one piece, by the range its hash lies in. At the asked
 similarity, sets of a size band differ in at most ``d`` tokens, so with ``m = d + 1 + s`` pieces at least ``s + 1`` agree:
 documents are joined on equal pieces. The flat one has at least two bits for each token of the set, of which the token flips
 one; its Hamming distance drops candidates before texts are compared. Of two lengths, the longer one is folded. Every candidate is verified on the whole texts.
@@ -33,18 +33,27 @@ BITS, WEAK, SPARE = 512, 2, 0.2
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
-    """Sorted hashes of the distinct shingles; words are split at ASCII white space, A to Z lower-cased."""
-    parts = text.lower().split()
+def _shingles_of(parts: list[bytes], words: int) -> np.ndarray:
     n = len(parts)
     if not n:
         return np.empty(0, np.uint64)
-    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in parts], np.uint64)
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, parts), np.uint64, n)
     length = min(n, words)
     value = hashes[: n - length + 1].copy()
     for k in range(1, length):
-        value = value * _STEP + hashes[k : n - length + 1 + k]
-    return np.unique(mix64(value + np.uint64(length)))
+        value *= _STEP
+        value += hashes[k : n - length + 1 + k]
+    value += np.uint64(length)
+    value = mix64(value)
+    value.sort()
+    first = np.ones(len(value), bool)
+    np.not_equal(value[1:], value[:-1], out=first[1:])
+    return value[first]
+
+
+def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
+    """Sorted hashes of the distinct shingles; words are split at ASCII white space, A to Z lower-cased."""
+    return _shingles_of(text.lower().split(), words)
 
 
 class Bands:
@@ -53,6 +62,7 @@ class Bands:
     def __init__(self, least: int):
         self.least, self.starts = least, [1, 2]
         self.known: dict[int, tuple[int, int, int]] = {}
+        self.cut: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def of(self, size: int) -> int:
         while self.starts[-1] <= size:
@@ -79,22 +89,32 @@ class Bands:
             self.known[band] = need + spare, spare, weak
         return self.known[band]
 
+    def ranges(self, band: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where the pieces after the first begin, and a number for each piece that tells it from all others."""
+        if band not in self.cut:
+            count = self.pieces(band)[0]
+            edges = np.arange(1, count, dtype=np.uint64) * np.uint64((2**64 - 1) // count)
+            self.cut[band] = edges, mix64(np.arange(count, dtype=np.uint64) + np.uint64(band << 32))
+        return self.cut[band]
+
 
 def signatures(tokens: np.ndarray, bands: Bands) -> np.ndarray:
-    """Keys of the pieces, once for links to sets of the own band and smaller, once for those of the next band."""
-    own, keys = bands.of(len(tokens)), []
+    """Keys of the pieces, once for links to sets of the own band and smaller, once for those of the next band.
+
+    Tokens are sorted, and a piece is a range of them, so its word follows from the parities before both ends.
+    """
+    n = len(tokens)
+    parity = np.zeros(n + 1, np.uint64)
+    np.bitwise_xor.accumulate(tokens, out=parity[1:])
+    own, keys = bands.of(n), []
     for band in (own, own + 1):
-        count, spare, most = bands.pieces(band)
-        piece = ((tokens >> np.uint64(24)) % np.uint64(count)).astype(np.int64)
-        order = np.argsort(piece, kind="stable")
-        sizes = np.bincount(piece, minlength=count)
-        words = np.zeros(count, np.uint64)
-        full = np.flatnonzero(sizes)
-        words[full] = np.bitwise_xor.reduceat(tokens[order], (np.cumsum(sizes) - sizes)[full])
-        weak = sizes <= most
-        use = np.flatnonzero(~weak) if weak.sum() <= spare else np.arange(count)
-        keys.append(mix64(words[use] + mix64(use.astype(np.uint64) + np.uint64(band << 32))))
-    return np.concatenate(keys).view(np.int64)
+        (count, spare, most), (edges, salts) = bands.pieces(band), bands.ranges(band)
+        ends = np.empty(count + 1, np.int64)
+        ends[0], ends[1:-1], ends[-1] = 0, tokens.searchsorted(edges), n
+        words = (parity[ends[1:]] ^ parity[ends[:-1]]) + salts
+        full = ends[1:] - ends[:-1] > most
+        keys.append(words[full] if count - np.count_nonzero(full) <= spare else words)
+    return mix64(np.concatenate(keys)).view(np.int64)
 
 
 def _flat_sketch(tokens: np.ndarray) -> np.ndarray:
@@ -116,9 +136,10 @@ def sketch(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame
         for batch in batches:
             sizes, digests, flats, keys = [], [], [], []
             for text in byte_rows(batch.column(1)):
-                tokens = shingles(text, words)
+                parts = text.lower().split()
+                tokens = _shingles_of(parts, words)
                 sizes.append(len(tokens))
-                digests.append(xxhash.xxh3_128_digest(b" ".join(text.lower().split())) if len(tokens) else None)
+                digests.append(xxhash.xxh3_128_digest(b" ".join(parts)) if parts else None)
                 flats.append(_flat_sketch(tokens))
                 keys.append(signatures(tokens, bands) if len(tokens) else np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays(
