@@ -187,7 +187,7 @@ def test_region_join_cases(spark):
     assert rows[2].acm_cod_munici == "1234567"
     no_uf = sj.assign_regions(layer, regions(spark, ("1", "x", None, unit)), "id").orderBy("id").first()
     assert no_uf.acm_uf == "RS"
-    with pytest.raises(ValueError, match="codigo"):
+    with pytest.raises(ValueError, match="'code'.*'uf'"):
         sj.reference_layer(spark.createDataFrame([("x", b"")], "nm_mun string, geometry binary"))
 
 
