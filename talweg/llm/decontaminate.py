@@ -138,8 +138,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Documents without any phrase of the benchmark, with all their columns and rows."""
-    gone = stage(contamination(docs, benchmark, window).filter("contaminated").select(F.col("doc").alias("__doc")).distinct())
-    return docs.withColumn("__doc", _document()).join(gone, "__doc", "left_anti").select(*docs.columns)
+    gone = stage(contamination(docs, benchmark, window).filter("contaminated").select("doc").distinct())
+    # The rows of the user are one struct, so no column of theirs can clash with the hash.
+    rows = docs.select(_document(), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return rows.join(gone, "doc", "left_anti").select("row.*")
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -338,9 +338,23 @@ def link_components(docs: DataFrame, words: int = WORDS, least: int = LEAST) ->
 
 
 def keep_one_of_each(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame:
-    """Documents without those that link, directly or through others, to one with a smaller id; all columns stay."""
-    gone = link_components(docs, words, least).filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Documents without those that link, directly or through others, to one that comes before them; all columns stay.
+
+    Rows that agree in id and text are one document and stay or go together. Documents come in order of their ids,
+    null first, and different texts with one id in order of the texts' hash.
+    """
+    body = F.struct(F.xxhash64("text").alias("a"), F.xxhash64(F.lit(7), "text").alias("b"))
+    shared = docs.groupBy("doc_id").agg(F.min(body).alias("lo"), F.max(body).alias("hi")).filter("doc_id IS NULL OR lo <> hi")
+    if not shared.limit(1).count():
+        gone = link_components(docs, words, least).filter("component_id <> doc_id").select("doc_id").distinct()
+        return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    # Ids that don't tell documents apart: rows get numbers of their own, and each component keeps its first document.
+    rows = stage(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("doc_id", body.alias("body")).alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("all")))
+    found = link_components(rows.select(F.col("row").alias("doc_id"), F.col("all.text").alias("text")), words, least)
+    parts = stage(found.join(rows.select(F.col("row").alias("doc_id"), "key"), "doc_id"))
+    first = parts.groupBy("component_id").agg(F.min("key").alias("first"), F.max("key").alias("last")).filter("first <> last")
+    gone = parts.join(first, "component_id").filter("key <> first").select(F.col("doc_id").alias("row")).distinct()
+    return rows.join(gone, "row", "left_anti").select("all.*")
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

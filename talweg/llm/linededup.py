@@ -2,7 +2,8 @@
 
 Every three consecutive lines are hashed; a window that occurred before, in another document or
 further up, is a later occurrence. The lines under later occurrences go; overlapping windows merge, so a
-passage of any number of lines goes as a whole. The first occurrence always stays.
+passage of any number of lines goes as a whole. A first occurrence stays, but for those of its lines that a later
+window also covers: of four equal lines only the first stays.
 """
 
 from __future__ import annotations
@@ -60,18 +61,20 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     repeat id and text are one document and change alike; all other columns are kept, but n_lines and
     n_removed are replaced. A text whose lines all go becomes empty.
     """
-    rows = _identified(docs.drop("n_lines", "n_removed"))
+    own = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    # The rows of the user are one struct, so no column of theirs can clash with the working ones.
+    rows = _identified(docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in own]).alias("__row")))
     joined = rows.join(later_occurrences(docs), ["__doc", "__body"], "left")
     covered = F.array_distinct(F.flatten(F.transform("__starts", lambda s: F.sequence(s, s + (WINDOW - 1)))))
     stays = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__covered"))
     shorter = F.array_join(F.transform(stays, lambda i: F.get(F.col("__lines"), i)), "\n")
-    return (
+    done = (
         joined.withColumn("__covered", covered).withColumn("__lines", _lines())
         .withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size("__lines")).cast("long"))
         .withColumn("n_removed", F.when(F.col("__covered").isNull(), 0).otherwise(F.size("__covered")).cast("long"))
         .withColumn("text", F.when(F.col("__covered").isNull(), F.col("text")).otherwise(shorter))
-        .select(*[c for c in docs.columns if c not in ("n_lines", "n_removed")], "n_lines", "n_removed")
     )
+    return done.select(*[F.col("text") if c == "text" else F.col("__row").getField(c).alias(c) for c in own], "n_lines", "n_removed")
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,6 @@ from dataclasses import dataclass
 from operator import eq
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,15 +91,19 @@ class Model:
         return np.clip(np.interp(self.raw(stats), self.at, self.level), 0.0, 1.0)
 
 
-def describe(docs: DataFrame) -> DataFrame:
-    """doc_id and statistics of every whole text; null text counts as empty."""
+def described(text: Column) -> Column:
+    """Statistics of whole texts; null text counts as empty. Only the text goes to Python, in batches bounded by bytes."""
 
-    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [statistics(t) for t in byte_rows(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.float64()))], ["doc_id", "stats"])
+    @F.arrow_udf("array<double>")
+    def numbers(texts: pa.Array) -> pa.Array:
+        return pa.array([statistics(t) for t in byte_rows(texts)], pa.list_(pa.float64()))
+
+    return numbers(text)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(described, "doc_id long, stats array<double>")
+
+def describe(docs: DataFrame) -> DataFrame:
+    """doc_id and statistics of every text."""
+    return docs.select(F.col("doc_id").cast("long"), described(F.col("text")).alias("stats"))
 
 
 def _fold() -> Column:
@@ -161,12 +164,13 @@ def fit(described: DataFrame, labels: DataFrame) -> Model:
             [pa.array(np.arange(len(gram)), pa.int32()), pa.array(list(gram), pa.list_(pa.float64()))], ["i", "part"]
         )
 
-    def added(key, frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"i": [key[0]], "part": [np.sum(np.stack(frame["part"]), axis=0)]})
+    def added(rows: pa.Table) -> pa.Table:
+        parts = np.stack(rows["part"].combine_chunks().to_numpy(zero_copy_only=False))
+        return pa.table({"i": rows["i"].slice(0, 1), "part": pa.array([parts.sum(axis=0)], pa.list_(pa.float64()))})
 
     kind = "i int, part array<double>"
     used = rows.filter("NOT calibrates") if rows.filter("NOT calibrates").limit(1).count() else rows
-    sums = used.select("stats", "y").mapInArrow(summed, kind).groupBy("i").applyInPandas(added, kind).orderBy("i").collect()
+    sums = used.select("stats", "y").mapInArrow(summed, kind).groupBy("i").applyInArrow(added, kind).orderBy("i").collect()
     gram = np.array([r["part"] for r in sums])
     system, target = gram[:, :-1], gram[:, -1]
     penalty = np.full(len(system), PENALTY * max(count, 100))
@@ -204,17 +208,17 @@ def score(described: DataFrame, model: Model) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Documents that score at least ``threshold``, with all their columns and rows.
 
-    Only ``doc_id`` and ``text`` are read; null text scores as an empty one.
+    Only ``doc_id`` and ``text`` are read; null text scores as an empty one. Each text is described once: the rows are
+    written with their statistics, and both the fit and the verdict read these.
     """
-    model = fit(stage(describe(docs)), labels)
+    rows = stage(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), described(F.col("text")).alias("stats")))
+    model = fit(rows.select(F.col("row.doc_id").cast("long").alias("doc_id"), "stats"), labels)
 
-    @F.pandas_udf("double")
-    def scores(texts: pd.Series) -> pd.Series:
-        if not len(texts):
-            return pd.Series([], dtype="float64")
-        return pd.Series(model.score(np.array([statistics((t or "").encode()) for t in texts])))
+    @F.arrow_udf("double")
+    def scores(stats: pa.Array) -> pa.Array:
+        return pa.array(model.score(np.stack(stats.to_numpy(zero_copy_only=False))) if len(stats) else [], pa.float64())
 
-    return docs.filter(scores("text") >= threshold)
+    return rows.filter(scores("stats") >= threshold).select("row.*")
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,6 +30,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 #: Least payload of a revisit; payload bytes of an archive; bytes of a dictionary and of the records it is built from; level.
 LEAST, ARCHIVE_BYTES, DICTIONARY_BYTES, SAMPLE_BYTES, LEVEL = 1000, 32 << 20, 64 << 10, 2 << 20, 3
+#: Most tasks that read archives back.
+MOST_TASKS = 100_000
 #: The table has no fetch time.
 DATE = "2024-01-01T00:00:00Z"
 _URN = "urn:talweg:page:"
@@ -71,10 +73,10 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
 
 
 def dictionary(records: list[bytes], size: int = DICTIONARY_BYTES, sample: int = SAMPLE_BYTES) -> bytes:
-    """A dictionary from records spread over the archive, up to ``sample`` bytes; their bytes themselves if they are too few to train on."""
+    """A dictionary from whole records spread evenly over the archive, about ``sample`` bytes; their bytes themselves if they are too few to train on."""
     total = sum(map(len, records))
     step = max(1, -(-total // sample))
-    used = [r[: 32 << 10] for r in records[::step]]
+    used = records[::step]
     try:
         return zstandard.train_dictionary(min(size, max(1024, total // 8)), used, k=256, d=8).as_bytes()
     except zstandard.ZstdError:
@@ -183,8 +185,8 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
                 if found:
                     yield rows(found)
 
-    # One archive a row: enough tasks for all of them.
-    names = manifest.select("name").repartition("name")
+    # One archive a row; the number is given, so that adaptive execution doesn't join these small rows into one task.
+    names = manifest.select("name").repartition(min(max(1, manifest.count()), MOST_TASKS), "name")
     return names.mapInArrow(
         read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
     )
