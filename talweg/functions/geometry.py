@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from talweg.functions import arrange
 from talweg.functions import shapes as sh
 from talweg.functions import topology as topo
 from talweg.functions import validity
@@ -67,21 +69,44 @@ geometry_facts = F.arrow_udf(_facts, FACTS)
 geometry_facts_once = F.arrow_udf(_facts, FACTS).asNondeterministic()
 
 
-def _map_present(wkb: pa.Array, use) -> pa.Array:
-    return pa.array([None if raw is None else use(raw) for raw in wkb.to_pylist()], pa.binary())
+def _where(rows: np.ndarray, new: pa.Array, old: pa.Array) -> pa.Array:
+    """``new`` in the marked rows, else ``old``."""
+    return pc.if_else(pa.array(rows), new.cast(pa.binary()), old.cast(pa.binary()))
 
 
 @F.arrow_udf(T.BinaryType())
 def force_2d(wkb: pa.Array) -> pa.Array:
     """Drop Z and M; 2-D input passes through unchanged."""
+    s = sh.read_shapes(wkb)
+    deep = s.dims > 2
+    return _where(deep, validity.flat(s, wkb), wkb) if deep.any() else wkb
 
-    def flatten(raw):
-        tree, _ = sh.read_tree(raw)
-        return sh.write_tree(tree[0], tree[2]) if tree[1] > 2 else raw
 
-    if not sh.read_shapes(wkb).dims.max(initial=2) > 2:
+@F.arrow_udf(T.BinaryType())
+def to_geographic(wkb: pa.Array, srid: pa.Array) -> pa.Array:
+    """Reproject to EPSG:4326; the geographic systems in use coincide with it."""
+    codes = np.asarray(srid.fill_null(WGS84))
+    unknown = set(np.unique(codes).tolist()) - {*GEOGRAPHIC, BRAZIL_POLYCONIC}
+    if unknown:
+        raise ValueError(f"no transformation to EPSG:{WGS84} for {sorted(unknown)}")
+    moved = codes == BRAZIL_POLYCONIC
+    if not moved.any():
         return wkb
-    return _map_present(wkb, flatten)
+    rows = np.flatnonzero(moved)
+    some = wkb.take(pa.array(rows))
+    s = sh.read_shapes(some)
+    s.xy = inverse_polyconic(s.xy)
+    out = sh.write_shapes(s)
+    odd = np.flatnonzero(~s.whole & ~s.null)
+    if len(odd):  # collections and empty parts
+        out = out.to_pylist()
+        for i in odd.tolist():
+            kind, _, payload = _moved(sh.read_tree(some[i].as_buffer())[0], inverse_polyconic)
+            out[i] = sh.write_tree(kind, payload)
+        out = pa.array(out, pa.binary())
+    place = np.zeros(len(wkb), "i8")
+    place[rows] = np.arange(len(rows))
+    return _where(moved, out.take(pa.array(place)), wkb)
 
 
 def _moved(tree, move):
@@ -93,27 +118,6 @@ def _moved(tree, move):
     return kind, 2, [_moved(part, move) for part in payload]
 
 
-@F.arrow_udf(T.BinaryType())
-def to_geographic(wkb: pa.Array, srid: pa.Array) -> pa.Array:
-    """Reproject to EPSG:4326; the geographic systems in use coincide with it."""
-    codes = srid.to_pylist()
-    unknown = set(codes) - {*GEOGRAPHIC, BRAZIL_POLYCONIC, None}
-    if unknown:
-        raise ValueError(f"no transformation to EPSG:{WGS84} for {sorted(unknown)}")
-    if BRAZIL_POLYCONIC not in codes:
-        return wkb
-
-    def project(raw):
-        kind, _, payload = _moved(sh.read_tree(raw)[0], inverse_polyconic)
-        return sh.write_tree(kind, payload)
-
-    out = [
-        raw if raw is None or code != BRAZIL_POLYCONIC else project(raw)
-        for raw, code in zip(wkb.to_pylist(), codes)
-    ]
-    return pa.array(out, pa.binary())
-
-
 def _errors(wkb: pa.Array, crs: pa.Array, geographic: pa.Array) -> pa.Array:
     s = sh.read_shapes(wkb)
     flags = np.array(geographic.to_pylist(), bool)
@@ -166,23 +170,13 @@ def ogc_errors(
 @F.arrow_udf(REPAIRED)
 def repair_geometry(wkb: pa.Array) -> pa.Array:
     """Valid counterpart of a geometry (null when none is provable) and whether it changed."""
-    s = sh.read_shapes(wkb)
-    quick = validity.quick_valid(s, np.zeros(len(s), bool)) | s.null | s.empty
-    if quick.all():
-        return pa.StructArray.from_arrays([wkb.cast(pa.binary()), pa.array(np.zeros(len(s), bool))],
-                                          ["geometry", "changed"])
-    fixed = [
-        (raw, False) if ok else validity.repair(raw) for raw, ok in zip(wkb.to_pylist(), quick)
-    ]
-    return pa.StructArray.from_arrays(
-        [pa.array([f[0] for f in fixed], pa.binary()), pa.array([f[1] for f in fixed], pa.bool_())],
-        ["geometry", "changed"],
-    )
+    fixed, changed = validity.repair(wkb)
+    return pa.StructArray.from_arrays([fixed.cast(pa.binary()), pa.array(changed)], ["geometry", "changed"])
 
 
 @F.arrow_udf(T.BinaryType())
 def normalize_geometry(wkb: pa.Array) -> pa.Array:
-    return _map_present(wkb, validity.normalized)
+    return validity.normalized(wkb)
 
 
 def _clip(tree, box):
@@ -232,15 +226,100 @@ def _assemble(points, lines, polygons):
     return sh.write_tree(tree[0], tree[2])
 
 
+def _clipped_areas(s: sh.Shapes, boxes: np.ndarray) -> dict[int, list[list[np.ndarray]]]:
+    """Polygons that valid areas share with their boxes; geometries of which a part only touches its box are left out."""
+    poly, first = np.unique(s.ring_poly, return_index=True)
+    place, geom, n = np.searchsorted(poly, s.ring_poly), s.ring_geom[first], len(poly)
+    low, high = (f.reduceat(s.xy, s.ring_start[:-1])[first] for f in (np.minimum, np.maximum))
+    meets = (low <= boxes[geom, 2:]).all(axis=1) & (high >= boxes[geom, :2]).all(axis=1)
+    use, cut = meets[place], np.flatnonzero(meets)
+    corners = boxes[geom[cut]][:, [0, 1, 2, 1, 2, 3, 0, 3, 0, 1]].reshape(5 * len(cut), 2)
+    found, failed = arrange.areas(
+        np.concatenate([s.xy, corners]), np.concatenate([s.ring_start[:-1][use], len(s.xy) + 5 * np.arange(len(cut))]),
+        np.concatenate([s.ring_size[use], np.full(len(cut), 5)]), np.concatenate([place[use], cut]),
+        np.concatenate([(s.ring_role == sh.ROLE_HOLE)[use], np.zeros(len(cut), bool)]), least=2,
+    )
+    touching = {int(geom[p]) for p in cut.tolist() if p not in found or p in failed}
+    out: dict[int, list[list[np.ndarray]]] = {}
+    for p in sorted(found):
+        if int(geom[p]) not in touching:
+            out.setdefault(int(geom[p]), []).extend(found[p])
+    return out
+
+
+def _clipped_lines(s: sh.Shapes, boxes: np.ndarray) -> sh.Shapes:
+    """What lines have inside their boxes, as lines; those that only touch are empty."""
+    ring = np.repeat(np.arange(len(s.ring_geom)), s.ring_size)
+    start = np.flatnonzero((ring[:-1] == ring[1:]) & (s.xy[:-1] != s.xy[1:]).any(axis=1))
+    a, b, ring = s.xy[start], s.xy[start + 1], ring[start]
+    geom = s.ring_geom[ring]
+    step, low, high = b - a, np.zeros(len(a)), np.ones(len(a))
+    for k in (0, 1):
+        with np.errstate(divide="ignore", invalid="ignore"):
+            ends = (boxes[geom][:, [k, k + 2]] - a[:, [k]]) / step[:, [k]]
+        still = step[:, k] == 0
+        beside = still & ((a[:, k] < boxes[geom, k]) | (a[:, k] > boxes[geom, k + 2]))
+        low = np.where(beside, 2.0, np.where(still, low, np.maximum(low, ends.min(axis=1))))
+        high = np.where(still, high, np.minimum(high, ends.max(axis=1)))
+    kept = low < high
+    low, high, ring, geom = low[kept][:, None], high[kept][:, None], ring[kept], geom[kept]
+    p, q = np.where(low > 0, a[kept] + low * step[kept], a[kept]), np.where(high < 1, a[kept] + high * step[kept], b[kept])
+    fresh = np.ones(len(p), bool)
+    fresh[1:] = (ring[1:] != ring[:-1]) | (p[1:] != q[:-1]).any(axis=1)
+    # A piece is its first point and the end of each of its segments.
+    size = np.bincount(np.cumsum(fresh) - 1) + 1 if len(p) else np.empty(0, "i8")
+    xy, head = np.empty((size.sum(), 2)), np.cumsum(size) - size
+    mask = np.ones(len(xy), bool)
+    mask[head] = False
+    xy[head], xy[mask] = p[fresh], q
+    owner, n = geom[fresh], len(s)
+    kind = np.where(np.bincount(owner, minlength=n) > 1, sh.MULTILINE, sh.LINE).astype("i4")
+    return sh.Shapes(
+        s.null, kind, np.full(n, 2, "i4"), xy, np.concatenate([[0], np.cumsum(size)]).astype("i8"), owner,
+        np.full(len(owner), sh.ROLE_LINE, "i4"), np.full(len(owner), -1), np.ones(n, bool), np.ones(n, bool),
+    )
+
+
 @F.arrow_udf(T.BinaryType())
 def clip_to_box(wkb: pa.Array, minx: pa.Array, miny: pa.Array, maxx: pa.Array, maxy: pa.Array) -> pa.Array:
-    """Part of a geometry inside a box, null where they do not meet."""
+    """Part of a geometry inside a box, null where they do not meet.
+
+    Whole batches are clipped together; one by one go collections, what only touches its box, and polygons that are not valid.
+    """
     boxes = np.stack([np.asarray(a.fill_null(np.nan)) for a in (minx, miny, maxx, maxy)], axis=1)
-    out = [
-        None if raw is None or np.isnan(box).any() else _assemble(*_clip(sh.read_tree(raw)[0], box))
-        for raw, box in zip(wkb.to_pylist(), boxes)
-    ]
-    return pa.array(out, pa.binary())
+    s = sh.read_shapes(wkb)
+    own = sh.bounds(s)
+    with np.errstate(invalid="ignore"):
+        meets = (own[:, :2] <= boxes[:, 2:]).all(axis=1) & (own[:, 2:] >= boxes[:, :2]).all(axis=1)
+        inside = (own[:, :2] >= boxes[:, :2]).all(axis=1) & (own[:, 2:] <= boxes[:, 2:]).all(axis=1)
+    inside &= s.whole
+    out = _where(inside, sh.write_shapes(s), pa.nulls(len(s), pa.binary()))
+    left = np.flatnonzero(meets & ~inside)
+    if not len(left):
+        return out
+    done = np.zeros(len(s), bool)
+    for kinds in ((sh.POLYGON, sh.MULTIPOLYGON), (sh.LINE, sh.MULTILINE)):
+        rows = left[np.isin(s.kind[left], kinds) & s.whole[left]]
+        if len(rows) and sh.POLYGON in kinds:
+            rows = rows[validity.states(s.take(rows)) == validity.SOUND]
+        if not len(rows):
+            continue
+        part = s.take(rows)
+        cut = validity.polygonal(len(rows), _clipped_areas(part, boxes[rows])) if sh.POLYGON in kinds else _clipped_lines(part, boxes[rows])
+        filled = ~cut.empty
+        place = np.zeros(len(s), "i8")
+        place[rows] = np.arange(len(rows))
+        done[rows[filled]] = True
+        here = np.zeros(len(s), bool)
+        here[rows[filled]] = True
+        out = _where(here, sh.write_shapes(cut).take(pa.array(place)), out)
+    rest = [i for i in left.tolist() if not done[i]]
+    if rest:
+        out = out.to_pylist()
+        for i in rest:
+            out[i] = _assemble(*_clip(sh.read_tree(wkb[i].as_buffer())[0], boxes[i]))
+        out = pa.array(out, pa.binary())
+    return out
 
 
 def _areas_and_paths(tree):

@@ -128,41 +128,6 @@ def crossing_point(p, q, r, s):
     return p + t * (q - p)
 
 
-def simple_rings(xy: np.ndarray, starts: np.ndarray, rings: np.ndarray) -> np.ndarray:
-    """Which of the given closed rings certainly have no self-contact.
-
-    Small rings of one size are tested together; others, and rings with repeated
-    points, one by one.
-    """
-    ok = np.zeros(len(rings), bool)
-    sizes = starts[rings + 1] - starts[rings]
-    for size in np.unique(sizes):
-        members = np.flatnonzero(sizes == size)
-        m = size - 1
-        if m < 3:
-            continue
-        if m <= VECTOR_LIMIT:
-            i, j = _apart(m)
-            block = max(1, 2_000_000 // max(1, len(i)))
-            for at in range(0, len(members), block):
-                rows = members[at : at + block]
-                v = xy[starts[rings[rows]][:, None] + np.arange(size)[None, :]]
-                a, b = v[:, :-1], v[:, 1:]
-                after = np.roll(b, -1, axis=1)
-                good = ~((a == b).all(axis=2)).any(axis=1)
-                good &= ~((_orient(a, b, after) == 0) & (((b - a) * (after - b)).sum(axis=2) < 0)).any(axis=1)
-                if len(i):
-                    good &= ~segments_meet(a[:, i], b[:, i], a[:, j], b[:, j]).any(axis=1)
-                else:
-                    good &= _orient(v[:, 0], v[:, 1], v[:, 2]) != 0
-                ok[rows] = good
-        else:
-            for row in members:
-                ring = xy[starts[rings[row]] : starts[rings[row] + 1]]
-                ok[row] = ring_clash(drop_repeats(ring)) is None
-    return ok
-
-
 def ring_area(ring: np.ndarray) -> float:
     v = ring - ring[0]
     return float((v[:-1, 0] * v[1:, 1] - v[1:, 0] * v[:-1, 1]).sum() / 2)
@@ -316,35 +281,3 @@ def clip_line(line: np.ndarray, box) -> list[np.ndarray]:
             paths.append([p, q])
     pieces = [drop_repeats(np.array(path)) for path in paths]
     return [p for p in pieces if len(p) > 1] or [p[:1] for p in pieces[:1]]
-
-
-def loops(ring: np.ndarray) -> list[np.ndarray]:
-    """Node a closed ring at its self-contacts and split it into simple loops."""
-    a, b = ring[:-1], ring[1:]
-    cuts: list[list] = [[] for _ in a]
-    m = len(a)
-    neighbours = [(i, (i + 1) % m) for i in range(m)]
-    for i, j in [*_meeting_pairs(a, b), *neighbours]:
-        point = crossing_point(a[i], b[i], a[j], b[j])
-        cuts[i].append(point)
-        cuts[j].append(point)
-    path = []
-    for i, extra in enumerate(cuts):
-        path.append(a[i])
-        path += sorted(extra, key=lambda c, o=a[i]: float(((c - o) ** 2).sum()))
-    path = drop_repeats(np.array(path + [a[0]]))
-    found, stack, seen = [], [], {}
-    for point in path:
-        key = (float(point[0]), float(point[1]))
-        if key in seen:
-            at = seen[key]
-            loop = stack[at:] + [point]
-            for gone in stack[at + 1 :]:
-                seen.pop((float(gone[0]), float(gone[1])), None)
-            del stack[at + 1 :]
-            if len(loop) >= 4:
-                found.append(np.array(loop))
-        else:
-            seen[key] = len(stack)
-            stack.append(point)
-    return [loop for loop in found if ring_area(loop) != 0]

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
+from talweg.functions import arrange, sweep
 from talweg.functions import topology as topo
 from talweg.functions.shapes import (
     COLLECTION, KINDS, LINE, MULTIPOLYGON, POINT, POLYGON, ROLE_HOLE, ROLE_LINE, ROLE_SHELL,
-    Shapes, read_tree, write_tree,
+    Shapes, read_shapes, read_tree, runs, write_shapes, write_tree,
 )
 
 # Reason texts.
@@ -183,29 +186,57 @@ def topology_errors(tree) -> list[str]:
     return errors
 
 
+#: What array tests tell of a geometry's topology; unsure ones are looked at one by one.
+SOUND, BROKEN, UNSURE = range(3)
+
+
+def states(s: Shapes) -> np.ndarray:
+    """Topological state of every geometry, from one sweep over all segments of the batch.
+
+    Unsure are collections, geometries with empty parts or non-finite coordinates, and polygons whose rings touch each other.
+    """
+    n = len(s)
+    state = np.zeros(n, "i1")
+    state[(s.kind == COLLECTION) | ~(s.whole | s.null)] = UNSURE
+    if not len(s.ring_geom):
+        return state
+    state[s.vertex_geom[~np.isfinite(s.xy).all(axis=1)]] = UNSURE
+    first = s.ring_start[:-1]
+    moves = (s.xy != np.repeat(s.xy[first], s.ring_size, axis=0)).any(axis=1)
+    state[s.ring_geom[(s.ring_role == ROLE_LINE) & ~np.logical_or.reduceat(moves, first)]] = UNSURE
+    open_ = (s.xy[first] != s.xy[s.ring_start[1:] - 1]).any(axis=1)
+    areal = (s.ring_role >= ROLE_SHELL) & (state[s.ring_geom] == SOUND)
+    state[s.ring_geom[areal & (open_ | (s.ring_size < 4))]] = BROKEN
+    rings = np.flatnonzero(areal & (state[s.ring_geom] == SOUND))
+    geom, hole, poly = s.ring_geom[rings], s.ring_role[rings] == ROLE_HOLE, s.ring_poly[rings]
+    segments = sweep.Segments(s.xy, first[rings], s.ring_size[rings])
+    state[geom[segments.size < 3]] = BROKEN
+    state[geom[segments.ring[segments.spikes()]]] = BROKEN
+    owner, touching = geom[segments.ring], np.zeros(n, bool)
+    for i, j, cross in segments.contacts(owner):
+        state[owner[i[cross | (segments.ring[i] == segments.ring[j])]]] = BROKEN
+        touching[owner[i]] = True
+    state[touching & (state == SOUND)] = UNSURE
+    several = np.bincount(geom, minlength=n)[geom] > 1
+    if several.any():
+        rest = np.flatnonzero(several & (state[geom] == SOUND))
+        some = sweep.Segments(s.xy, first[rings][rest], s.ring_size[rings][rest])
+        state[geom[rest][sweep.misplaced(some, geom[rest], poly[rest], hole[rest])]] = BROKEN
+    return state
+
+
 def quick_valid(s: Shapes, geographic: np.ndarray) -> np.ndarray:
     """Rows that certainly pass every check, decided with whole-batch array tests."""
-    n = len(s)
-    good = ~s.null & ~s.empty
+    good = ~s.null & ~s.empty & s.extra_ok & s.whole
     if not len(s.ring_geom):
         return good
-    finite = np.isfinite(s.xy).all(axis=1)
-    in_range = (np.abs(s.xy[:, 0]) <= 180) & (np.abs(s.xy[:, 1]) <= 90)
+    with np.errstate(invalid="ignore"):
+        in_range = (np.abs(s.xy[:, 0]) <= 180) & (np.abs(s.xy[:, 1]) <= 90)
     vertex_geom = s.vertex_geom
-    bad = np.zeros(n, bool)
-    bad[vertex_geom[~finite]] = True
-    bad[vertex_geom[~in_range & geographic[vertex_geom]]] = True
-    start, end = s.xy[s.ring_start[:-1]], s.xy[s.ring_start[1:] - 1]
-    closed = (start == end).all(axis=1)
-    areal, line = s.ring_role >= ROLE_SHELL, s.ring_role == ROLE_LINE
-    bad[s.ring_geom[areal & (~closed | (s.ring_size < 4))]] = True
-    bad[s.ring_geom[line & (closed | (s.ring_size < 2))]] = True  # closed lines: look closer
-    bad[s.ring_geom[s.ring_role == ROLE_HOLE]] = True             # holes: look closer
-    bad |= np.isin(s.kind, (MULTIPOLYGON, COLLECTION)) | (s.dims > 2)
-    left = np.flatnonzero(areal & ~bad[s.ring_geom])
-    simple = topo.simple_rings(s.xy, s.ring_start, left)
-    bad[s.ring_geom[left[~simple]]] = True
-    return good & ~bad
+    good[vertex_geom[~in_range & geographic[vertex_geom]]] = False
+    good[vertex_geom[~np.isfinite(s.xy).all(axis=1)]] = False
+    good[s.ring_geom[(s.ring_role == ROLE_LINE) & (s.ring_size < 2)]] = False
+    return good & (states(s) == SOUND)
 
 
 def ogc_errors(raw: bytes | None, crs: str | None, geographic: bool) -> list[str]:
@@ -216,114 +247,100 @@ def ogc_errors(raw: bytes | None, crs: str | None, geographic: bool) -> list[str
     return coordinate_errors(tree, crs, geographic) + topology_errors(tree)
 
 
-def repair(raw: bytes) -> tuple[bytes | None, bool]:
-    """(geometry, changed) of a non-null geometry; None when no provably valid repair exists."""
-    tree, _ = read_tree(raw)
-    if _is_empty(tree) or invalid_reason(tree) is None:
-        return raw, False
-    coords = list(_coords(tree))
-    if not all(np.isfinite(c[:, :2]).all() for c in coords):
-        return None, True
-    polygons = _polygons(tree)
-    if polygons is None:
-        return None, True
-    kept = []
-    for rings in polygons:
-        part = _repair_polygon(rings)
-        if part is None:
-            return None, True
-        kept += part
-    fixed = _polygonal(kept)
-    if kept and invalid_reason(fixed) is not None:
-        return None, True
-    return write_tree(fixed[0], fixed[2]), True
-
-
-def _coords(tree):
-    kind, _, payload = tree
-    if kind in (POINT, LINE):
-        yield payload
-    elif kind == POLYGON:
-        yield from payload
-    else:
-        for part in payload:
-            yield from _coords(part)
-
-
-def _polygons(tree):
-    """Ring lists of the areal parts; invalid lines have no area, so they leave none."""
-    kind, _, payload = tree
-    if kind == POLYGON:
-        return [[r[:, :2] for r in payload if len(r)]]
-    if kind in (LINE, 5):
-        return []
-    if kind in (MULTIPOLYGON, COLLECTION):
-        nested = [_polygons(part) for part in payload]
-        return None if any(p is None for p in nested) else [r for p in nested for r in p]
-    return None
-
-
-def _polygonal(parts):
-    if len(parts) == 1:
-        return (POLYGON, 2, parts[0])
-    return (MULTIPOLYGON, 2, [(POLYGON, 2, p) for p in parts]) if parts else (POLYGON, 2, [])
-
-
-def _repair_polygon(rings):
-    """Positive-winding area of a polygon as shells with holes; None when it needs an overlay."""
-    closed = []
-    for ring in rings:
-        ring = topo.drop_repeats(ring)
-        if (ring[0] != ring[-1]).any():
-            ring = np.concatenate([ring, ring[:1]])
-        if len(ring) < 4:
-            if not closed:
-                return None
-            continue
-        closed.append(ring)
-    if not closed:
-        return None
-    outer = _positive_loops(closed[0])
-    holes = []
-    for ring in closed[1:]:
-        holes += _positive_loops(ring)
-    parts = [[shell] for shell in outer]
-    for hole in holes:
-        for part in parts:
-            if topo.edges_contact(hole, part[0], topo.segments_cross) is not None:
-                return None
-            if topo.side_of(hole, part[0]) > 0:
-                part.append(hole[::-1])
-                break
-    return parts
-
-
-def _positive_loops(ring):
-    """Counter-clockwise loops that carry positive winding, after orienting by the top vertex."""
-    found = topo.loops(ring)
-    if not found:
-        return []
-    top = max(found, key=lambda loop: (loop[:, 1].max(), loop[:, 0].max()))
-    turn = np.sign(topo.ring_area(top))
-    positive = [loop if turn > 0 else loop[::-1] for loop in found if np.sign(topo.ring_area(loop)) == turn]
-    return [
-        loop for i, loop in enumerate(positive)
-        if not any(
-            i != k and topo.side_of(loop, other) > 0
-            and abs(topo.ring_area(other)) > abs(topo.ring_area(loop))
-            for k, other in enumerate(positive)
-        )
-    ]
-
-
-def normalized(raw: bytes) -> bytes | None:
-    """Repaired geometry with counter-clockwise shells and clockwise holes."""
+def _broken(s: Shapes, raw: pa.Array) -> np.ndarray:
+    """Rows that are not valid; null and empty ones don't count."""
+    state = states(s)
+    state[s.null | s.empty] = SOUND
+    for i in np.flatnonzero(state == UNSURE):
+        state[i] = BROKEN if invalid_reason(read_tree(raw[i].as_buffer())[0]) else SOUND
+    return np.flatnonzero(state == BROKEN)
+
+
+def repair(raw: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Valid counterparts of a batch, and which rows changed.
+
+    Broken areas become what their rings wind around, shells counter-clockwise less holes, all of a batch in one arrangement; lines
+    and points of such geometries are left out. Null are those with non-finite coordinates, without any ring of three sides, or not valid even then.
+    """
+    s = read_shapes(raw)
+    rows = _broken(s, raw)
+    changed = np.zeros(len(s), bool)
+    changed[rows] = True
+    if not len(rows):
+        return raw, changed
+    part = s.take(rows)
+    lost = np.zeros(len(part), bool)
+    lost[part.vertex_geom[~np.isfinite(part.xy).all(axis=1)]] = True
+    fixed, failed = _rebuilt(part, lost)
+    lost[list(failed)] = True
+    text = write_shapes(fixed)
+    lost[_broken(fixed, text)] = True
+    place = np.zeros(len(s), "i8")
+    place[rows] = np.arange(len(rows))
+    mended = pc.if_else(pa.array(lost), pa.nulls(len(part), pa.binary()), text).take(pa.array(place))
+    return pc.if_else(pa.array(changed), mended, raw.cast(pa.binary())), changed
+
+
+def _rebuilt(s: Shapes, skip: np.ndarray) -> tuple[Shapes, set[int]]:
+    """The areas of all geometries but the skipped ones, and those without a result."""
+    rings = np.flatnonzero((s.ring_role >= ROLE_SHELL) & ~skip[s.ring_geom])
+    start, size = s.ring_start[:-1][rings], s.ring_size[rings]
+    open_ = (s.xy[start] != s.xy[start + size - 1]).any(axis=1)
+    vertex = runs(start, size + open_)
+    vertex[np.cumsum(size + open_)[open_] - 1] = start[open_]  # back to the first point
+    xy, size = s.xy[vertex], size + open_
+    start = np.cumsum(size) - size
+    hole, poly, geom = s.ring_role[rings] == ROLE_HOLE, s.ring_poly[rings], s.ring_geom[rings]
+    sides = sweep.Segments(xy, start, size).size
+    flat = np.unique(poly[(sides < 3) & ~hole])
+    use = (sides >= 3) & ~np.isin(poly, flat)
+    found, failed = arrange.areas(xy, start[use], size[use], geom[use], hole[use])
+    failed |= set(np.setdiff1d(geom, geom[use]).tolist())
+    return polygonal(len(s), found), failed
+
+
+def polygonal(n: int, found: dict[int, list[list[np.ndarray]]]) -> Shapes:
+    """A batch of ``n`` polygons or multipolygons from their rings; the others are empty polygons."""
+    rings, geoms, roles, polys, kind, poly = [], [], [], [], np.full(n, POLYGON, "i4"), 0
+    for g in sorted(found):
+        kind[g] = POLYGON if len(found[g]) < 2 else MULTIPOLYGON
+        for part in found[g]:
+            for place, ring in enumerate(part):
+                rings.append(ring)
+                geoms.append(g)
+                roles.append(ROLE_HOLE if place else ROLE_SHELL)
+                polys.append(poly)
+            poly += 1
+    sizes = np.array([len(r) for r in rings], "i8")
+    return Shapes(
+        np.zeros(n, bool), kind, np.full(n, 2, "i4"), np.concatenate(rings) if rings else np.empty((0, 2)),
+        np.concatenate([[0], np.cumsum(sizes)]).astype("i8"), np.array(geoms, "i8"), np.array(roles, "i4"), np.array(polys, "i8"),
+        np.ones(n, bool), np.ones(n, bool),
+    )
+
+
+def normalized(raw: pa.Array) -> pa.Array:
+    """Repaired 2-D geometries with counter-clockwise shells and clockwise holes."""
     fixed, _ = repair(raw)
-    if fixed is None:
-        return None
-    kind, dims, payload = read_tree(fixed)[0]
-    if kind == POLYGON and payload:
-        payload = topo.oriented([r[:, :2] for r in payload])
-    elif kind == MULTIPOLYGON:
-        payload = [(POLYGON, 2, topo.oriented([r[:, :2] for r in p[2]])) for p in payload]
-    return write_tree(kind, payload)
+    s = read_shapes(fixed)
+    segments = sweep.Segments(s.xy, s.ring_start[:-1], s.ring_size)
+    origin = s.xy[s.ring_start[:-1]][segments.ring]
+    a, b = segments.a - origin, segments.b - origin
+    area = np.bincount(segments.ring, a[:, 0] * b[:, 1] - b[:, 0] * a[:, 1], len(s.ring_geom))
+    turned = (s.ring_role >= ROLE_SHELL) & ((area > 0) == (s.ring_role == ROLE_HOLE))
+    ring = np.repeat(np.arange(len(s.ring_geom)), s.ring_size)
+    mirrored = s.ring_start[:-1][ring] + s.ring_start[1:][ring] - 1 - np.arange(len(s.xy))
+    s.xy = s.xy[np.where(turned[ring], mirrored, np.arange(len(s.xy)))]
+    return flat(s, fixed)
+
+
+def flat(s: Shapes, raw: pa.Array) -> pa.Array:
+    """2-D WKB of a batch; collections and geometries with empty parts, which rings don't tell whole, one by one."""
+    out = write_shapes(s)
+    odd = np.flatnonzero(~s.whole & ~s.null)
+    if not len(odd):
+        return out
+    trees = [read_tree(raw[i].as_buffer())[0] for i in odd.tolist()]
+    place = np.zeros(len(s), "i8")
+    place[odd] = np.arange(len(odd))
+    return pc.if_else(pa.array(~(s.null | s.whole)), pa.array([write_tree(t[0], t[2]) for t in trees], pa.binary()).take(pa.array(place)), out)

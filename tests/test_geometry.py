@@ -144,9 +144,10 @@ def test_repair(spark):
     layer = frame(spark, SQUARE, BOWTIE, spike, crossing, broken, None, touching)
     rows = sp.repair_geometries(layer).orderBy("id").collect()
     flags = [r["__internal_geom_null_safe_repair"] for r in rows]
-    assert flags == [False, False, False, True, True, False, False]
-    assert bytes(rows[0].geometry) == SQUARE and rows[3].geometry is None and rows[5].geometry is None
-    for i in (1, 2, 6):
+    assert flags == [False, False, False, False, True, False, False]
+    assert bytes(rows[0].geometry) == SQUARE and rows[4].geometry is None and rows[5].geometry is None
+    assert sum(tp.ring_area(r) for r in sh.read_tree(bytes(rows[3].geometry))[0][2]) == 15.0
+    for i in (1, 2, 3, 6):
         assert va.invalid_reason(sh.read_tree(bytes(rows[i].geometry))[0]) is None
     assert sh.read_tree(bytes(rows[6].geometry))[0][0] == sh.MULTIPOLYGON
     again = sp.repair_geometries(sp.repair_geometries(layer).drop("__internal_geom_null_safe_repair"))
