@@ -13,6 +13,7 @@ from talweg.functions import arrange
 from talweg.functions import shapes as sh
 from talweg.functions import topology as topo
 from talweg.functions import validity
+from talweg.functions.prepared import Prepared
 from talweg.functions.projection import (
     BRAZIL_POLYCONIC, GEOGRAPHIC, WGS84, inverse_polyconic, polyconic,
 )
@@ -410,28 +411,75 @@ def intersects(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array(hit, mask=(codes < 0) | np.asarray(left.is_null()))
 
 
-@F.arrow_udf(T.BooleanType())
-def covers_box(area: pa.Array, box: pa.Array) -> pa.Array:
-    """A polygonal geometry surely covers a box: its corners inside and no edge through it."""
-    coded = area.dictionary_encode()
-    codes = np.asarray(coded.indices.fill_null(-1))
-    boxes = box.to_pylist()
-    out = np.zeros(len(boxes), bool)
-    for code, raw in enumerate(coded.dictionary.to_pylist()):
-        areas, paths = _areas_and_paths(sh.read_tree(raw)[0])
-        if paths or len(areas) != 1:
+def meets_polygon(wkb: Column, polygon: bytes) -> Column:
+    """Closed intersection with one fixed polygon, which is prepared once for each batch; null for null."""
+
+    @F.arrow_udf(T.BooleanType())
+    def met(geometries: pa.Array) -> pa.Array:
+        s = sh.read_shapes(geometries)
+        return pa.array(Prepared(polygon).meets(s), mask=s.null)
+
+    return met(wkb)
+
+
+TILES = T.ArrayType(
+    T.StructType(
+        [
+            T.StructField("i", T.LongType()), T.StructField("j", T.LongType()),
+            T.StructField("inside", T.BooleanType()), T.StructField("piece", T.BinaryType()),
+        ]
+    )
+)
+
+
+def _tiles(raw: bytes, side: float) -> list[dict]:
+    """A geometry cut into square cells; each cell's piece has an area, and ``inside`` says that it is all of the cell."""
+    s = sh.read_shapes(pa.array([raw]))
+    i0, j0, i1, j1 = (int(np.floor(v / side)) for v in sh.bounds(s)[0])
+    found: list[dict] = []
+
+    def tile(i, j, inside, piece):
+        found.append({"i": i, "j": j, "inside": inside, "piece": piece})
+
+    def outline(i, j):
+        return box_wkb(i * side, j * side, (i + 1) * side, (j + 1) * side)
+
+    if s.kind[0] not in (sh.POLYGON, sh.MULTIPOLYGON) or validity.states(s)[0] == validity.BROKEN:
+        # Without a sound area there is nothing to halve: all of it lies in every cell that its bounds meet.
+        for i in range(i0 - 1, i1 + 1):
+            for j in range(j0 - 1, j1 + 1):
+                tile(i, j, False, raw)
+        return found
+    parts, _ = _areas_and_paths(sh.read_tree(raw)[0])
+    # Halves are cut off until one cell is left, so each vertex is looked at once for each halving.
+    todo = [([r for rings in parts for r in topo.oriented([topo.drop_repeats(r) for r in rings])], i0, i1 + 1, j0, j1 + 1)]
+    while todo:
+        rings, i0, i1, j0, j1 = todo.pop()
+        if not rings:
             continue
-        for i in np.flatnonzero(codes == code):
-            ring = sh.read_tree(boxes[i])[0][2][0]
-            out[i] = (topo.locate(ring[:-1], areas[0]) > 0).all() and not any(
-                topo.edges_contact(ring, edge, topo.segments_meet) is not None for edge in areas[0]
-            )
-            if out[i] and len(areas[0]) > 1:  # a hole may lie wholly inside the box
-                low, high = ring.min(axis=0), ring.max(axis=0)
-                out[i] = not any(
-                    ((hole > low) & (hole < high)).all(axis=1).any() for hole in areas[0][1:]
-                )
-    return pa.array(out)
+        if len(rings) == 1 and topo.ring_area(rings[0]) == (i1 - i0) * (j1 - j0) * side * side:
+            for i in range(i0, i1):
+                for j in range(j0, j1):
+                    tile(i, j, True, outline(i, j))
+        elif i1 - i0 == j1 - j0 == 1:
+            tile(i0, j0, False, _assemble([], [], topo.nest_rings(rings)))
+        elif i1 - i0 >= j1 - j0:
+            middle = (i0 + i1) // 2
+            todo.append((topo.clip_half(rings, 0, -1, middle * side), i0, middle, j0, j1))
+            todo.append((topo.clip_half(rings, 0, 1, middle * side), middle, i1, j0, j1))
+        else:
+            middle = (j0 + j1) // 2
+            todo.append((topo.clip_half(rings, 1, -1, middle * side), i0, i1, j0, middle))
+            todo.append((topo.clip_half(rings, 1, 1, middle * side), i0, i1, middle, j1))
+    return found
+
+
+@F.arrow_udf(TILES)
+def cut_to_cells(wkb: pa.Array, side: pa.Array) -> pa.Array:
+    """Tiles of each geometry on a grid of the given side; one by one, as regions are few and cut once."""
+    rows = [None if w is None else _tiles(w, s) for w, s in zip(wkb.to_pylist(), side.to_pylist(), strict=True)]
+    kind = pa.struct([("i", pa.int64()), ("j", pa.int64()), ("inside", pa.bool_()), ("piece", pa.binary())])
+    return pa.array(rows, pa.list_(kind))
 
 
 @F.arrow_udf(T.BinaryType())

@@ -122,16 +122,16 @@ def status_counts(df: DataFrame, classified: dict[str, str]) -> DataFrame:
     return df.agg(*counts).select(F.inline(rows)).filter("n > 0")
 
 
-def invalid_value_counts(df: DataFrame, lookups: dict[str, DataFrame]) -> DataFrame:
-    """Rows (column, value, n) of out-of-domain values; equal trimmed texts add up."""
-    found = None
-    for column, lookup in lookups.items():
-        text = strip(F.col(f"`{column}`").cast("string"))
-        counted = df.select(text.alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-        part = (
-            classify(counted, "value", lookup)
-            .filter("domain.status = 'invalid'")
-            .select(F.lit(column).alias("column"), "value", "n")
-        )
-        found = part if found is None else found.unionByName(part)
-    return found
+def invalid_value_counts(df: DataFrame, lookups: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows (column, value, n) of out-of-domain values; equal trimmed texts add up.
+
+    ``lookups(column, key, canonical, by_alias)`` holds the domains of all columns. The layer is scanned once, whatever their
+    number: its cells are one stream of (column, value), counted together and joined once.
+    """
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), strip(F.col(f"`{c}`").cast("string")).alias("value")) for c in columns])
+    counted = df.select(F.inline(cells)).filter("value != ''").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    return (
+        counted.withColumn("key", rule_key(F.col("value")))
+        .join(lookups.select("column", "key"), ["column", "key"], "left_anti")
+        .select("column", "value", "n")
+    )

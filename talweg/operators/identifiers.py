@@ -35,13 +35,15 @@ def add_sequential_id(
     """Dense ids in the given order.
 
     Rows are range-partitioned and sorted once and staged, which freezes the
-    partitions; ids are then partition offset plus position. ``work``, which must keep
+    partitions; ids are then partition offset plus position. Equal keys keep the order in which they are read: that place is
+    the last key, so partitions can begin inside a run of equal keys, however long. ``work``, which must keep
     every row and its column ``_at``, runs on the placed rows on their way to the staged
     table: range partitioning looks at its input twice, so costly columns belong there.
     """
     placed = (
-        df.repartitionByRange(*_partitions(df), *order_by)
-        .sortWithinPartitions(*order_by)
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(*_partitions(df), *order_by, "_tie")
+        .sortWithinPartitions(*order_by, "_tie").drop("_tie")
         .withColumn("_at", F.monotonically_increasing_id())
     )
     placed = stage(work(placed) if work else placed)

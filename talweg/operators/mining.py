@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from talweg.functions.text import (
     alias_stem, canonical_domain_text, looks_like_mojibake, repair_mojibake, rule_key, strip,
 )
-from talweg.operators.domains import classify
 from talweg.operators.scale import stage
 
 
@@ -63,40 +62,41 @@ def clean_value(value: Column) -> Column:
     return F.when(~F.lower(text).isin("", "nan", "<na>"), text)
 
 
-def mine_relation(
-    df: DataFrame, name: str, source: str, target: str,
-    source_lookup: DataFrame | None, target_lookup: DataFrame | None, existing: DataFrame,
+def mine_relations(
+    df: DataFrame, relations: list[tuple[str, str, str]], lookups: DataFrame, configured: list[str], existing: DataFrame
 ) -> DataFrame:
-    """New pairs (relation, src_value, dst_value) seen with exactly one target.
+    """New pairs (relation, src_value, dst_value) seen with exactly one target, for all (name, source, target) in one scan.
 
-    Both sides must be valid in their domains (a column without a domain is free),
-    and a source already mapped is left alone. Where two raw sources share a
+    Both sides must be valid in their domains (``lookups(column, key, canonical, by_alias)``; a column that isn't ``configured`` is free),
+    and a source already mapped in ``existing(relation, src_value)`` is left alone. Where two raw sources share a
     canonical value, the first in order decides.
     """
     text = lambda c: F.nullif(strip(F.col(f"`{c}`").cast("string")), F.lit(""))
+    pairs = F.array(
+        *[
+            F.struct(F.lit(name).alias("relation"), F.lit(a).alias("src_column"), F.lit(b).alias("dst_column"), text(a).alias("src"), text(b).alias("dst"))
+            for name, a, b in relations
+        ]
+    )
     found = (
-        df.select(text(source).alias("src"), text(target).alias("dst"))
-        .filter("src IS NOT NULL AND dst IS NOT NULL")
-        .groupBy("src")
+        df.select(F.inline(pairs)).filter("src IS NOT NULL AND dst IS NOT NULL")
+        .groupBy("relation", "src_column", "dst_column", "src")
         .agg(F.min("dst").alias("dst"), F.max("dst").alias("last"))
-        .filter("dst = last")
-        .select("src", "dst")
-    )
-    for column, lookup in (("src", source_lookup), ("dst", target_lookup)):
-        if lookup is None:
-            found = found.withColumn(f"{column}_value", F.col(column))
-        else:
-            found = (
-                classify(found, column, lookup)
-                .filter("domain.status != 'invalid'")
-                .withColumn(f"{column}_value", F.col("domain.value"))
-                .drop("domain")
-            )
+        .filter("dst = last").drop("last")
+    )
+    for side in ("src", "dst"):
+        known = lookups.select(F.col("column").alias(f"{side}_column"), F.col("key").alias("_key"), F.col("canonical").alias("_canonical"))
+        free = ~F.col(f"{side}_column").isin(*configured) if configured else F.lit(True)
+        found = (
+            found.withColumn("_key", rule_key(F.col(side))).join(known, [f"{side}_column", "_key"], "left")
+            .withColumn(f"{side}_value", F.when(free, F.col(side)).otherwise(F.col("_canonical")))
+            .filter(F.col(f"{side}_value").isNotNull()).drop("_key", "_canonical")
+        )
     return (
-        found.groupBy("src_value")
+        found.groupBy("relation", "src_value")
         .agg(F.min_by("dst_value", "src").alias("dst_value"))
-        .join(existing.select("src_value"), "src_value", "left_anti")
-        .select(F.lit(name).alias("relation"), "src_value", "dst_value")
+        .join(existing.select("relation", "src_value"), ["relation", "src_value"], "left_anti")
+        .select("relation", "src_value", "dst_value")
     )
 
 

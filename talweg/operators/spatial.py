@@ -59,6 +59,12 @@ def reproject(df: DataFrame, assumed_srid: int = SIRGAS2000) -> DataFrame:
     return df.withColumn(GEOMETRY, g.to_geographic(F.col(GEOMETRY), srid)).withColumn(SRID, F.lit(WGS84))
 
 
+def needs_reprojection(df: DataFrame, assumed_srid: int = SIRGAS2000) -> Column:
+    """Rows with a geometry in another system than EPSG:4326; a missing system is the assumed one."""
+    srid = F.coalesce(F.col(SRID), F.lit(assumed_srid)) if SRID in df.columns else F.lit(assumed_srid)
+    return F.col(GEOMETRY).isNotNull() & (srid != WGS84)
+
+
 def force_2d(df: DataFrame) -> DataFrame:
     return df.withColumn(GEOMETRY, g.force_2d(F.col(GEOMETRY)))
 
@@ -198,9 +204,11 @@ class Region:
 
 
 def _covers(wkb, x, y) -> bool:
-    from talweg.functions.shapes import read_tree
+    import numpy as np
+
+    from talweg.functions.prepared import Prepared
 
-    return g.trees_intersect(read_tree(g.point_wkb(x, y))[0], read_tree(wkb)[0])
+    return bool(Prepared(wkb).locate(np.array([[x, y]]))[0] >= 0)
 
 
 def _interior_point(wkb):
@@ -229,13 +237,10 @@ def intersects_region(df: DataFrame, region: Region, out: str) -> DataFrame:
     present = finite_geometry(facts)
     overlap = present & box_overlaps(facts, region.box)
     sure = present & (box_covers(facts, region.box) | (facts["kind"] == "Point"))
-    shape = region.polygon
-    if shape is None:
-        shape = g.box_wkb(*region.box)
-    else:
+    if region.polygon is not None:
         sure = F.lit(False)
     undecided = F.when(overlap & ~sure, F.col(GEOMETRY))
-    tested = F.coalesce(g.intersects(undecided, F.lit(shape)), F.lit(False))
+    tested = F.coalesce(g.meets_polygon(undecided, region.polygon or g.box_wkb(*region.box)), F.lit(False))
     return with_facts(df, once=True).withColumn(out, F.coalesce(overlap & (sure | tested), F.lit(False))).drop(_FACTS)
 
 

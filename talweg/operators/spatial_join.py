@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from talweg.functions import geometry as g
 from talweg.functions.naming import GEOMETRY
 from talweg.functions.text import strip
-from talweg.operators.scale import HOT_ROWS, salts_of
+from talweg.operators.scale import HOT_ROWS, salts_of, stage
 
 # Candidate names of reference columns, the no-match marker, UF codes.
 REFERENCE_COLUMNS = {
@@ -30,6 +30,7 @@ UF_CODES = {
 BROADCAST_CELLS = 500_000
 BROADCAST_BYTES = 256 << 20
 LEVEL_SPAN = 4  # cells a geometry may span on its level
+TILE_VERTICES = 1024  # regions of more vertices get smaller tiles
 
 
 def first_existing(df: DataFrame, candidates: tuple[str, ...]) -> str | None:
@@ -102,25 +103,43 @@ class Grid:
         return cls(size, math.ceil(math.log2(max(extent / (size * LEVEL_SPAN), 1.0))), bounds)
 
 
-def intersecting_pairs(
-    features: DataFrame, regions: DataFrame, row_key: str, *,
-    size: float | None = None, broadcast_cells: int = BROADCAST_CELLS, hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Rows (row_key, code, name, uf) of intersecting features and regions, each pair once.
+def region_tiles(regions: DataFrame, grid: Grid) -> DataFrame:
+    """Written table of regions: attributes, bounds, grid level, and the region cut into its tiles once.
 
-    Each geometry lies in the few cells under its bounds on a level that fits its
-    size, so one huge geometry cannot flood the grid; a pair meets on the coarser of
-    its two levels, in the cell with the lower-left corner of the common bounds, so
-    no pair repeats. Cells of a feature are listed only within the bounds of all regions, so
-    a stray coordinate costs nothing. Points in a cell wholly inside a region need no exact test.
-    Region cells are broadcast after a size check; otherwise both sides shuffle on
-    the cell, with crowded cells salted.
+    Tiles are grid cells, about sixteen to a region and smaller for regions of many vertices, so that each holds a short
+    piece of outline. Tiles wholly inside the region hold their own box.
     """
+    f = F.col("f")
+    bounds = [F.col(c) for c in ("rx0", "ry0", "rx1", "ry1")]
+    boxed = (
+        regions.select("code", "name", "uf", F.col(GEOMETRY).alias("r_geometry"), g.geometry_facts_once(F.col(GEOMETRY)).alias("f"))
+        .filter("f.finite")
+        .select("code", "name", "uf", "r_geometry", f["minx"].alias("rx0"), f["miny"].alias("ry0"), f["maxx"].alias("rx1"),
+                f["maxy"].alias("ry1"), f["vertices"].alias("vertices"))
+        .withColumn("r_level", _level(*bounds, grid.size))
+    )
+    finer = F.ceil(F.log2(F.greatest(F.col("vertices") / TILE_VERTICES, F.lit(1.0))) / 2).cast("int")
+    sides = boxed.withColumn("side", F.lit(grid.size) * F.pow(F.lit(2.0), F.col("r_level") - finer))
+    numbered = sides.withColumn("rid", F.monotonically_increasing_id())
+    return stage(numbered.withColumn("tiles", g.cut_to_cells("r_geometry", "side")).drop("r_geometry", "vertices"))
+
+
+def _close_cells(cells_from: Column, cells_to: Column, side: Column) -> Column:
+    """Numbers of the closed cells that an interval meets; a point on a cell's border lies in both."""
+    return F.sequence(F.ceil(cells_from / side) - 1, F.floor(cells_to / side))
+
+
+def _touching_tiles(
+    features: DataFrame, regions: DataFrame, row_key: str, size: float | None, broadcast_cells: int, hot_rows: int
+) -> DataFrame:
+    """(row_key, code, name, uf) for every feature and tile that share a point."""
     grid = Grid.of(regions, size)
     size = grid.size
-    right = _region_cells(regions, size, grid.top)
-    stats = right.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("r_geometry")), F.lit(0)).alias("b"),
+    tiled = region_tiles(regions, grid)
+    right = _region_cells(tiled, size, grid.top)
+    stats = tiled.agg(
+        F.sum(F.size("tiles")).alias("tiles"), F.sum(F.aggregate("tiles", F.lit(0).cast("long"), lambda n, t: n + F.length(t["piece"]))).alias("bytes"),
+        F.sum((F.pow(F.lit((LEVEL_SPAN + 1.0)), 2) + 4 * (grid.top - F.col("r_level")))).alias("cells"),
         F.array_sort(F.collect_set("r_level")).alias("levels"),  # a handful of integers
     ).first()
 
@@ -149,11 +168,8 @@ def intersecting_pairs(
             )
         ),
     )
-    if stats["n"] <= broadcast_cells and stats["b"] <= BROADCAST_BYTES:
-        pairs = left.join(F.broadcast(right), "cell")
-    else:
-        pairs = _salted_join(left, right, row_key, hot_rows)
-
+    small = (stats["cells"] or 0) <= broadcast_cells
+    pairs = left.join(F.broadcast(right), "cell") if small else _salted_join(left, right, row_key, hot_rows)
     side = F.lit(size) * F.pow(F.lit(2.0), F.col("cell.l"))
     pairs = pairs.filter(
         (F.col("cell.l") == F.greatest("level", "r_level"))
@@ -162,33 +178,49 @@ def intersecting_pairs(
         & (F.floor(F.greatest("x0", "rx0") / side) == F.col("cell.i"))
         & (F.floor(F.greatest("y0", "ry0") / side) == F.col("cell.j"))
     )
+    tile_side = F.col("side")
+    columns = _close_cells(F.greatest("x0", "rx0"), F.least("x1", "rx1"), tile_side)
+    lines = _close_cells(F.greatest("y0", "ry0"), F.least("y1", "ry1"), tile_side)
+    pairs = (
+        pairs.select(row_key, GEOMETRY, "kind", "rid", F.explode(columns).alias("i"), lines.alias("js"))
+        .withColumn("j", F.explode("js")).drop("js")
+    )
+    tiles = tiled.select("rid", "code", "name", "uf", F.explode("tiles").alias("t")).select(
+        "rid", "code", "name", "uf", F.col("t.i").alias("i"), F.col("t.j").alias("j"), F.col("t.inside").alias("inside"), F.col("t.piece").alias("piece")
+    )
+    if small and (stats["tiles"] or 0) <= broadcast_cells and (stats["bytes"] or 0) <= BROADCAST_BYTES:
+        tiles = F.broadcast(tiles)  # else adaptive execution splits crowded tiles
+    met = pairs.join(tiles, ["rid", "i", "j"])
     sure = F.col("inside") & (F.col("kind") == "Point")
-    exact = g.intersects(F.when(~sure, F.col(GEOMETRY)), F.when(~sure, F.col("r_geometry")))
-    return pairs.filter(sure | F.coalesce(exact, F.lit(False))).select(row_key, "code", "name", "uf")
+    exact = g.intersects(F.when(~sure, F.col(GEOMETRY)), F.when(~sure, F.col("piece")))
+    return met.filter(sure | F.coalesce(exact, F.lit(False))).select(row_key, "rid", "code", "name", "uf")
 
 
-def _region_cells(regions: DataFrame, size: float, top: int) -> DataFrame:
-    """Region cells on the region's own level and every coarser one, where larger features meet it."""
-    f = F.col("f")
+def intersecting_pairs(
+    features: DataFrame, regions: DataFrame, row_key: str, *,
+    size: float | None = None, broadcast_cells: int = BROADCAST_CELLS, hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Rows (row_key, code, name, uf) of intersecting features and regions, each pair once; ``row_key`` tells features apart.
+
+    First the bounds of both meet on a grid. Each lies in the few cells under its bounds on a level that fits its
+    size, so one huge geometry cannot flood the grid; a pair meets on the coarser of
+    its two levels, in the cell with the lower-left corner of the common bounds. Cells of a feature are listed only within the
+    bounds of all regions, so a stray coordinate costs nothing. Then the feature meets the region's tiles under the
+    common bounds, by region and tile number: no row holds more of a region than the outline in one tile, and points in
+    tiles wholly inside need no exact test. Cells and tiles are broadcast after a check of their number and bytes;
+    otherwise both sides shuffle, with crowded cells salted.
+    """
+    met = _touching_tiles(features, regions, row_key, size, broadcast_cells, hot_rows)
+    return met.dropDuplicates([row_key, "rid"]).drop("rid")
+
+
+def _region_cells(tiled: DataFrame, size: float, top: int) -> DataFrame:
+    """Cells under a region's bounds on its own level and every coarser one, where larger features meet it."""
     bounds = [F.col(c) for c in ("rx0", "ry0", "rx1", "ry1")]
-    boxed = (
-        regions.select("code", "name", "uf", F.col(GEOMETRY).alias("r_geometry"),
-                       g.geometry_facts_once(F.col(GEOMETRY)).alias("f"))
-        .filter("f.finite")
-        .select("code", "name", "uf", "r_geometry", f["minx"].alias("rx0"), f["miny"].alias("ry0"),
-                f["maxx"].alias("rx1"), f["maxy"].alias("ry1"))
-        .withColumn("r_level", _level(*bounds, size))
-    )
     levels = F.sequence(F.col("r_level"), F.lit(top))
-    cells = boxed.withColumn(
+    return tiled.select("rid", "rx0", "ry0", "rx1", "ry1", "r_level", "side").withColumn(
         "cell", F.explode(F.flatten(F.transform(levels, lambda m: _cells(*bounds, m, size))))
     )
-    side = F.lit(size) * F.pow(F.lit(2.0), F.col("cell.l"))
-    i, j, own = F.col("cell.i"), F.col("cell.j"), F.col("cell.l") == F.col("r_level")
-    outline = g.make_box(i * side, j * side, (i + 1) * side, (j + 1) * side)
-    return cells.withColumn(
-        "inside", g.covers_box(F.when(own, F.col("r_geometry")), outline)
-    )
 
 
 def _salted_join(left: DataFrame, right: DataFrame, row_key: str, hot_rows: int) -> DataFrame:
@@ -219,7 +251,10 @@ def assign_regions(df: DataFrame, regions: DataFrame, row_key: str, **options) -
 
     The UF of a matched region without one comes from the feature's own UF.
     """
-    match = first_match(intersecting_pairs(df, reference_layer(regions), row_key, **options), row_key)
+    pairs = _touching_tiles(
+        df, reference_layer(regions), row_key, options.get("size"), options.get("broadcast_cells", BROADCAST_CELLS), options.get("hot_rows", HOT_ROWS)
+    )
+    match = first_match(pairs, row_key)  # pairs that repeat by tile are one group here
     joined = df.join(match.withColumn("_hit", F.lit(True)), row_key, "left")
     hit = F.col("code").isNotNull()
     uf = normalize_uf(F.col("uf"))

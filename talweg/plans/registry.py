@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 
 from talweg.functions.dates import parse_date
 from talweg.functions.naming import derived_name
-from talweg.functions.text import condition_label, state_code
+from talweg.functions.text import STATE_KEY_FAMILIES, condition_label
 from talweg.operators import relations as rel
 from talweg.operators.domains import classify, domain_lookup
 from talweg.operators.spatial import STATE_BOUNDS, clip_to_states
@@ -29,6 +30,7 @@ class RuleContext:
     rules: RuleTables
     config: dict
     theme: str = ""
+    places: tuple[str | None, ...] = ()  # texts that may name the state, in order
     regions: DataFrame | None = None
     row_key: str = "acm_id"
     derived: dict[str, str] = field(default_factory=dict)     # derived column -> source column
@@ -147,10 +149,19 @@ def enrich_regions(df: DataFrame, ctx: RuleContext) -> DataFrame:
     return assign_regions(df, ctx.regions, ctx.row_key)
 
 
+def named_state(places: tuple[str | None, ...]) -> str | None:
+    """State code in the first of theme folder, profile and paths that names a known one; settings, so no column is needed."""
+    for place in places:
+        found = re.search(rf"(?:{STATE_KEY_FAMILIES})_([a-z]{{2}})(?:_|\.|$)", (place or "").lower())
+        if found and found[1] in STATE_BOUNDS:
+            return found[1]
+    return None
+
+
 def clip_to_theme_state(df: DataFrame, ctx: RuleContext) -> DataFrame:
-    """Clip to the envelope of the state named by the theme; other themes stay unchanged."""
-    code = state_code(F.lit(ctx.theme), known=tuple(STATE_BOUNDS))
-    return clip_to_states(df, code, out="__clip")
+    """Clip to the envelope of the state that the run names; without one nothing is looked at."""
+    state = named_state(ctx.places or (ctx.theme,))
+    return clip_to_states(df, state, out="__clip") if state else df
 
 
 POSTPROCESS_STEPS: dict[str, Callable[[DataFrame, RuleContext], DataFrame]] = {

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,9 +12,9 @@ from talweg.functions.naming import AREA, FID_COLUMN, ID_COLUMN, PERIMETER, REPA
 from talweg.functions.text import collapse
 from talweg.operators import schema as sc
 from talweg.operators import spatial as sp
-from talweg.operators.domains import invalid_value_counts, status_counts
+from talweg.operators.domains import domain_lookup, invalid_value_counts, status_counts
 from talweg.operators.identifiers import add_sequential_id
-from talweg.operators.mining import autofix_domain, mine_relation
+from talweg.operators.mining import autofix_domain, mine_relations
 from talweg.operators.quality import QualityConfig
 from talweg.operators.relations import relation_summary, resolve_relation
 from talweg.operators.scale import stage
@@ -65,7 +65,8 @@ class TreatmentResult:
     context: RuleContext
     profile: Profile
     audited: DataFrame              # the same rows with classification columns
-    stats: dict
+    stats: dict                     # counted while the rows were written
+    region: sp.Region = sp.Region()
 
     @property
     def silver(self) -> DataFrame:
@@ -73,7 +74,7 @@ class TreatmentResult:
         from talweg.sources.sinks import drop_internal
 
         kept = drop_internal(self.data)
-        return sp.relocate_outside(kept) if self.profile.relocate else kept
+        return sp.relocate_outside(kept, self.region) if self.profile.relocate else kept
 
     def domain_summary(self) -> DataFrame | None:
         classified = self.context.classified
@@ -87,23 +88,20 @@ class TreatmentResult:
         return found
 
     def rule_deltas(self) -> tuple[DataFrame | None, DataFrame | None]:
-        """(domain rows, relation rows) learned for the next run."""
+        """(domain rows, relation rows) learned for the next run; the layer is read once for each."""
         ctx = self.context
         columns = [c for c in sorted(ctx.domains) if c in self.audited.columns]
         if not columns:
             return None, None
-        invalid = invalid_value_counts(self.audited, {c: ctx.lookup(c) for c in columns})
+        lookups = domain_lookup(ctx.rules.domain_values, ctx.rules.domain_aliases, ["column"])
+        invalid = invalid_value_counts(self.audited, lookups, columns)
         domains = autofix_domain(invalid, ctx.rules.domain_values.select("column", "canonical"))
-        pairs = None
-        for name in ctx.relations:
-            relation = resolve_relation(name, [c for c in self.audited.columns if not c.startswith("__")])
-            if relation is None:
-                continue
-            lookups = [ctx.lookup(c) if c in ctx.domains else None for c in (relation.source, relation.target)]
-            existing = ctx.rules.relation_pairs.filter(F.col("relation") == name)
-            part = mine_relation(self.audited, name, relation.source, relation.target, *lookups, existing)
-            pairs = part if pairs is None else pairs.unionByName(part)
-        return domains, pairs
+        present = [c for c in self.audited.columns if not c.startswith("__")]
+        found = [r for r in (resolve_relation(name, present) for name in ctx.relations) if r]
+        if not found:
+            return domains, None
+        relations = [(r.name, r.source, r.target) for r in found]
+        return domains, mine_relations(self.audited, relations, lookups, list(ctx.domains), ctx.rules.relation_pairs)
 
 
 def clean_whitespace(df: DataFrame) -> DataFrame:
@@ -112,17 +110,17 @@ def clean_whitespace(df: DataFrame) -> DataFrame:
     return df.withColumns({c: collapse(F.col(f"`{c}`")) for c in texts}) if texts else df
 
 
-DIMS, MEASURABLE = "__dims", "__measurable"
+DIMS, MEASURABLE, REPROJECTED = "__dims", "__measurable", "__reprojected"
 
 
 def mandatory_treatments(df: DataFrame) -> DataFrame:
     """White space, reprojection, metrics and 2-D; one look at each geometry.
 
     Metrics need only x and y, so they are taken together with the dimension before
-    Z and M are dropped. Two hidden columns keep what the run statistics need.
+    Z and M are dropped. Hidden columns keep what the run statistics need.
     """
     facts = F.col("_facts")
-    looked = sp.with_facts(sp.reproject(clean_whitespace(df)))
+    looked = sp.with_facts(sp.reproject(clean_whitespace(df).withColumn(REPROJECTED, sp.needs_reprojection(df))))
     measured = looked.withColumns(
         {
             **sp.metric_values(facts),
@@ -147,34 +145,40 @@ def prepare_input(df: DataFrame, profile: Profile) -> DataFrame:
 
 def treat(
     df: DataFrame, rules: RuleTables, profile_name: str, order_by: list[str | Column],
-    *, regions: DataFrame | None = None, id_start: int = 1,
+    *, regions: DataFrame | None = None, id_start: int = 1, region: sp.Region = sp.Region(),
+    input_path: str | None = None, source_path: str | None = None,
 ) -> TreatmentResult:
     """Treat a feature table by a rule profile.
 
     ``order_by`` names the input columns (before renaming) whose order the ids
     follow. Raw rows are put in order first; everything row-local then runs once on its way
     to the staged table which also fixes the ids. What depends on all rows (which derived columns
-    changed, whether the layer is measurable) is one aggregate over a few columns
-    of that table. Post-processing joins end in a second staged table, so that
+    changed, whether the layer is measurable, the statistics of the run) is observed during that write, so the
+    table is not read again for it. Post-processing joins end in a second staged table, so that
     output, summaries and reports read rows instead of joining again.
+    ``region`` is where relocated features go; the paths may name the state, like profile and theme.
     """
     profile = Profile.of(rules, profile_name)
-    ctx = RuleContext(rules.of(profile_name), profile.config, theme=profile.theme, regions=regions)
+    places = (profile.theme, profile_name, input_path, source_path)
+    ctx = RuleContext(rules.of(profile_name), profile.config, theme=profile.theme, places=places, regions=regions)
     ordered = [sc.source_name(c) if isinstance(c, str) else c for c in order_by]
+    seen = Observation()
 
     def row_local(rows: DataFrame) -> DataFrame:
-        return sp.repair_geometries(apply_column_functions(mandatory_treatments(rows), profile.functions, ctx))
+        done = sp.repair_geometries(apply_column_functions(mandatory_treatments(rows), profile.functions, ctx))
+        tests = {
+            "rows": F.count(F.lit(1)),
+            "forced_to_2d": F.count_if(F.col(DIMS) > 2),
+            "reprojected_to_wgs84": F.count_if(REPROJECTED),
+            "measurable": F.coalesce(F.bool_or(MEASURABLE), F.lit(False)),
+            **sc.change_tests(ctx.derived),
+        }
+        return done.observe(seen, *[test.alias(name) for name, test in tests.items()])
 
     treated = add_sequential_id(prepare_input(df, profile), ordered, start=id_start, work=row_local)
 
-    tests = {
-        "rows": F.count(F.lit(1)),
-        "forced_to_2d": F.count_if(F.col(DIMS) > 2),
-        "measurable": F.coalesce(F.bool_or(MEASURABLE), F.lit(False)),
-        **sc.change_tests(ctx.derived),
-    }
-    found = treated.agg(*[test.alias(name) for name, test in tests.items()]).first()
-    stats = {name: found[name] for name in ("rows", "forced_to_2d", "measurable")}
+    found = seen.get
+    stats = {name: found[name] for name in ("rows", "forced_to_2d", "reprojected_to_wgs84", "measurable")}
     stats["skipped_point_measurements"] = 0 if stats["measurable"] else stats["rows"]
     unchanged = [column for column in ctx.derived if not found[column]]
     absent = [] if stats["measurable"] else [AREA, PERIMETER]
@@ -183,4 +187,4 @@ def treat(
     final = treated.drop(*hidden, *unchanged, *absent)
     final = sc.backfill_derived(final).withColumn(FID_COLUMN, F.col(ID_COLUMN))
     final = sp.fill_missing_metrics(apply_postprocess(final, profile.postprocess, ctx)).drop("__clip")
-    return TreatmentResult(stage(final) if profile.postprocess else final, ctx, profile, treated, stats)
+    return TreatmentResult(stage(final) if profile.postprocess else final, ctx, profile, treated, stats, region)

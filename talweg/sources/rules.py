@@ -37,9 +37,12 @@ class RuleTables:
         )
 
 
-def read_bundles(spark: SparkSession, path: str) -> DataFrame:
-    """Rows (profile, component, body) of every JSON component under a rules folder."""
-    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(
+def read_bundles(spark: SparkSession, path: str, component: str | None = None, suffix: str = ".json") -> DataFrame:
+    """Rows (profile, component, body) of every JSON component under a rules folder.
+
+    Files are named after their component; where a writer names them, ``component`` tells what they all are.
+    """
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}").text(
         path, wholetext=True
     )
     root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -50,7 +53,7 @@ def read_bundles(spark: SparkSession, path: str) -> DataFrame:
     folders = F.filter(F.split(inner, "/"), lambda p: p != "")
     inside = F.transform(F.slice(folders, base + 1, F.size(folders) - base - 1), F.url_decode)
     return files.select(
-        F.array_join(inside, "/").alias("profile"), F.element_at(folders, -1).alias("component"),
+        F.array_join(inside, "/").alias("profile"), (F.lit(component) if component else F.element_at(folders, -1)).alias("component"),
         F.regexp_replace("value", "^﻿", "").alias("body"),
     ).filter(~F.exists(F.split("profile", "/"), lambda p: p.startswith("_")))
 
@@ -143,5 +146,5 @@ def profile_config(rules: RuleTables, profile: str) -> dict:
     return config
 
 
-def load_rules(spark: SparkSession, path: str) -> RuleTables:
-    return rule_tables(read_bundles(spark, path).cache())
+def load_rules(spark: SparkSession, path: str, component: str | None = None, suffix: str = ".json") -> RuleTables:
+    return rule_tables(read_bundles(spark, path, component, suffix).cache())

@@ -95,9 +95,14 @@ def test_mined_relation(spark):
                                   "s string, t string")
     values = spark.createDataFrame([("x", 0), ("y", 1)], "canonical string, position int")
     aliases = spark.createDataFrame([], "alias string, canonical string, position int")
-    existing = spark.createDataFrame([("z",)], "src_value string")
-    got = m.mine_relation(frame, "s_to_t", "s", "t", None, d.domain_lookup(values, aliases, []), existing).collect()
-    assert {(r.src_value, r.dst_value) for r in got} == {("a", "x"), ("d", "x")}
+    existing = spark.createDataFrame([("s_to_t", "z"), ("other", "a")], "relation string, src_value string")
+    lookups = d.domain_lookup(values, aliases, []).withColumn("column", F.lit("t"))
+    mined = m.mine_relations(frame, [("s_to_t", "s", "t"), ("t_to_s", "t", "s")], lookups, ["t"], existing)
+    assert {tuple(r) for r in mined.collect()} == {("s_to_t", "a", "x"), ("s_to_t", "d", "x"), ("t_to_s", "y", "b"), ("t_to_s", "x", "d")}
+    counts = d.invalid_value_counts(frame.withColumn("u", F.upper("t")), lookups.unionByName(lookups.withColumn("column", F.lit("u"))), ["t", "u"])
+    assert {tuple(r) for r in counts.collect()} == {("t", "bad", 1), ("u", "BAD", 1)}
+    # One scan of the layer, and values and aliases of each of the two lookups.
+    assert counts._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 1 + 2 * 2
     dependency = m.functional_dependency(frame, m.clean_value(F.col("s")), m.clean_value(F.col("t")), "n").collect()
     assert {(r.src_value, r.dst_value) for r in dependency if r.ambiguous} == {("b", "x"), ("b", "y")}
 

@@ -72,7 +72,7 @@ def domain_status_counts(spark, sf):
     f"""SELECT 'p' AS "column", value, count(*) AS n FROM ({CLASSIFIED_SQL}) WHERE status = 'invalid' GROUP BY value"""
 )
 def invalid_domain_values(spark, sf):
-    return d.invalid_value_counts(priorities(spark, sf), {"p": priority_lookup(spark)})
+    return d.invalid_value_counts(priorities(spark, sf), priority_lookup(spark).withColumn("column", F.lit("p")), ["p"])
 
 
 @QUERIES.query(
@@ -148,8 +148,8 @@ def top_relation_sources(spark, sf):
 def functional_dependencies(spark, sf):
     flat = (
         table(spark, sf, "customer")
-        .join(F.broadcast(table(spark, sf, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(F.broadcast(table(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
     target = F.when((F.col("c_custkey") % 97 == 0) & (F.col("n_nationkey") < 10), "ODD").otherwise(F.col("r_name"))
     return m.functional_dependency(flat, m.clean_value(F.col("n_name")), m.clean_value(target), "nation_to_region")
@@ -171,8 +171,9 @@ def relations_mined(spark, sf):
     )
     values = rows(spark, "canonical string, position int", ("AUTOMOBILE", 0), ("BUILDING", 1), ("FURNITURE", 2), ("HOUSEHOLD", 3))
     aliases = rows(spark, "alias string, canonical string, position int")
-    existing = customer.filter(F.col("c_name").endswith("7")).select(F.col("c_name").alias("src_value"))
-    return m.mine_relation(seen, "cust_to_segment", "s", "t", None, d.domain_lookup(values, aliases, []), existing)
+    existing = customer.filter(F.col("c_name").endswith("7")).select(F.lit("cust_to_segment").alias("relation"), F.col("c_name").alias("src_value"))
+    lookups = d.domain_lookup(values, aliases, []).withColumn("column", F.lit("t"))
+    return m.mine_relations(seen, [("cust_to_segment", "s", "t")], lookups, ["t"], existing)
 
 
 @QUERIES.query(

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talweg.functions import geometry as g
+from talweg.functions.shapes import POLYGON, write_tree
 from talweg.operators import quality as q
+from talweg.operators import spatial as sp
 from talweg.operators.identifiers import merge_files
 from talweg.operators.scale import staging_folder
+from talweg.operators.spatial import STATE_BOUNDS
 from talweg.plans.treatment import TreatmentResult, treat
 from talweg.sources import sinks
-from talweg.sources.rules import rule_tables
+from talweg.sources.rules import load_rules, rule_tables
 from talweg.sources.tables import resolve_paths, scan_many
 from workload.inputs import BOX_SQL, LAT_SQL, LON_SQL, POINT_BOXES_SQL, Registry, customer_boxes, lat, lon, nation_regions, rows, spread_table, table
 
@@ -218,15 +222,137 @@ def treated_rule_deltas(spark, sf):
     return treated_layer(spark, sf).rule_deltas()[0]
 
 
+# Labels that follow the priority, but for one priority that has two.
+PRIORITY_LABEL_SQL = """CASE WHEN o_orderpriority = '5-LOW' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'Aberto' ELSE 'Encerrado' END
+    WHEN o_orderpriority < '3' THEN 'encerr.' ELSE 'Parcial' END"""
+RELATION_BUNDLE = (
+    ("profile.json", '{"profile_name": "priorities"}'),
+    ("domains.json", '{"fields": {"sdb_label": {"accepted_values": ["Encerrado", "Aberto", "Parcial"], "aliases": {"encerr.": "Encerrado"}}, '
+                     '"sdb_status": {"accepted_values": ["F", "O"], "aliases": {}}}}'),
+    ("relations.json", '{"relations": {"priority_to_label": {"2-HIGH": "Encerrado"}, "clerk_to_status": {}}}'),
+)
+
+
+@QUERIES.query(
+    f"""WITH l AS (SELECT o_orderpriority AS p, {PRIORITY_LABEL_SQL} AS l, concat('C', o_custkey) AS clerk, o_orderstatus FROM orders)
+        SELECT 'priority_to_label' AS relation, p AS src_value, CASE min(l) WHEN 'encerr.' THEN 'Encerrado' ELSE min(l) END AS dst_value
+        FROM l WHERE p <> '2-HIGH' GROUP BY p HAVING min(l) = max(l)
+        UNION ALL SELECT 'clerk_to_status', clerk, min(o_orderstatus) FROM l GROUP BY clerk
+        HAVING min(o_orderstatus) = max(o_orderstatus) AND min(o_orderstatus) <> 'P'"""
+)
+def treated_relation_deltas(spark, sf):
+    """Relations that a treatment learns: sources with one target that is valid in its domain and not yet mapped."""
+    bundle = [("priorities", name, body) for name, body in RELATION_BUNDLE]
+    layer = spread_table(spark, sf, "orders").select(
+        "o_orderkey", F.col("o_orderpriority").alias("priority"), F.expr(PRIORITY_LABEL_SQL).alias("label"), F.concat(F.lit("C"), "o_custkey").alias("clerk"),
+        F.col("o_orderstatus").alias("status"), g.make_point(lon("o_custkey"), lat("o_custkey")).alias("geometry"), F.lit(4326).alias("srid"),
+    )
+    return treat(layer, rule_tables(rows(spark, "profile string, component string, body string", *bundle)), "priorities", ["o_orderkey"]).rule_deltas()[1]
+
+
 @QUERIES.query(
-    "SELECT count(*) AS rows, 0 AS forced_to_2d, count(*) AS skipped_point_measurements FROM orders"
+    """SELECT count(*) AS rows, count(*) FILTER (o_orderkey % 5 = 0) AS forced_to_2d,
+              count(*) FILTER (o_orderkey % 4 <> 0) AS reprojected_to_wgs84, count(*) AS skipped_point_measurements FROM orders"""
 )
 def treated_stats(spark, sf):
-    """Per-record statistics of the treatment."""
-    from talweg.plans.treatment import DIMS, MEASURABLE
+    """Statistics of a run as observed while its rows were written: points with Z, three of four in other systems, one of those unset."""
+    points = order_layer(spark, sf)
+    raised = F.unhex(F.concat(F.lit("0101000080"), F.substring(F.hex("geometry"), 11, 32), F.lit("000000000000F03F")))
+    key = F.col("Key").cast("bigint")
+    layer = points.withColumn("geometry", F.when(key % 5 == 0, raised).otherwise(F.col("geometry"))).withColumn(
+        "srid", F.when(key % 4 == 0, F.lit(4326)).when(key % 4 != 1, F.lit(4674))
+    )
+    stats = treat(layer, order_rules(spark), "orders", ["Key"], regions=nation_regions(spark, sf)).stats
+    names = ("rows", "forced_to_2d", "reprojected_to_wgs84", "skipped_point_measurements")
+    return spark.createDataFrame([tuple(stats[n] for n in names)], ", ".join(f"{n} long" for n in names))
+
+
+CLIP_BUNDLE = '{"postprocess_functions": ["enforce_car_state_bounds"]}'
+MA = STATE_BOUNDS["ma"]
+MA_SQL = "x1 > {2} OR x0 < {0} OR y1 > {3} OR y0 < {1}".format(*MA)
+MEETS_MA_SQL = "x1 >= {0} AND x0 <= {2} AND y1 >= {1} AND y0 <= {3}".format(*MA)
+
 
-    audited = treated_layer(spark, sf).audited
-    return audited.agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(F.col(DIMS) > 2).cast("int").alias("forced_to_2d"),
-        F.when(F.bool_or(MEASURABLE), F.lit(0)).otherwise(F.count(F.lit(1))).alias("skipped_point_measurements"),
+@QUERIES.query(
+    f"""SELECT c_custkey AS sdb_c_custkey, round(CASE WHEN clip THEN greatest(x0, {MA[0]}) ELSE x0 END, 6) AS minx,
+               round(CASE WHEN clip THEN least(y1, {MA[3]}) ELSE y1 END, 6) AS maxy
+        FROM (SELECT *, ({MA_SQL}) AND ({MEETS_MA_SQL}) AS clip FROM ({BOX_SQL}))"""
+)
+def treated_clip_by_input_path(spark, sf):
+    """The state comes from the input path when theme and profile name none."""
+    bundle = (("anywhere", "profile.json", '{"profile_name": "anywhere"}'), ("anywhere", "treatment.json", CLIP_BUNDLE))
+    boxes = customer_boxes(spark, sf).select("c_custkey", "geometry", "srid")
+    result = treat(boxes, rule_tables(rows(spark, "profile string, component string, body string", *bundle)), "anywhere", ["c_custkey"],
+                   input_path="/lake/in/RL_CAR_MA.gpkg", source_path="/src/app_car_ac.gpkg")
+    return sp.with_facts(result.data, "f").select("sdb_c_custkey", F.round("f.minx", 6).alias("minx"), F.round("f.maxy", 6).alias("maxy"))
+
+
+# A region in the shape of an L: a tall box and a flat one.
+TALL, FLAT = (-60.0, -30.0, -52.0, 0.0), (-60.0, -30.0, -36.0, -24.0)
+L_WKB = write_tree(POLYGON, [np.array([(-60, -30), (-36, -30), (-36, -24), (-52, -24), (-52, 0), (-60, 0), (-60, -30)], float)])
+IN_L_SQL = " OR ".join("(x1 >= {0} AND x0 <= {2} AND y1 >= {1} AND y0 <= {3})".format(*b) for b in (TALL, FLAT))
+
+
+@QUERIES.query(f"SELECT c_custkey FROM ({BOX_SQL}) WHERE {IN_L_SQL}")
+def features_in_polygon_region(spark, sf):
+    """Boxes that meet a region that isn't convex."""
+    return sp.filter_to_region(customer_boxes(spark, sf), sp.Region.of_polygon(L_WKB)).select("c_custkey")
+
+
+@QUERIES.query(f"SELECT c_custkey AS sdb_c_custkey, CASE WHEN NOT ({IN_L_SQL}) THEN true END AS moved, NOT ({IN_L_SQL}) AS at_anchor FROM ({BOX_SQL})")
+def treated_relocation_to_polygon_region(spark, sf):
+    """Features off a polygon region go to its anchor, which lies inside, at the end of a treatment."""
+    bundle = (("moved", "profile.json", '{"profile_name": "moved"}'),
+              ("moved", "treatment.json", '{"output_adjustments": {"relocate_outside_brazil_bounds_to_centroid": true}}'))
+    boxes = customer_boxes(spark, sf).select("c_custkey", "geometry", "srid")
+    region = sp.Region.of_polygon(L_WKB)
+    silver = treat(boxes, rule_tables(rows(spark, "profile string, component string, body string", *bundle)), "moved", ["c_custkey"], region=region).silver
+    x, y = region.anchor()
+    return silver.select(
+        "sdb_c_custkey", F.when(F.col(sp.RELOCATED_LATITUDE).isNotNull(), F.lit(True)).alias("moved"), (F.col("geometry") == F.lit(g.point_wkb(x, y))).alias("at_anchor")
+    )
+
+
+@QUERIES.query(
+    """SELECT 'domain' AS kind, p_brand AS profile, p_type AS "column", count(DISTINCT p_name) AS n FROM part GROUP BY ALL
+       UNION ALL SELECT 'alias', p_brand, p_type, count(DISTINCT p_name) FROM part GROUP BY ALL"""
+)
+def rules_loaded_from_folder(spark, sf):
+    """Bundles of the parts, written as files of a rules folder and read by the folder reader."""
+    part = table(spark, sf, "part").select("p_brand", "p_type", "p_name").distinct()
+    lists = part.groupBy("p_brand", "p_type").agg(F.array_sort(F.collect_list("p_name")).alias("names"))
+    aliases = F.map_from_entries(F.transform("names", lambda n: F.struct(F.concat(F.lit("x "), n), n)))
+    field = F.struct(F.col("names").alias("accepted_values"), aliases.alias("aliases"))
+    # Spark names files itself, so each bundle's component is the part of the folder's name that holds its file.
+    folder = staging_folder(spark)
+    bodies = lists.select(
+        F.col("p_brand").alias("brand"), F.col("p_type").alias("type"),
+        F.to_json(F.struct(F.create_map(F.col("p_type"), field).alias("fields"))).alias("value"),
+    )
+    bodies.repartition("brand").write.partitionBy("brand", "type").text(folder)
+    found = load_rules(spark, folder, component="domains.json", suffix=".txt")
+    name = F.url_decode(F.regexp_extract("profile", "brand=([^/]*)", 1))
+    count = lambda df, kind: df.groupBy(F.lit(kind).alias("kind"), name.alias("profile"), "column").agg(F.count(F.lit(1)).alias("n"))
+    return count(found.domain_values, "domain").unionByName(count(found.domain_aliases, "alias"))
+
+
+@QUERIES.query(
+    """SELECT year, version, count(*) AS n, sum(k)::BIGINT AS keys FROM (
+          SELECT 1990 + o_orderkey % 3 AS year, '00' AS version, o_orderkey AS k FROM orders
+          UNION ALL SELECT 1990 + o_orderkey % 3, '01', o_orderkey FROM orders WHERE o_orderkey % 3 <> 1
+          UNION ALL SELECT 1991, '01', o_orderkey * 10 FROM orders WHERE o_orderkey % 3 = 1 AND o_orderkey % 2 = 0)
+       GROUP BY ALL"""
+)
+def versioned_silver(spark, sf):
+    """Two versions in one table; rewriting part of the second leaves all others as they are."""
+    path = staging_folder(spark)
+    orders = table(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("long").alias("k"), (F.lit(1990) + F.col("o_orderkey") % 3).alias("year"), F.lit(False).alias("__internal_geom_null_safe_repair")
     )
+    by = ["version", "year"]
+    sinks.write_silver_versions(orders.withColumn("version", F.lit("00")), path, by)
+    sinks.write_silver_versions(orders.withColumn("version", F.lit("01")), path, by)
+    again = orders.filter("year = 1991 AND k % 2 = 0").withColumn("k", F.col("k") * 10).withColumn("version", F.lit("01"))
+    sinks.write_silver_versions(again, path, by)
+    parts = [sinks.read_silver_version(spark, path, version=v) for v in ("00", "01")]
+    return parts[0].unionByName(parts[1]).groupBy(F.col("year").cast("int").alias("year"), "version").agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("keys"))
