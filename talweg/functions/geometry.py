@@ -75,6 +75,13 @@ def _where(rows: np.ndarray, new: pa.Array, old: pa.Array) -> pa.Array:
     return pc.if_else(pa.array(rows), new.cast(pa.binary()), old.cast(pa.binary()))
 
 
+@F.arrow_udf(T.DoubleType())
+def planar_area(wkb: pa.Array) -> pa.Array:
+    """Area in square units of the coordinates, holes subtracted; 0 for points and lines."""
+    s = sh.read_shapes(wkb)
+    return _doubles(sh.measures(s, s.xy)[0], ~s.null)
+
+
 @F.arrow_udf(T.BinaryType())
 def force_2d(wkb: pa.Array) -> pa.Array:
     """Drop Z and M; 2-D input passes through unchanged."""
@@ -501,6 +508,31 @@ def make_polygon(xs: pa.Array, ys: pa.Array) -> pa.Array:
     )
 
 
+@F.arrow_udf(T.BinaryType())
+def make_multipolygon(parts: pa.Array) -> pa.Array:
+    """Multipolygons from arrays of polygons, each an array of rings, shell first, each an array x, y, x, y and so on."""
+    rings, points = parts.flatten(), parts.flatten().flatten()
+    values = np.asarray(points.flatten(), "f8").reshape(-1, 2)
+
+    def owners(array):
+        ends = np.asarray(array.offsets) - array.offsets[0].as_py()
+        return np.repeat(np.arange(len(array)), np.diff(ends)), np.diff(ends)
+
+    part_geom, _ = owners(parts)
+    ring_part, rings_in = owners(rings)
+    sizes = owners(points)[1] // 2
+    first = np.concatenate([[0], np.cumsum(rings_in)[:-1]]) if len(rings_in) else np.empty(0, "i8")
+    role = np.full(len(points), sh.ROLE_HOLE, "i4")
+    role[first[rings_in > 0]] = sh.ROLE_SHELL
+    null, n = np.asarray(parts.is_null()), len(parts)
+    return sh.write_shapes(
+        sh.Shapes(
+            null, np.full(n, sh.MULTIPOLYGON, "i4"), np.full(n, 2, "i4"), values, np.concatenate([[0], np.cumsum(sizes)]).astype("i8"),
+            part_geom[ring_part], role, ring_part, np.ones(n, bool), np.ones(n, bool),
+        )
+    )
+
+
 def make_box(minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
     return make_polygon(F.array(minx, maxx, maxx, minx, minx), F.array(miny, miny, maxy, maxy, miny))
 

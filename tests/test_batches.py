@@ -12,7 +12,12 @@ from talweg.functions import geometry as g
 from talweg.functions import shapes as sh
 from talweg.functions import topology as tp
 from talweg.functions import validity as va
+from talweg.functions.prepared import Prepared
 from talweg.functions.projection import inverse_polyconic
+from talweg.operators import identifiers as ids
+from talweg.operators import scale
+from talweg.operators import spatial_join as sj
+from talweg.sources import sinks
 
 
 def wkb(tree, order="<", style="iso", top=True):
@@ -283,3 +288,101 @@ def test_batch_functions_through_spark(spark):
     assert bytes(rows[0].n) == bytes(rows[0].r.geometry)
     assert not rows[1].r.changed and rows[1].r.geometry is None and rows[1].n is None
     assert df.select(F.size(g.ogc_errors(F.col("geometry"), F.lit(4326))).alias("n")).orderBy("n").first().n == 1
+
+
+def test_multipolygons_from_nested_arrays(spark):
+    square, hole, other = ([float(v) for v in text.split()] for text in ("0 0 4 0 4 4 0 4 0 0", "1 1 1 2 2 2 2 1 1 1", "9 9 10 9 10 10 9 9"))
+    rows = [(0, [[square, hole], [other]]), (1, None), (2, []), (3, [[square]])]
+    df = spark.createDataFrame(rows, "id int, parts array<array<array<double>>>").coalesce(1)
+    got = [r.g for r in df.select("id", g.make_multipolygon("parts").alias("g")).orderBy("id").collect()]
+    ring = lambda flat: np.array(flat, float).reshape(-1, 2)
+    polygon = lambda *rings: (sh.POLYGON, 2, [ring(r) for r in rings])
+    wanted = [[polygon(square, hole), polygon(other)], None, [], [polygon(square)]]
+    assert [None if b is None else bytes(b) for b in got] == [None if p is None else sh.write_tree(sh.MULTIPOLYGON, p) for p in wanted]
+
+
+def star(rng, n, centre=(0.0, 0.0), scale=1.0):
+    angles = np.sort(rng.uniform(0, 2 * np.pi, n))
+    radius = rng.uniform(1, 3, n) * scale
+    out = np.stack([centre[0] + radius * np.cos(angles), centre[1] + radius * np.sin(angles)], axis=1)
+    return np.concatenate([out, out[:1]])
+
+
+def test_prepared_polygon_equals_single_tests():
+    rng = np.random.default_rng(12)
+    outline, hole = star(rng, 400), star(rng, 60, scale=0.2)
+    island = star(rng, 9, (8.0, 0.0), 0.1)
+    region = sh.write_tree(sh.MULTIPOLYGON, [(sh.POLYGON, 2, [outline, hole]), (sh.POLYGON, 2, [island])])
+    trees = [(sh.POINT, 2, rng.uniform(-4, 4, (1, 2))) for _ in range(300)] + [(sh.LINE, 2, rng.uniform(-9, 9, (3, 2))) for _ in range(150)]
+    trees += [(sh.POLYGON, 2, [star(rng, 6, rng.uniform(-5, 9, 2), rng.choice([0.05, 0.4, 4.0]))]) for _ in range(150)]
+    trees += [(sh.POINT, 2, outline[:1]), (sh.POLYGON, 2, [box(7, -1, 9, 1)]), (sh.POLYGON, 2, [box(-20, -20, 20, 20), box(-9, -9, 15, 9, True)])]
+    s = sh.read_shapes(pa.array([wkb(t) for t in trees]))
+    wanted = [g.trees_intersect(t, sh.read_tree(region)[0]) for t in trees]
+    assert Prepared(region).meets(s).tolist() == wanted
+    assert 0 < sum(wanted) < len(wanted)
+
+
+def test_tiles_hold_all_of_a_region_in_short_pieces():
+    rng = np.random.default_rng(13)
+    outline = star(rng, 5000, scale=10)
+    raw = sh.write_tree(sh.POLYGON, [outline, star(rng, 50, scale=0.9)])
+    tiles = g._tiles(raw, 2.0)
+    pieces = [sh.read_tree(t["piece"])[0] for t in tiles]
+    assert sum(map(area, pieces)) == pytest.approx(area(sh.read_tree(raw)[0]))
+    assert len({(t["i"], t["j"]) for t in tiles}) == len(tiles) and any(t["inside"] for t in tiles)
+    for t, piece in zip(tiles, pieces):
+        xy = np.concatenate(paths(piece))
+        assert (xy >= [t["i"] * 2.0, t["j"] * 2.0]).all() and (xy <= [t["i"] * 2.0 + 2, t["j"] * 2.0 + 2]).all()
+        assert len(xy) < 1500
+        if t["inside"]:
+            assert area(piece) == 4.0
+    # What is no sound area is kept whole in every cell that its bounds meet.
+    assert {t["piece"] for t in g._tiles(wkb((sh.LINE, 2, np.array([[0, 0], [3.0, 1.0]]))), 2.0)} == {wkb((sh.LINE, 2, np.array([[0, 0], [3.0, 1.0]])))}
+
+
+def test_a_region_of_many_vertices_does_not_enlarge_pairs(spark):
+    rng = np.random.default_rng(14)
+    angle = np.linspace(0, 2 * np.pi, 100_001)[:-1]
+    radius = 20 + 7 * np.sin(7 * angle) + rng.uniform(0, 1e-4, len(angle))
+    outline = np.stack([radius * np.cos(angle), radius * np.sin(angle)], axis=1)
+    outline = np.concatenate([outline, outline[:1]])
+    raw = sh.write_tree(sh.POLYGON, [outline])
+    regions = spark.createDataFrame([("1", "n", "11", raw)], "cd_mun string, nm_mun string, cd_uf string, geometry binary")
+    layer = sj.reference_layer(regions)
+    tiled = sj.region_tiles(layer, sj.Grid.of(layer))
+    longest = tiled.select(F.max(F.aggregate("tiles", F.lit(0), lambda n, t: F.greatest(n, F.length(t["piece"]))))).first()[0]
+    assert longest < len(raw) / 20
+    points = spark.range(3000).select(F.col("id"), g.make_point(F.rand(1) * 60 - 30, F.rand(2) * 60 - 30).alias("geometry"))
+    found = {r.id for r in sj.intersecting_pairs(points, layer, "id").collect()}
+    xy = {r.id: np.frombuffer(bytes(r.geometry)[5:], "<f8") for r in points.collect()}
+    inside = Prepared(raw).locate(np.array([xy[i] for i in range(3000)])) >= 0
+    assert found == set(np.flatnonzero(inside).tolist())
+
+
+def test_ids_of_tied_keys_spread_over_partitions(spark, monkeypatch):
+    staged = []
+    monkeypatch.setattr(ids, "stage", lambda df: staged.append(scale.stage(df)) or staged[-1])
+    df = spark.range(0, 40_000, 1, 8).select("id", F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(F.lit(5)).alias("key"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = ids.add_sequential_id(df, ["key"])
+        sizes = [r["count"] for r in staged[0].groupBy(F.shiftright("_at", 33)).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) == 8 and max(sizes) < 2 * np.median(sizes)
+    rows = out.orderBy("acm_id").collect()
+    assert [r.acm_id for r in rows] == list(range(1, 40_001))
+    assert [(r.key, r.id) for r in rows] == sorted((r.key, r.id) for r in rows)
+
+
+def test_versioned_silver_reads_only_its_version(spark, tmp_path):
+    df = spark.range(30).select("id", (F.col("id") % 3).alias("year"))
+    path = str(tmp_path / "silver")
+    for v in ("00", "01"):
+        sinks.write_silver_versions(df.withColumn("version", F.lit(v)), path, ["version", "year"])
+    sinks.write_silver_versions(df.filter("year = 1").withColumn("id", -F.col("id")).withColumn("version", F.lit("01")), path, ["version", "year"])
+    old, new = (sinks.read_silver_version(spark, path, version=v) for v in ("00", "01"))
+    assert old.agg(F.sum("id")).first()[0] == sum(range(30))
+    assert new.agg(F.sum("id")).first()[0] == sum(i if i % 3 != 1 else -i for i in range(30))
+    assert "PartitionFilters: [isnotnull(version" in new._jdf.queryExecution().toString()
+    assert {f.name for f in new.schema} == {"id", "version", "year"}

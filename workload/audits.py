@@ -178,3 +178,118 @@ def geometries_repaired(spark, sf):
         F.coalesce(valid | empty | F.col("geometry").isNull(), F.lit(False)).alias("kept"),
         F.col("__internal_geom_null_safe_repair").alias("nulled"),
     )
+
+
+def ring(x0, y0, x1, y1, back=False):
+    """Corners of a box as x, y, x, y and so on, counter-clockwise or back."""
+    corners = [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]
+    return F.array(*[v for c in (corners[::-1] if back else corners) for v in c])
+
+
+def multi(*parts):
+    return F.array(*[F.array(*part) for part in parts])
+
+
+# Areas of orders by case: boxes that overlap, share an edge, are equal, hold a hole across the shell, a hole in a hole, a bow-tie beside a box.
+def area_cases(spark, sf):
+    x, y = (F.col("o_custkey") % 100).cast("double"), (F.col("o_custkey") % 50).cast("double")
+    w = (F.col("o_orderkey") % 4 + 2).cast("double")
+    d = (F.col("o_orderkey") % 7 + 1).cast("double") / 8 * w
+    case = F.col("o_orderkey") % 6
+    bow = F.array(x, y, x + w, y + w, x + w, y, x, y + w, x, y)
+    shapes = (
+        multi([ring(x, y, x + w, y + w)], [ring(x + d, y + d, x + d + w, y + d + w)]),
+        multi([ring(x, y, x + w, y + w)], [ring(x + w, y, x + 2 * w, y + w, True)]),
+        multi([ring(x, y, x + w, y + w)], [ring(x, y, x + w, y + w)], [ring(x + 20, y, x + 21, y + 1)]),
+        multi([ring(x, y, x + w, y + w), ring(x + d, y + d, x + d + w, y + d + w)]),
+        multi([ring(x, y, x + 8, y + 8), ring(x + 1, y + 1, x + 7, y + 7), ring(x + 2, y + 2, x + 3, y + 3)]),
+        multi([bow], [ring(x + 10, y, x + 11, y + 1)]),
+    )
+    pick = F.when(case == 0, shapes[0])
+    for k in range(1, 6):
+        pick = pick.when(case == k, shapes[k])
+    return spread_table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("acm_id"), g.make_multipolygon(pick).alias("geometry"), F.lit(4326).alias("srid"),
+        ((w - d) * 8).cast("int").alias("side"),
+    )
+
+
+@QUERIES.query(
+    """SELECT acm_id, CASE k WHEN 0 THEN 2 * w * w - (w - d) * (w - d) WHEN 1 THEN 2 * w * w WHEN 2 THEN w * w + 1
+                             WHEN 3 THEN w * w - (w - d) * (w - d) WHEN 4 THEN 64 - 36 ELSE w * w / 4 + 1 END::DOUBLE AS area,
+              CASE k WHEN 0 THEN w + d WHEN 1 THEN 2 * w WHEN 2 THEN 21 WHEN 3 THEN w WHEN 4 THEN 8 ELSE 11 - w / 2 END::DOUBLE AS width, true AS sound, false AS nulled
+       FROM (SELECT o_orderkey AS acm_id, o_orderkey % 6 AS k, (o_orderkey % 4 + 2)::DOUBLE AS w,
+                    (o_orderkey % 7 + 1)::DOUBLE / 8 * (o_orderkey % 4 + 2) AS d FROM orders)"""
+)
+def areas_repaired(spark, sf):
+    """Area, width and soundness of repaired multipolygons: unions count once, holes are cut out, of a bow-tie the lobe with the top corner stays."""
+    fixed = repair_geometries(area_cases(spark, sf))
+    facts = g.geometry_facts(F.col("geometry"))
+    return fixed.select(
+        "acm_id", F.round(g.planar_area("geometry"), 9).alias("area"), (facts["maxx"] - facts["minx"]).alias("width"),
+        (F.size(g.ogc_errors(F.col("geometry"), F.lit(None).cast("int"))) == 0).alias("sound"),
+        F.col("__internal_geom_null_safe_repair").alias("nulled"),
+    )
+
+
+# Multipolygons with holes of orders: most are valid, one in twenty has a hole outside, a shell inside another or holes inside each other.
+def multipart_cases(spark, sf):
+    x, y = (F.col("o_custkey") % 100).cast("double"), (F.col("o_custkey") % 50).cast("double")
+    shell, hole, island = ring(x, y, x + 8, y + 8), ring(x + 1, y + 1, x + 5, y + 5), ring(x + 2, y + 2, x + 4, y + 4)
+    far, beside = ring(x + 10, y, x + 12, y + 2), ring(x + 6, y + 1, x + 7, y + 2)
+    case = F.col("o_orderkey") % 60
+    shape = F.when(case == 0, multi([shell, far], [ring(x + 20, y, x + 21, y + 1)])).when(
+        case == 20, multi([shell, beside], [island])
+    ).when(case == 40, multi([far], [shell, hole, island])).when(
+        F.col("o_orderkey") % 2 == 0, multi([shell, hole, beside], [island], [far])
+    ).otherwise(multi([shell, hole], [far]))
+    return spread_table(spark, sf, "orders").select(F.col("o_orderkey").alias("acm_id"), g.make_multipolygon(shape).alias("geometry"), F.lit(4326).alias("srid"))
+
+
+@QUERIES.query(
+    """WITH o AS (SELECT o_orderkey AS acm_id, o_orderkey % 60 AS k, (o_custkey % 100)::BIGINT AS x, (o_custkey % 50)::BIGINT AS y FROM orders),
+            r AS (SELECT acm_id, k, CASE k WHEN 0 THEN concat('Hole lies outside shell[', x + 10, ' ', y, ']')
+                                           WHEN 20 THEN concat('Nested shells[', x + 2, ' ', y + 2, ']')
+                                           WHEN 40 THEN concat('Holes are nested[', x + 2, ' ', y + 2, ']') END AS reason FROM o WHERE k % 20 = 0)
+       SELECT acm_id, concat('Geometria invalida segundo OGC: ', reason, '.',
+                             CASE k WHEN 0 THEN concat(' | MultiPolygon[1]: Geometria invalida segundo OGC: ', reason, '.')
+                                    WHEN 40 THEN concat(' | MultiPolygon[2]: Geometria invalida segundo OGC: ', reason, '.') ELSE '' END) AS ogc_motivo FROM r"""
+)
+def multipart_invalid_reasons(spark, sf):
+    """Reasons of the few multipolygons whose rings are misplaced."""
+    return q.ogc_invalid_records(multipart_cases(spark, sf)).select("acm_id", "ogc_motivo")
+
+
+@QUERIES.query(
+    """SELECT o_orderkey AS acm_id, array_to_string(list_filter([
+           CASE WHEN s = 0 THEN 'SRID ausente. Esperado: 4674.' WHEN s <> 4674 THEN concat('SRID incompativel. Atual: ', s, '. Esperado: 4674.') END,
+           CASE WHEN n THEN 'CRS ausente. Esperado: EPSG:4674.' WHEN s <> 4674 THEN concat('CRS incompativel. Atual: EPSG:', s, '. Esperado: EPSG:4674.') END],
+           lambda e: e IS NOT NULL), ' | ') AS ogc_motivo
+       FROM (SELECT *, CASE o_orderkey % 4 WHEN 0 THEN 4674 WHEN 1 THEN 4326 WHEN 2 THEN 0 ELSE 0 END AS s, o_orderkey % 4 = 3 AS n FROM orders)
+       WHERE o_orderkey % 4 <> 0 AND o_orderkey % 13 <> 0
+       UNION ALL SELECT o_orderkey, 'Geometria nula. | Geometria nula. | Geometria nula. | Geometria nula.' FROM orders WHERE o_orderkey % 13 = 0"""
+)
+def reference_system_expectations(spark, sf):
+    """Points in the expected system, another one, the unset one and none."""
+    points = order_points(spark, sf).withColumn("geometry", F.when(F.col("geometry").isNotNull(), g.make_point(F.lit(1.0), F.lit(1.0))))
+    case = F.col("acm_id") % 4
+    srids = points.withColumn("srid", F.when(case == 0, F.lit(4674)).when(case == 1, F.lit(4326)).when(case == 2, F.lit(0)))
+    return q.ogc_invalid_records(srids, expected_srid=4674, expected_crs="EPSG:4674").select("acm_id", "ogc_motivo")
+
+
+@QUERIES.query("SELECT o_orderkey AS acm_id, o_orderkey % 3 = 0 AS turned, true AS standard FROM orders")
+def rings_oriented(spark, sf):
+    """Boxes with a hole, in three orientations, all end counter-clockwise with clockwise holes."""
+    x, y = (F.col("o_custkey") % 100).cast("double"), (F.col("o_custkey") % 50).cast("double")
+
+    def shape(shell_back, hole_back):
+        return g.make_multipolygon(multi([ring(x, y, x + 4, y + 4, shell_back), ring(x + 1, y + 1, x + 2, y + 2, hole_back)]))
+
+    case = F.col("o_orderkey") % 3
+    cases = spread_table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("acm_id"), shape(False, True).alias("standard"),
+        F.when(case == 0, shape(True, False)).when(case == 1, shape(False, True)).otherwise(shape(False, True)).alias("geometry"),
+    )
+    return cases.select(
+        "acm_id", (F.col("geometry") != F.col("standard")).alias("turned"), (g.normalize_geometry("geometry") == F.col("standard")).alias("standard")
+    )

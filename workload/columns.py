@@ -203,6 +203,16 @@ def sequential_ids(spark, sf):
     return ids.add_sequential_id(orders, ["o_orderdate", "o_orderkey"]).select("o_orderkey", "acm_id")
 
 
+@QUERIES.query(
+    """SELECT o_orderkey, row_number() OVER (ORDER BY CASE WHEN o_orderkey % 10 = 0 THEN o_orderpriority ELSE '3-SAME' END, o_orderkey) AS acm_id FROM orders"""
+)
+def ids_of_tied_rows(spark, sf):
+    """Nine rows in ten share one key; they keep the order of the file and spread over partitions."""
+    key = F.when(F.col("o_orderkey") % 10 == 0, F.col("o_orderpriority")).otherwise("3-SAME")
+    orders = table(spark, sf, "orders").select("o_orderkey", key.alias("key"))
+    return ids.add_sequential_id(orders, ["key"]).select("o_orderkey", "acm_id")
+
+
 @QUERIES.query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) + 99 AS acm_id FROM orders")
 def scan_order_ids(spark, sf):
     """Ids in file order (the orders file is sorted by its key), without a shuffle."""
