@@ -190,23 +190,14 @@ def clip_half(rings: list[np.ndarray], axis: int, sign: float, limit: float) ->
         if not inside.any():
             continue
         first = int(np.flatnonzero(~inside)[0])
-        order = (np.arange(len(depth)) + first) % len(depth)
+        order = (np.arange(len(depth) + 1) + first) % len(depth)  # from an outside point around to it
         v, d, flag = ring[:-1][order], depth[order], inside[order]
-        chain = None
-        for k in range(len(v)):
-            nxt = (k + 1) % len(v)
-            if flag[k] != flag[nxt]:
-                t = d[k] / (d[k] - d[nxt])
-                cut = v[k] + t * (v[nxt] - v[k])
-                cut[axis] = limit
-                if flag[nxt]:
-                    chain = [cut]
-                else:
-                    chain.append(cut)
-                    chains.append(np.array(chain))
-                    chain = None
-            if flag[nxt] and chain is not None:
-                chain.append(v[nxt])
+        enter, leave = np.flatnonzero(~flag[:-1] & flag[1:]), np.flatnonzero(flag[:-1] & ~flag[1:])
+        ends = np.concatenate([enter, leave])
+        cut = v[ends] + (d[ends] / (d[ends] - d[ends + 1]))[:, None] * (v[ends + 1] - v[ends])
+        cut[:, axis] = limit
+        for i, (start, stop) in enumerate(zip(enter.tolist(), leave.tolist())):
+            chains.append(np.concatenate([cut[i : i + 1], v[start + 1 : stop + 1], cut[len(enter) + i : len(enter) + i + 1]]))
     if not chains:
         return kept
     other = 1 - axis
