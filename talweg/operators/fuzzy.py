@@ -1,16 +1,18 @@
-"""Fuzzy canonical values: a similarity join over distinct texts and a greedy selection."""
+"""Fuzzy canonical values: a similarity join over distinct texts by their rarest grams, and a greedy selection."""
 
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from talweg.functions.text import ascii_fold, strip
+from talweg.operators.identifiers import add_sequential_id
 from talweg.operators.scale import stage
 
-CUTOFF = 0.9
+#: Least ratio of similar texts, and buckets of gram frequencies.
+CUTOFF, BUCKETS = 0.9, 4096
 
 
 @F.arrow_udf(T.DoubleType())
@@ -34,111 +36,113 @@ def _slack(total, cutoff):
     return F.floor(F.lit(1 - cutoff) * total + F.lit(1e-9)).cast("int")
 
 
+def _grams(text: Column) -> Column:
+    """Neighbouring characters of a text with an end mark on either side."""
+    padded = F.concat(F.lit("\x01"), text, F.lit("\x02"))
+    return F.transform(F.sequence(F.lit(1), F.length(text) + 1), lambda i: F.substring(padded, i, F.lit(2)))
+
+
+def _bucket(gram: Column) -> Column:
+    return F.crc32(gram) % BUCKETS
+
+
 def candidate_pairs(texts: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
-    """All pairs (id, text) x (id, text) that can reach the cutoff, by exact segment keys.
+    """Pairs (a_id, b_id), a before b, among which are all that can reach the cutoff, for ``texts(id, text)``.
 
-    A ratio of at least ``cutoff`` leaves few unmatched characters, so if the shorter
-    text is cut into one more segment than that, some segment occurs unchanged in the
-    longer one, shifted by no more than the slack (the pass-join partition scheme).
-    The join is an equi-join on (length, segment number, segment).
+    A ratio of at least ``cutoff`` leaves few characters unmatched, so the texts share all but two grams for each of them. Of
+    two such texts, the rarest grams, as many as may be lost and one more, have one in common. Only these are
+    joined: a text has rows in proportion to its length, and grams that many texts hold are seldom among them. How rare a gram is follows from
+    the frequencies of hashed buckets, a table of fixed size.
     """
     size = F.length("text")
     longest = F.floor(size * F.lit((2 - cutoff) / cutoff) + F.lit(1e-9)).cast("int")
-    base = texts.select("id", "text", size.alias("size"))
-    pieces = _slack(F.col("size") + longest, cutoff) + 1
-
-    def cut(k, n, length):
-        """1-based start of segment k of n, 0-based k."""
-        return F.floor(length * k / n).cast("int") + 1
-
-    index = base.withColumn("n", pieces).select(
-        "id", "text", "size",
-        F.explode(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda k: F.struct(
-            k.alias("k"),
-            F.substring(F.col("text"), cut(k, F.col("n"), F.col("size")),
-                        cut(k + 1, F.col("n"), F.col("size")) - cut(k, F.col("n"), F.col("size"))).alias("piece"),
-        ))).alias("s"),
-    ).select(F.col("id").alias("a_id"), F.col("text").alias("a_text"), F.col("size").alias("a_size"),
-             "s.k", "s.piece")
-
-    shortest = F.ceil(F.col("size") * F.lit(cutoff / (2 - cutoff)) - F.lit(1e-9)).cast("int")
-    probe = base.select("id", "text", "size", F.explode(F.sequence(shortest, F.col("size"))).alias("a_size"))
-    reach = F.floor(F.col("a_size") * F.lit((2 - cutoff) / cutoff) + F.lit(1e-9)).cast("int")
-    probe = probe.withColumn("n", _slack(F.col("a_size") + reach, cutoff) + 1).withColumn(
-        "slack", _slack(F.col("a_size") + F.col("size"), cutoff)
-    )
-    probe = probe.select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("k"))
-    start = cut(F.col("k"), F.col("n"), F.col("a_size"))
-    width = cut(F.col("k") + 1, F.col("n"), F.col("a_size")) - start
-    first = F.greatest(F.lit(1), start - F.col("slack"))
-    last = F.least(F.col("size") - width + 1, start + F.col("slack"))
-    probe = probe.filter(first <= last).select(
-        F.col("id").alias("b_id"), F.col("text").alias("b_text"), "a_size", "k",
-        F.explode(F.array_distinct(F.transform(
-            F.sequence(first, last), lambda at: F.substring(F.col("text"), at, width)
-        ))).alias("piece"),
-    )
-    return (
-        index.join(probe, ["a_size", "k", "piece"])
-        .filter("a_id != b_id")
-        .select("a_id", "a_text", "b_id", "b_text")
-        .distinct()
+    grams = texts.select("id", "text", _grams(F.col("text")).alias("grams"))
+    counted = grams.select(F.explode("grams").alias("g")).groupBy(_bucket(F.col("g")).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    seen = {r["b"]: r["n"] for r in counted.collect()}  # at most BUCKETS rows
+    # A text that is split when the plan is made: a plan with one literal instead of thousands.
+    frequency = F.split(F.lit(",".join(str(seen.get(i, 0)) for i in range(BUCKETS))), ",").cast("array<long>")
+    ranked = F.array_sort(
+        F.transform("grams", lambda g: F.struct(F.get(frequency, _bucket(g).cast("int")).alias("n"), g.alias("g")))
     )
+    rarest = F.slice(ranked, F.lit(1), F.lit(2) * _slack(size + longest, cutoff) + 1)
+    index = grams.select("id", size.alias("size"), F.explode(F.array_distinct(F.transform(rarest, lambda r: r["g"]))).alias("gram"))
+    a = index.select("gram", F.col("id").alias("a_id"), F.col("size").alias("a_size"))
+    b = index.select("gram", F.col("id").alias("b_id"), F.col("size").alias("b_size"))
+    near = F.abs(F.col("a_size") - F.col("b_size")) <= _slack(F.col("a_size") + F.col("b_size"), cutoff)
+    return a.join(b, "gram").filter((F.col("a_id") < F.col("b_id")) & near).select("a_id", "b_id").distinct()
 
 
 def similar_pairs(values: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
-    """Ordered pairs (earlier, later, score) of keys that reach the cutoff; ids give the order."""
-    pairs = candidate_pairs(values, cutoff)
-    ordered = pairs.select(
-        F.least("a_id", "b_id").alias("earlier"), F.greatest("a_id", "b_id").alias("later"),
-        F.when(F.col("a_id") < F.col("b_id"), F.col("a_text")).otherwise(F.col("b_text")).alias("e_text"),
-        F.when(F.col("a_id") < F.col("b_id"), F.col("b_text")).otherwise(F.col("a_text")).alias("l_text"),
-    ).distinct()
-    # Edit distance never exceeds the unmatched characters, so this drops no pair.
+    """Pairs (earlier, later, score) of keys that reach the cutoff; ids give the order."""
+    e = values.select(F.col("id").alias("earlier"), F.col("text").alias("e_text"))
+    l = values.select(F.col("id").alias("later"), F.col("text").alias("l_text"))  # noqa: E741
+    pairs = candidate_pairs(values, cutoff).select(F.col("a_id").alias("earlier"), F.col("b_id").alias("later"))
+    joined = pairs.join(e, "earlier").join(l, "later")
+    # Edit distance never exceeds the unmatched characters, so this drops no pair; beyond the slack it is not computed to its end.
     slack = _slack(F.length("e_text") + F.length("l_text"), cutoff)
-    ordered = ordered.filter(F.levenshtein("e_text", "l_text") <= slack)
-    return ordered.withColumn("score", similarity("e_text", "l_text")).filter(F.col("score") >= cutoff)
+    close = F.call_function("levenshtein", F.col("e_text"), F.col("l_text"), slack) >= 0
+    joined = joined.filter((F.col("e_text") == F.col("l_text")) | close)
+    return joined.withColumn("score", similarity("e_text", "l_text")).filter(F.col("score") >= cutoff).select("earlier", "later", "score", "e_text")
+
+
+def followers(pairs: DataFrame) -> DataFrame:
+    """(id, canonical) of all texts with an earlier similar one, for ``pairs(earlier, later)``.
+
+    A text is canonical when no earlier canonical text is similar. What is still open is a set of conditions: a text follows if
+    some target is canonical, or not canonical where ``flip`` is set. Each round settles texts whose targets are
+    known. A text with one condition left stands for its target or the opposite, so others take that target instead, and
+    chains shrink by half in a round.
+    """
+    rest = stage(pairs.select(F.col("earlier").alias("target"), "later", F.lit(False).alias("flip")))
+    known = rest.select(F.col("target").alias("id")).distinct().join(rest.select(F.col("later").alias("id")).distinct(), "id", "left_anti")
+    known, found = known.withColumn("canonical", F.lit(True)), None
+    while True:
+        valued = rest.join(known.select(F.col("id").alias("target"), "canonical"), "target", "left").withColumn("met", F.col("canonical") != F.col("flip"))
+        verdict = valued.groupBy("later").agg(
+            F.coalesce(F.bool_or("met"), F.lit(False)).alias("follows"), F.count_if(F.col("met").isNull()).alias("open"),
+            F.min(F.when(F.col("met").isNull(), F.struct("target", "flip"))).alias("one"), F.max(F.when(F.col("met").isNull(), F.struct("target", "flip"))).alias("last"),
+        )
+        verdict = stage(verdict)
+        known = verdict.filter("follows OR open = 0").select(F.col("later").alias("id"), (~F.col("follows")).alias("canonical"))
+        found = known if found is None else found.unionByName(known)
+        undecided = verdict.filter("NOT follows AND open > 0")
+        if undecided.isEmpty():
+            return found
+        single = undecided.filter("one = last").select(
+            F.col("later").alias("target"), F.col("one.target").alias("instead"), (~F.col("one.flip")).alias("turn")
+        )
+        left = valued.filter("met IS NULL").join(undecided.select("later"), "later", "left_semi").join(single, "target", "left")
+        rest = stage(
+            left.select(
+                F.coalesce("instead", "target").alias("target"), "later", (F.col("flip") != F.coalesce("turn", F.lit(False))).alias("flip")
+            ).distinct()
+        )
 
 
 def fuzzy_mapping(df: DataFrame, column: str, order_by: str, cutoff: float = CUTOFF) -> DataFrame:
     """Rows (value, replacement): texts in order of appearance follow the closest earlier canonical one.
 
-    A text is canonical when no earlier canonical text is similar. That greedy pass
-    is settled in rounds: a text is decided once every earlier similar text is.
+    A text is canonical when no earlier canonical text is similar.
     """
     text = strip(F.col(f"`{column}`").cast("string"))
     distinct = (
         df.select(text.alias("value"), F.col(order_by).alias("at")).filter("value != ''")
         .groupBy("value").agg(F.min("at").alias("at"))
         .withColumn("text", F.upper(ascii_fold(F.col("value"))))
-        .withColumn("id", F.struct("at", "value"))
     )
-    distinct = stage(distinct)
-    keyed = distinct.filter("text != ''")
-    pairs = stage(similar_pairs(keyed.select("id", "text"), cutoff))
-    state = keyed.select("id").join(
-        pairs.select(F.col("later").alias("id")).distinct().withColumn("open", F.lit(True)), "id", "left"
-    ).select("id", F.when(F.col("open").isNull(), F.lit(True)).alias("canonical"))
-    state = stage(state)
-    while not state.filter("canonical IS NULL").isEmpty():
-        verdict = (
-            pairs.join(state.select(F.col("id").alias("earlier"), "canonical"), "earlier")
-            .groupBy(F.col("later").alias("id"))
-            .agg(F.bool_or("canonical").alias("follows"),
-                 F.bool_or(F.col("canonical").isNull()).alias("waiting"))
-        )
-        decided = F.when(F.col("follows"), F.lit(False)).when(~F.col("waiting"), F.lit(True))
-        state = stage(
-            state.join(verdict, "id", "left").select("id", F.coalesce("canonical", decided).alias("canonical"))
-        )
+    distinct = stage(add_sequential_id(distinct, ["at", "value"], column="id"))
+    pairs = stage(similar_pairs(distinct.filter("text != ''").select("id", "text"), cutoff))
+    settled = stage(followers(pairs.select("earlier", "later")))
     followed = (
-        pairs.join(state.filter("canonical").select(F.col("id").alias("earlier")), "earlier")
+        pairs.join(settled.filter("NOT canonical").select(F.col("id").alias("later")), "later")
+        .join(settled.filter("NOT canonical").select(F.col("id").alias("earlier")), "earlier", "left_anti")
         .groupBy(F.col("later").alias("id"))
         .agg(F.max_by("earlier", F.struct("score", "e_text")).alias("target"))
     )
-    followed = followed.join(state.filter("NOT canonical").select("id"), "id", "left_semi")
-    return distinct.select("id", "value").join(followed, "id", "left").select(
-        "value", F.coalesce("target.value", "value").alias("replacement")
+    names = distinct.select(F.col("id").alias("target"), F.col("value").alias("replacement"))
+    return (
+        distinct.select("id", "value").join(followed, "id", "left").join(names, "target", "left")
+        .select("value", F.coalesce("replacement", "value").alias("replacement"))
     )
 
 

@@ -134,6 +134,7 @@ def test_fuzzy_mapping_equals_greedy(spark, seed):
             at = rng.randrange(len(text) + 1)
             text[at : at + rng.randint(0, 1)] = rng.choice("abcxyz ")
         values.append("".join(text).strip() or "z")
+    values += [v.upper() for v in values[::3]] + [v + "日" for v in values[1::3]]  # other spellings of one text
     values = list(dict.fromkeys(values)) + ["日本"]
     frame = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
     got = {r.value: r.replacement for r in fz.fuzzy_mapping(frame, "v", "i").collect()}
@@ -149,3 +150,37 @@ def test_candidate_pairs_lose_nothing(spark):
         for j in range(i):
             if max(SequenceMatcher(None, a, texts[j]).ratio(), SequenceMatcher(None, texts[j], a).ratio()) >= 0.9:
                 assert frozenset((i, j)) in found
+
+
+def test_probe_rows_grow_with_the_length(spark):
+    """Rows of the joined index are in proportion to the text."""
+    for size in (50, 200):
+        text = "".join(chr(97 + (i * i) % 26) for i in range(size))
+        frame = spark.createDataFrame([(0, text), (1, text + "x")], "id int, text string")
+        plan = fz.candidate_pairs(frame)
+        assert [tuple(r) for r in plan.collect()] == [(0, 1)]
+        longest = int(size * 1.1 / 0.9)
+        assert 2 * int(0.1 * (size + longest)) + 1 <= 0.46 * size + 2
+
+
+def sequential(pairs):
+    """The greedy verdict in order of ids."""
+    earlier, canonical = {}, {}
+    for a, b in pairs:
+        earlier.setdefault(b, []).append(a)
+    for i in sorted({x for p in pairs for x in p}):
+        canonical[i] = not any(canonical[a] for a in earlier.get(i, []))
+    return {i: canonical[i] for i in earlier}
+
+
+@pytest.mark.parametrize("kind", ["chain", "random", "comb"])
+def test_followers_equal_the_sequence(spark, kind):
+    rng = random.Random(6)
+    pairs = {
+        "chain": [(i, i + 1) for i in range(200)],
+        "random": [tuple(sorted(rng.sample(range(80), 2))) for _ in range(160)],
+        "comb": [(i, i + 1) for i in range(60)] + [(i, 100 + i) for i in range(60)] + [(rng.randrange(60), 100 + i) for i in range(60)],
+    }[kind]
+    pairs = sorted(set(pairs))
+    frame = spark.createDataFrame(pairs, "earlier long, later long")
+    assert {r.id: r.canonical for r in fz.followers(frame).collect()} == sequential(pairs)

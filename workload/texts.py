@@ -169,3 +169,33 @@ def fuzzy_suggestions(spark, sf):
     """Report of the first hundred fuzzy corrections."""
     names = table(spark, sf, "part").select(F.concat_ws(" ", "p_name", "p_brand").alias("v"), "p_partkey")
     return suggestions(fuzzy_mapping(names, "v", "p_partkey"))
+
+
+# Four spellings of each name that is known by its hash: the name, one letter more, one letter within, one letter less.
+NAME_SQL = "md5((p_partkey // 4)::VARCHAR)"
+SPELLINGS_SQL = f"""
+    SELECT p_partkey, p_partkey // 4 AS k, CASE p_partkey % 4 WHEN 0 THEN {NAME_SQL} WHEN 1 THEN concat({NAME_SQL}, 'x')
+           WHEN 2 THEN concat(substr({NAME_SQL}, 1, 9), 'é ', substr({NAME_SQL}, 10)) ELSE substr({NAME_SQL}, 1, 31) END AS v FROM part
+"""
+CLUSTERS_SQL = f"SELECT v AS value, arg_max(v, p_partkey) OVER (PARTITION BY k) AS replacement FROM ({SPELLINGS_SQL})"
+
+
+def spellings(spark, sf):
+    name = F.md5(F.floor(F.col("p_partkey") / 4).cast("string"))
+    case = F.col("p_partkey") % 4
+    v = F.when(case == 0, name).when(case == 1, F.concat(name, F.lit("x"))).when(
+        case == 2, F.concat(F.substring(name, 1, 9), F.lit("é "), F.substring(name, 10, 32))
+    ).otherwise(F.substring(name, 1, 31))
+    return table(spark, sf, "part").select(v.alias("v"), (-F.col("p_partkey")).alias("at"))
+
+
+@QUERIES.query(CLUSTERS_SQL)
+def fuzzy_clusters(spark, sf):
+    """Spellings of random names follow the one that comes first, here that of the highest key."""
+    return fuzzy_mapping(spellings(spark, sf), "v", "at")
+
+
+@QUERIES.query(f"SELECT * FROM ({CLUSTERS_SQL}) WHERE value <> replacement ORDER BY value LIMIT 100")
+def fuzzy_cluster_suggestions(spark, sf):
+    """The first hundred corrections of these spellings, for a report."""
+    return suggestions(fuzzy_mapping(spellings(spark, sf), "v", "at"))
