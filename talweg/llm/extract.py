@@ -1,8 +1,8 @@
 """Main text of web pages by tree scoring.
 
-Each paragraph passes points for its length and commas to its ancestors, less with each level; a container's
-points are discounted by its share of linked text. The best container and those of its siblings that carry
-comparable text are kept, and their blocks are joined in page order.
+Each paragraph gives points for its length and commas to its container, which passes half of its points to its parent, and so on; a container's
+points are discounted by its share of linked text, and doubled if it calls itself the article or main part. The best container and those of its
+siblings that carry comparable text are kept, and their blocks are joined in page order. Every pass over a page is linear.
 """
 
 from __future__ import annotations
@@ -13,14 +13,17 @@ from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from talweg.llm.common import ready, table
 
 _RAW = "script style noscript template textarea title iframe svg math object canvas select".split()
+#: Attributes up to the tag's end. A value is quoted only after "=", and only if its quote is closed somewhere; else it ends at white space or the tag's end.
+_ATTRIBUTES = r"""(?:[^>=]|=\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*)?)*"""
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    rf"|<(?P<raw>{'|'.join(_RAW)})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)",
+    rf"|<(?P<raw>{'|'.join(_RAW)})\b{_ATTRIBUTES}(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
+    rf"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>{_ATTRIBUTES})(?:>|\Z)",
     re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
@@ -48,14 +51,24 @@ _UNLIKELY = frozenset(
     "recommended newsletter subscribe subscription signup login search searchbox form widget toolbar pagination pager skip rss feedback".split()
 )
 _LIKELY = frozenset("article content body main post entry story text".split())
+#: Those that mark reader comments, also on an article of its own.
+_COMMENTS = frozenset("comment comments commentlist discussion disqus reply replies respond".split())
+_STRONG = _COMMENTS | frozenset("ad ads sidebar footer nav menu related".split())
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+#: Share of its points that an element passes to its parent, bonus of an element that calls itself the main part, share of
+#: the best points that a sibling needs, and share of linked text from which on a block or sibling is no prose.
+PASSED, BONUS, SIBLING, LINKED = 0.5, 2.0, 0.2, 0.33
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_INNER = _HEADINGS | frozenset("p pre li blockquote".split())
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "dropped", "main", "points", "chars", "linked", "depth")
+    __slots__ = ("tag", "parent", "block", "dropped", "main", "points", "chars", "linked", "depth")
 
     def __init__(self, tag: str, parent: _Node | None, dropped: bool = False, main: bool = False):
         self.tag, self.parent, self.dropped, self.main = tag, parent, dropped, main
+        #: The nearest block element, itself included.
+        self.block: _Node = self if parent is None or tag in _BLOCK else parent.block
         self.points, self.chars, self.linked = 0.0, 0, 0
         self.depth = 0 if parent is None else parent.depth + 1
 
@@ -68,10 +81,12 @@ def _marks(tag: str, attrs: str) -> tuple[bool, bool]:
     for name, value in _ATTRIBUTE.findall(attrs):
         name, value = name.lower(), value.strip("\"'")
         if name in ("class", "id"):
-            if tag in ("html", "body") or main:
+            if tag in ("html", "body"):
                 continue
             words = {w.lower() for w in _WORDS.findall(value)}
-            if words & _UNLIKELY and not (words & _LIKELY and not words & {"comment", "comments", "ad", "ads", "sidebar", "footer", "nav", "menu", "related"}):
+            if main:
+                dropped |= bool(words & _COMMENTS)
+            elif words & _UNLIKELY and not (words & _LIKELY and not words & _STRONG):
                 dropped = True
         elif name == "role":
             dropped |= value.lower() in _ROLES
@@ -83,11 +98,12 @@ def _marks(tag: str, attrs: str) -> tuple[bool, bool]:
     return dropped, main
 
 
-def _read(html: str) -> list[tuple[_Node, str, int]]:
-    """Blocks in page order: innermost block element, text, characters of it in links."""
+def _read(html: str) -> tuple[list[_Node], list[tuple[_Node, str, int]]]:
+    """All elements, parents first, and the blocks in page order: innermost block element, text, characters of it in links."""
     root = _Node("#", None)
-    blocks: list[tuple[_Node, str, int]] = []
+    nodes, blocks = [root], []
     node, links, at, linked, run = root, 0, 0, 0, []
+    opened: dict[str, int] = {}  # open elements by tag
 
     def flush() -> None:
         nonlocal linked
@@ -95,21 +111,19 @@ def _read(html: str) -> list[tuple[_Node, str, int]]:
             text = "".join(run)
             text = " ".join((unescape(text) if "&" in text else text).split())
             if text:
-                owner = node
-                while owner.tag not in _BLOCK and owner.parent is not None:
-                    owner = owner.parent
-                blocks.append((owner, text, min(linked, len(text))))
+                blocks.append((node.block, text, min(linked, len(text))))
             run.clear()
         linked = 0
 
     def pop_to(target: _Node) -> None:
         """Leave all elements down to and with the target."""
         nonlocal node, links
-        while node is not target:
+        while True:
             links -= node.tag == "a"
-            node = node.parent
-        links -= node.tag == "a"
-        node = node.parent
+            opened[node.tag] -= 1
+            left, node = node, node.parent
+            if left is target:
+                return
 
     for found in _TOKEN.finditer(html):
         start = found.start()
@@ -129,19 +143,15 @@ def _read(html: str) -> list[tuple[_Node, str, int]]:
         if tag in _BLOCK:
             flush()
         if found["close"]:
-            target = node
-            while target is not root and target.tag != tag:
-                target = target.parent
-            if target is not root:
+            if opened.get(tag):
+                target = node
+                while target.tag != tag:
+                    target = target.parent
                 pop_to(target)
             continue
-        if tag in _BLOCK:  # a paragraph ends where a block starts
-            inner = node
-            while inner is not root and inner.tag not in _BLOCK:
-                inner = inner.parent
-            if inner.tag == "p":
-                pop_to(inner)
-        if tag in _ENDS:
+        if tag in _BLOCK and node.block.tag == "p":  # a paragraph ends where a block starts
+            pop_to(node.block)
+        if tag in _ENDS and any(opened.get(t) for t in _ENDS[tag][0]):
             ended, stop = _ENDS[tag]
             inner, last = node, None
             while inner is not root and inner.tag not in stop:
@@ -154,62 +164,68 @@ def _read(html: str) -> list[tuple[_Node, str, int]]:
             continue
         dropped, main = _marks(tag, found["attrs"])
         node = _Node(tag, node, dropped or node.dropped, main)
+        nodes.append(node)
+        opened[tag] = opened.get(tag, 0) + 1
         links += tag == "a"
     if at < len(html) and not node.dropped:
         run.append(html[at:])
     flush()
-    return [b for b in blocks if not b[0].dropped]
+    return nodes, [b for b in blocks if not b[0].dropped]
+
+
+def _score(nodes: list[_Node], blocks: list[tuple[_Node, str, int]]) -> None:
+    """Points, characters and linked characters of every element, each added to its parent once."""
+    for owner, text, linked in blocks:
+        container = owner.parent if owner.tag in _INNER and owner.parent else owner
+        container.points += (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - linked / len(text))
+        owner.chars += len(text)
+        owner.linked += linked
+    for n in reversed(nodes):
+        if n.parent is not None:
+            n.parent.points += PASSED * n.points
+            n.parent.chars += n.chars
+            n.parent.linked += n.linked
+
+
+def _rank(n: _Node) -> float:
+    return n.points * (1 - n.linked / n.chars) * (BONUS if n.main else 1.0) if n.chars else 0.0
 
 
 def extract(html: str | None) -> str:
-    """The main text of a page; null, empty and textless pages give an empty one."""
-    blocks = _read(html or "")
+    """The main text of a page; null, empty and textless pages give an empty one.
+
+    Kept are the container that ranks best, siblings that rank comparably, and prose blocks beside it.
+    """
+    nodes, blocks = _read(html or "")
     if not blocks:
         return ""
-    containers: list[_Node] = []
-    for owner, text, linked in blocks:
-        container = owner.parent if owner.tag in ("p", "pre", "h1", "h2", "h3", "h4", "h5", "h6", "li", "blockquote") and owner.parent else owner
-        points = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - linked / len(text))
-        level, node = 0, container
-        while node is not None:
-            if not node.chars:
-                containers.append(node)
-            node.chars += len(text)
-            node.linked += linked
-            node.points += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
-            node, level = node.parent, level + 1
-
-    def score(n: _Node) -> float:
-        return n.points * (1 - n.linked / n.chars)
-
-    best = max(containers, key=lambda n: (score(n), n.depth))
-    # A part of the page that calls itself the main one holds all of it.
-    top, node = best, best
-    while node is not None:
-        if node.main:
-            top = node
-        node = node.parent
-    if top is best and not best.main:
-        # Otherwise go up while what is added is prose too.
-        while top.parent is not None and top.parent.tag not in ("body", "html", "#"):
-            added = top.parent.chars - top.chars
-            if added and (top.parent.linked - top.linked) / added > 0.33:
-                break
-            top = top.parent
-    least = max(3.0, 0.2 * score(top))
-    kept = {id(top)}
-    for n in containers:
-        if n.parent is top.parent and n is not top and n.tag == top.tag and score(n) >= least and n.linked / n.chars < 0.33:
-            kept.add(id(n))
-    menus = {id(n) for n in containers if n.tag in ("ul", "ol", "table", "dl") and n.linked / n.chars > 0.6}
+    _score(nodes, blocks)
+    best = max(nodes, key=lambda n: (_rank(n), n.depth))
+    beside, least = best.parent, SIBLING * _rank(best)
+    own = beside is not None and (beside.main or beside.tag not in ("body", "html", "#"))
+
+    def prose(n: _Node) -> bool:
+        """A heading or paragraph next to the best container; directly in the page's body only one of some length."""
+        if not n.chars or n.linked / n.chars >= LINKED or n.tag not in _INNER:
+            return False
+        return n.chars >= 80 or own
+
+    kept: dict[int, tuple[bool, bool]] = {}  # whether an element is kept, and whether it is inside a menu
+    for n in nodes:
+        inside, menu = kept[id(n.parent)] if n.parent else (False, False)
+        if n is best:
+            inside = True
+        elif beside is not None and n.parent is beside and n.chars and n.linked / n.chars < LINKED:
+            # Beside a part that calls itself the main one, only others that do so belong to it.
+            inside = inside or (n.main or not best.main) and (_rank(n) >= max(3.0, least) or prose(n))
+        menu = menu or n.tag in ("ul", "ol", "table", "dl") and n.chars > 0 and n.linked / n.chars > 0.6
+        kept[id(n)] = inside, menu
     chosen = []
     for owner, text, linked in blocks:
-        node, inside, menu = owner, False, False
-        while node is not None:
-            inside |= id(node) in kept
-            menu |= id(node) in menus
-            node = node.parent
-        if inside and not menu:
+        inside, menu = kept[id(owner)]
+        # Text of the container's parent itself, in no element of its own.
+        loose = owner is beside and own and linked / len(text) < LINKED
+        if (inside or loose) and not menu:
             chosen.append(text)
     return "\n".join(chosen)
 
@@ -229,7 +245,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
                 ["page_id", "url", "text", "n_chars"],
             )
 
-    return pages.select("page_id", "url", "html").mapInArrow(extracted, "page_id long, url string, text string, n_chars long")
+    return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(extracted, "page_id long, url string, text string, n_chars long")
 
 
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
