@@ -22,7 +22,7 @@ from talweg.operators.scale import row_digest, with_group_facts
 #: Parts of a vector, entries of a codebook, rounds of the fit, scale of the integers.
 PARTS, ENTRIES, ROUNDS, SCALE = 16, 64, 2, 256
 #: Cells along the spread of a codebook, cells that a task remembers for each part, numbers that an evaluation holds at once.
-CELLS, MEMO, AT_ONCE = 8, 65_536, 1 << 21
+CELLS, MEMO, AT_ONCE = 8, 16_384, 1 << 21
 #: Integers up to this size are computed in 64 bits, larger ones in Python's own; bits of a limb of their sums.
 SMALL, LIMB = 1 << 20, 30
 MOST_LONG = (1 << 63) - 1
@@ -44,6 +44,24 @@ def widths(dim: int, parts: int) -> int:
     return max(1, -(-dim // parts))
 
 
+def _distinct(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows, and which of them each row is."""
+    if cells.dtype == object:
+        numbers: dict[tuple, int] = {}
+        place = np.array([numbers.setdefault(tuple(c), len(numbers)) for c in cells], np.int64)
+        return np.array(list(numbers), dtype=object).reshape(len(numbers), cells.shape[1]), place
+    low = cells.min(axis=0)
+    spans = [int(x) for x in cells.max(axis=0) - low + 1]
+    if math.prod(spans) < 1 << 62:  # a row is one number
+        keys = np.zeros(len(cells), np.int64)
+        for k, span in enumerate(spans):
+            keys = keys * span + (cells[:, k] - low[k])
+        _, first, place = np.unique(keys, return_index=True, return_inverse=True)
+        return cells[first], place.ravel()
+    unique, place = np.unique(cells, axis=0, return_inverse=True)
+    return unique, place.ravel()
+
+
 class Codebook:
     """Entries of one part and the cells seen so far."""
 
@@ -51,49 +69,56 @@ class Codebook:
         self.entries = entries
         spread = int((entries.max(axis=0) - entries.min(axis=0)).max()) // CELLS
         self.side = 1 << max(0, spread.bit_length() - 1)
-        self.memo: dict[tuple, np.ndarray] = {}
+        self.memo: dict[tuple, int] = {}  # cell to row of the table
+        self.table = np.zeros((0, len(entries)), np.int32)  # candidates, the last one repeated
+        self.count = np.zeros(0, np.int64)
 
-    def candidates(self, cells: np.ndarray) -> list[np.ndarray]:
-        """For each cell the entries, in order, that can be the nearest of one of its points."""
+    def candidates(self, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each cell the entries, in order, that can be the nearest of one of its points, and how many they are."""
         low = (cells * self.side)[:, None, :]
         below, above = low - self.entries, self.entries - (low + (self.side - 1))
         least = (np.maximum(np.maximum(below, above), 0) ** 2).sum(axis=2)
         most = (np.maximum(np.abs(below), np.abs(above)) ** 2).sum(axis=2)
-        return [np.flatnonzero(kept).astype(np.int32) for kept in least <= most.min(axis=1)[:, None]]
-
-    def nearest(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Index of the nearest entry, ties to the lower one, and the squared distance."""
-        cells = points // self.side
-        if cells.dtype == object:
-            keys = [tuple(c) for c in cells]
-            numbers: dict[tuple, int] = {}
-            place = np.array([numbers.setdefault(k, len(numbers)) for k in keys], np.int64)
-            unique = np.array(list(numbers), dtype=object).reshape(len(numbers), -1)
-        else:
-            unique, place = np.unique(cells, axis=0, return_inverse=True)
-            place = place.ravel()
-        names = [tuple(c) for c in unique.tolist()]
+        kept = (least <= most.min(axis=1)[:, None]).astype(bool)
+        count = kept.sum(axis=1)
+        first = np.argsort(~kept, axis=1, kind="stable").astype(np.int32)
+        # A repeated last entry wins no tie against itself.
+        return np.take_along_axis(first, np.minimum(np.arange(len(self.entries)), count[:, None] - 1), 1), count
+
+    def _rows(self, cells: np.ndarray) -> np.ndarray:
+        """Rows of the table for distinct cells; new ones are added, after all old ones are forgotten if they are too many."""
+        names = [tuple(c) for c in cells.tolist()]
         fresh = [i for i, k in enumerate(names) if k not in self.memo]
         if len(self.memo) + len(fresh) > MEMO:
             self.memo.clear()
-            fresh = list(range(len(names)))
+            self.table, self.count, fresh = self.table[:0], self.count[:0], list(range(len(names)))
         step = max(1, AT_ONCE // self.entries.size)
-        for i in range(0, len(fresh), step):
-            some = fresh[i : i + step]
-            self.memo.update(zip([names[j] for j in some], self.candidates(unique[some]), strict=True))
-        kept = [self.memo[k] for k in names]
-        # Rows of short lists are padded with their last entry, which wins no tie against itself.
-        longest = max(map(len, kept), default=1)
-        lists = np.array([np.pad(k, (0, longest - len(k)), mode="edge") for k in kept]).reshape(-1, longest)
+        found = [self.candidates(cells[fresh[i : i + step]]) for i in range(0, len(fresh), step)]
+        for i in fresh:
+            self.memo[names[i]] = len(self.memo)
+        self.table = np.concatenate([self.table, *[t for t, _ in found]])
+        self.count = np.concatenate([self.count, *[c for _, c in found]])
+        return np.array([self.memo[k] for k in names], np.int64)
+
+    def nearest(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Index of the nearest entry, ties to the lower one, and the squared distance."""
         code = np.zeros(len(points), np.int64)
         distance = np.zeros(len(points), np.promote_types(points.dtype, self.entries.dtype))
-        step = max(1, AT_ONCE // (longest * points.shape[1]))
-        for i in range(0, len(points), step):
-            which = lists[place[i : i + step]]
-            all_ = ((points[i : i + step, None, :] - self.entries[which]) ** 2).sum(axis=2)
-            best = all_.argmin(axis=1)[:, None]
-            code[i : i + step] = np.take_along_axis(which, best, 1)[:, 0]
-            distance[i : i + step] = np.take_along_axis(all_, best, 1)[:, 0]
+        for start in range(0, len(points), MEMO):
+            some = points[start : start + MEMO]
+            cells, place = _distinct(some // self.side)
+            rows = self._rows(cells)[place]
+            order = np.argsort(self.count[rows], kind="stable")  # short lists together
+            at = 0
+            while at < len(order):
+                step = max(1, min(2048, AT_ONCE // self.entries.size))
+                own = order[at : at + step]
+                which = self.table[rows[own], : self.count[rows[own[-1]]]]
+                all_ = ((some[own, None, :] - self.entries[which]) ** 2).sum(axis=2)
+                best = all_.argmin(axis=1)[:, None]
+                code[start + own] = np.take_along_axis(which, best, 1)[:, 0]
+                distance[start + own] = np.take_along_axis(all_, best, 1)[:, 0]
+                at += step
         return code, distance
 
 
