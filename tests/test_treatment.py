@@ -11,7 +11,7 @@ from talweg.operators.quality import QualityConfig, quality_reports, quality_sum
 from talweg.plans import registry
 from talweg.plans.treatment import Profile, SchemaMismatch, treat
 from talweg.sources import sinks
-from talweg.sources.gpkg import GeoPackageSource
+from talweg.sources.gpkg import GeoPackageSource, filtered_layer
 from talweg.sources.rules import load_rules, read_bundles
 from talweg.sources.tables import resolve_paths, scan_many
 from talweg.streaming.rowlocal import treat_stream
@@ -167,15 +167,59 @@ def test_geopackage_layer(spark, tmp_path):
                        [(i, f"r{i}", i / 2, (boxed if i % 2 else header) + point_wkb(i, i)) for i in range(1, 101)] + [(101, None, None, None)])
         db.execute("INSERT INTO roads (fid, open, day) VALUES (1000000000, 1, '2026-02-01')")
     spark.dataSource.register(GeoPackageSource)
-    layer = spark.read.format("gpkg").option("path", path).option("rowsPerPartition", "30").load()
+    layer = spark.read.format("gpkg").option("path", path).option("bytesPerPartition", "4000").load()
     assert layer.dtypes == [("fid", "bigint"), ("name", "string"), ("size", "double"), ("geometry", "binary"),
                             ("open", "boolean"), ("day", "date"), ("srid", "int")]
-    assert layer.rdd.getNumPartitions() == 5
+    assert layer.rdd.getNumPartitions() > 3
     rows = {r.fid: r for r in layer.collect()}
     assert rows[1000000000].open is True and rows[1000000000].day == datetime.date(2026, 2, 1)
     assert len(rows) == 102 and bytes(rows[7].geometry) == point_wkb(7, 7) and rows[101].geometry is None and rows[8].srid == 4674
 
 
+def road_package(path, rows, tree):
+    header = b"GP\x00\x01" + struct.pack("<i", 4326)
+    with sqlite3.connect(path) as db:
+        db.execute("CREATE TABLE gpkg_contents (table_name TEXT, data_type TEXT)")
+        db.execute("CREATE TABLE gpkg_geometry_columns (table_name TEXT, column_name TEXT, srs_id INTEGER)")
+        db.execute("CREATE TABLE roads (fid INTEGER PRIMARY KEY, name TEXT, size REAL, geom BLOB)")
+        db.execute("INSERT INTO gpkg_contents VALUES ('roads', 'features')")
+        db.execute("INSERT INTO gpkg_geometry_columns VALUES ('roads', 'geom', 4326)")
+        db.executemany("INSERT INTO roads VALUES (?, ?, ?, ?)", [(i, f"r{i % 7}", i / 2, header + point_wkb(i, -i)) for i in range(rows)] + [(rows, None, None, None)])
+        if tree:
+            db.execute("CREATE VIRTUAL TABLE rtree_roads_geom USING rtree(id, minx, maxx, miny, maxy)")
+            db.executemany("INSERT INTO rtree_roads_geom VALUES (?, ?, ?, ?, ?)", [(i, i, i, -i, -i) for i in range(rows)])
+
+
+@pytest.mark.parametrize("tree", [True, False])
+def test_geopackage_filters(spark, tmp_path, tree):
+    path = str(tmp_path / "roads.gpkg")
+    road_package(path, 1000, tree)
+    whole = filtered_layer(spark, path, bytesPerPartition="8192")
+    assert whole.rdd.getNumPartitions() > 3
+    cases = {
+        (("fid", "=", 17),): "fid = 17", (("fid", ">=", 10), ("fid", "<=", 19), ("size", ">", 6)): "fid BETWEEN 10 AND 19 AND size > 6",
+        (("name", "=", "r3"),): "name = 'r3'", (("name", "IN", "r1", "r2"), ("fid", "<", 50)): "name IN ('r1', 'r2') AND fid < 50",
+        (("size", "IS NULL"),): "size IS NULL", (("name", "IS NOT NULL"),): "name IS NOT NULL", (("name", ">", "r4"),): "name > 'r4'",
+        (("srid", "=", 4326), ("fid", ">=", 995)): "srid = 4326 AND fid >= 995", (): "true",
+    }
+    for filters, condition in cases.items():
+        got = sorted(r.fid for r in filtered_layer(spark, path, filters, bytesPerPartition="8192").collect())
+        assert got == sorted(r.fid for r in whole.filter(condition).collect()), condition
+    boxed = filtered_layer(spark, path, bbox=(10.5, -30, 20, -12))
+    assert sorted(r.fid for r in boxed.filter("size < 8.5").collect()) == [12, 13, 14, 15, 16]
+    assert sorted(r.fid for r in boxed.collect()) == list(range(12, 21))
+
+
+def test_filtered_rows_never_leave_the_file(tmp_path):
+    path = str(tmp_path / "roads.gpkg")
+    road_package(path, 1000, True)
+    filters = [["fid", ">", 150], ["name", "=", "r3"], ["name", ">", "q"]]
+    source = GeoPackageSource({"path": path, "filters": json.dumps(filters), "bbox": "100,-300,300,-100"})
+    reader = source.reader(source.schema())
+    assert sum(b.num_rows for p in reader.partitions() for b in reader.read(p)) == sum(1 for i in range(151, 301) if i % 7 == 3)
+    assert reader.conditions == ['"fid" > ?', '"name" = ?']
+
+
 def test_stream_equals_batch(spark, rules, tmp_path):
     source, name = str(tmp_path / "in"), "car_reserva_legal/rl_car_ma"
     layer = car_layer(spark).withColumnRenamed("desc_condic", "des_condic")
