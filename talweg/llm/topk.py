@@ -113,7 +113,8 @@ class BallTree:
 
 def _valid(vectors: DataFrame) -> DataFrame:
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * SCALE).cast("double"))
+    most = F.floor(F.sqrt(F.lit(2.0**53) / F.greatest(F.size("embedding"), F.lit(1)))).cast("double")
+    whole = F.transform("embedding", lambda x: F.greatest(-most, F.least(most, F.floor(F.greatest(-most, F.least(most, x.cast("double") * SCALE))).cast("double"))))
     return vectors.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & finite).select(
         F.col("vec_id").cast("long"), whole.alias("v"), F.size("embedding").alias("dim")
     )
@@ -126,7 +127,8 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
 def top_k(vectors: DataFrame, every: int = 20, k: int = K, shard: int = SHARD, block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best inner products of each row whose vec_id is divisible by ``every``.
 
-    Components become floor(64 x). Null vectors, those that hold null or non-finite components, and rows without an id
+    Components become floor(64 x). Beyond the root of 2^53 over the number of components (about 185,000 for x in 64 of them) they count as that
+    root, so that every sum is an exact integer. Null vectors, those that hold null or non-finite components, and rows without an id
     take no part; vectors are compared with those of the same length. Rows with a query's own id are its own. Repeated
     rows are candidates each, and queries each. Every query meets every shard, in blocks, by trees; only what
     reaches the shared k-th score leaves a task.

@@ -355,6 +355,8 @@ def test_exchange_closes_gaps(spark):
         assert [o for o, _ in own] == list(itertools.accumulate([0] + [s for _, s in own[:-1]])) and sum(s for _, s in own) <= 1024
     assert sorted(r.length for r in got) == sorted(sizes)
     alone = sum(len(packing.best_fit(np.array(sizes[k : k + 60]), 1024)[2]) for k in range(0, 600, 60))
+    once = {r.sequence_id for r in packing.pack(rows, together=60, rounds=1).collect()}
+    assert len(bins) <= len(once) <= alone
     assert packing.lower_bound(np.bincount(sizes, minlength=1025)) <= len(bins) <= alone
 
 

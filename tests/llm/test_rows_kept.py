@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_llm import prose
 
-from talweg.llm import decontaminate, jaccard, linededup, quality, warc
+from talweg.llm import decontaminate, jaccard, linededup, quality, topk, warc
 from talweg.llm.common import staging_folder
 
 CLASH = {c: f"keep {c}" for c in ("__starts", "__doc", "__lines", "__body", "__row", "__covered", "doc", "row", "stats", "key", "all", "gone", "n_lines")}
@@ -101,3 +101,14 @@ def test_model_equals_dense_equations_and_isotonic_formula(spark):
     blocks = [np.isclose(iso, v) for v in np.unique(np.round(iso, 12))]
     assert model.level == pytest.approx([iso[b][0] for b in blocks])
     assert model.at == pytest.approx([np.average(at[b], weights=sizes[b]) for b in blocks])
+
+
+def test_huge_components_count_as_the_largest(spark):
+    vectors = [[1.0, 2.0], [1e300, 1.0], [-1e300, 5.0], [3.0, 3.0]]
+    rows = spark.createDataFrame([(20 * i, v) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    most = int((2.0**53 / 2) ** 0.5)
+    whole = [[max(-most, min(most, int(64 * x // 1))) for x in v] for v in vectors]
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in topk.top_k(rows, k=3).collect()}
+    for q in range(4):
+        want = sorted(((-sum(a * b for a, b in zip(whole[q], whole[c])), 20 * c) for c in range(4) if c != q))
+        assert [got[20 * q, rank] for rank in (1, 2, 3)] == [(c, -s) for s, c in want]
