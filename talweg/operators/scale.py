@@ -22,15 +22,30 @@ def salts_of(n: Column, hot_rows: int) -> Column:
     return F.ceil(n / F.lit(hot_rows)).cast("int")
 
 
-def staging_folder(spark: SparkSession) -> str:
-    """A fresh folder in the shared checkpoint location the cluster names."""
+#: Setting that names the part of the staging area in use; the application's id where it is unset.
+SCOPE = "talweg.staging.scope"
+
+
+def _staging_area(spark: SparkSession) -> str:
+    """The session's own part of the shared checkpoint location the cluster names."""
     base = spark.conf.get("spark.checkpoint.dir", "")
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="spark-talweg-stage-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/talweg/{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/talweg/{spark.conf.get(SCOPE, spark.sparkContext.applicationId)}"
+
+
+def staging_folder(spark: SparkSession) -> str:
+    """A fresh folder in the staging area."""
+    return f"{_staging_area(spark)}/{uuid.uuid4().hex}"
+
+
+def remove_staged(spark: SparkSession) -> bool:
+    """Remove all that this session staged, once no frame that reads it is needed any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_staging_area(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame) -> DataFrame:

@@ -143,3 +143,19 @@ def test_ordering_runs_costly_work_once_for_each_row(spark):
     frame = spark.range(1000).repartition(4)
     numbered = ids.add_sequential_id(frame, ["id"], work=lambda rows: rows.withColumn("w", costly("id")))
     assert numbered.filter("w = id AND acm_id = id + 1").count() == 1000 and calls.value == 1000
+
+
+def test_staged_tables_of_a_scope_go_together(spark):
+    from talweg.operators import scale
+
+    kept = scale.stage(spark.range(3))
+    spark.conf.set(scale.SCOPE, "one-run")
+    try:
+        folder = scale.staging_folder(spark)
+        assert "/talweg/one-run/" in folder
+        spark.range(4).write.parquet(folder)
+        assert spark.read.parquet(folder).count() == 4
+        assert scale.remove_staged(spark) and not scale.remove_staged(spark)
+    finally:
+        spark.conf.unset(scale.SCOPE)
+    assert kept.count() == 3
