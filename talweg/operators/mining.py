@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from talweg.functions.text import (
     alias_stem, canonical_domain_text, looks_like_mojibake, repair_mojibake, rule_key, strip,
 )
+from talweg.operators.identifiers import add_sequential_id
 from talweg.operators.scale import stage
 
 
@@ -35,12 +36,24 @@ def generate_domain(df: DataFrame, column: str) -> DataFrame:
 
 
 def accepted_arrays(domain: DataFrame, by: list[str]) -> DataFrame:
-    """Sorted accepted values per domain, as one array each (a domain is a bounded rule set)."""
+    """Sorted accepted values per domain, as one array each, for domains that are bounded rule sets; ``accepted_chunks`` is for all others."""
     return domain.filter("kind = 'accepted'").groupBy(*by).agg(
         F.array_sort(F.collect_set("value")).alias("accepted_values")
     )
 
 
+def accepted_chunks(domain: DataFrame, by: list[str], size: int = 10_000) -> DataFrame:
+    """Rows (by..., chunk, accepted_values): sorted accepted values of each domain, at most ``size`` in a row, however large it is.
+
+    Values are numbered in order across all domains by range partitions, so no task sorts a whole domain.
+    """
+    values = domain.filter("kind = 'accepted'").select(*by, "value").distinct()
+    numbered = add_sequential_id(values, [*by, "value"], column="_number")
+    first = numbered.groupBy(*by).agg(F.min("_number").alias("_first"))
+    placed = numbered.join(first, by).withColumn("chunk", F.floor((F.col("_number") - F.col("_first")) / size))
+    return placed.groupBy(*by, "chunk").agg(F.array_sort(F.collect_list("value")).alias("accepted_values"))
+
+
 def functional_dependency(df: DataFrame, source: Column, target: Column, name: str) -> DataFrame:
     """Rows (relation, src_value, dst_value, ambiguous) of a column pair.
 

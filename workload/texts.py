@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from talweg.functions import text as t
 from talweg.operators.fuzzy import fuzzy_mapping, suggestions
-from talweg.operators.mining import accepted_arrays, generate_domain
+from talweg.operators.mining import accepted_arrays, accepted_chunks, generate_domain
 from talweg.operators.profiling import unique_texts
 from talweg.operators.spatial import STATE_BOUNDS
 from workload.inputs import Registry, table
@@ -157,6 +157,19 @@ def accepted_value_lists(spark, sf):
     return accepted_arrays(rows, ["column"])
 
 
+@QUERIES.query(
+    """SELECT p_brand AS "column", (n - 1) // 7 AS chunk, list(p_name ORDER BY p_name) AS accepted_values
+       FROM (SELECT p_brand, p_name, row_number() OVER (PARTITION BY p_brand ORDER BY p_name) AS n
+             FROM (SELECT DISTINCT p_brand, concat(p_name, ' ', p_partkey) AS p_name FROM part)) GROUP BY ALL"""
+)
+def accepted_value_chunks(spark, sf):
+    """Sorted accepted values of each brand, seven in a row."""
+    rows = table(spark, sf, "part").select(
+        F.col("p_brand").alias("column"), F.lit("accepted").alias("kind"), F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string")).alias("value")
+    )
+    return accepted_chunks(rows, ["column"], size=7)
+
+
 @QUERIES.query()
 def fuzzy_values(spark, sf):
     """Greedy canonical value of every part name (the ratio has no SQL form; tested by brute force)."""
