@@ -386,3 +386,12 @@ def test_versioned_silver_reads_only_its_version(spark, tmp_path):
     assert new.agg(F.sum("id")).first()[0] == sum(i if i % 3 != 1 else -i for i in range(30))
     assert "PartitionFilters: [isnotnull(version" in new._jdf.queryExecution().toString()
     assert {f.name for f in new.schema} == {"id", "version", "year"}
+
+
+def test_regions_without_geometry_meet_nothing(spark):
+    schema = "cd_mun string, nm_mun string, cd_uf string, geometry binary"
+    points = spark.createDataFrame([(1, g.point_wkb(0.5, 0.5)), (2, None)], "id long, geometry binary")
+    for rows in ([], [("1", "n", "11", None)], [("1", "n", "11", sh.write_tree(sh.POLYGON, []))]):
+        assert sj.intersecting_pairs(points, sj.reference_layer(spark.createDataFrame(rows, schema)), "id").count() == 0
+        out = sj.assign_regions(points, spark.createDataFrame(rows, schema), "id").collect()
+        assert [r.acm_cod_munici for r in out] == [sj.NO_MATCH] * 2

@@ -258,3 +258,10 @@ def test_sibling_folders_are_found_and_hidden_names_skipped(spark, tmp_path):
     found = resolve_paths(spark, str(tmp_path / "x_1.parquet"))
     assert [p.rsplit("/", 1)[1] for p in found] == ["x_1.parquet", "x_2.parquet"] and found[0].startswith("file:")
     assert resolve_paths(spark, str(tmp_path)) == found
+
+
+def test_empty_layers_are_treated(spark, rules):
+    result = treat(car_layer(spark).limit(0), rules, "car_reserva_legal/rl_car_ma", ["cod_tema"])
+    assert result.stats["rows"] == result.stats["reprojected_to_wgs84"] == 0 and result.data.count() == 0
+    assert registry.named_state(("other", None, "/in/RL_CAR_MA.gpkg", "/src/app_car_ac.gpkg")) == "ma"
+    assert registry.named_state(("rl_car_zz", None)) is None
