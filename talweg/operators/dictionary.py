@@ -136,17 +136,18 @@ def attribute_types(fields: DataFrame, types: DataFrame) -> DataFrame:
         F.sequence(F.lit(1), F.size(parts)),
         lambda k: F.array_join(F.slice(parts, k, F.size(parts) - k + 1), "_"),
     )
-    keyed = types.select("layer", "name", "type", F.explode(F.array_distinct(suffixes)).alias("field"))
-    match = fields.select("layer", "field").distinct().join(keyed, ["layer", "field"])
-    rank = F.when(F.col("name") == F.col("field"), 0).when(
-        F.col("name") == F.concat(F.lit("sdb_"), F.col("field")), 1
-    ).otherwise(2)
-    best = (
-        match.withColumn("rank", rank).groupBy("layer", "field")
-        .agg(F.min(F.struct("rank", "name", "type")).alias("b"), F.count_if(F.col("rank") == 2).alias("suffixes"))
-        .select("layer", "field",
-                F.when((F.col("b.rank") < 2) | (F.col("suffixes") == 1), F.col("b.type")).alias("type"))
-    )
-    return fields.select("layer", "field").distinct().join(best, ["layer", "field"], "left").withColumn(
-        "type", F.coalesce("type", F.lit(""))
+    keyed = types.select("layer", F.explode(F.array_distinct(suffixes)).alias("field"), F.struct("name", "type").alias("known"))
+    # Questions and answers meet as rows of one group instead of in a join: the planner takes exploded rows for as few as
+    # their source's, and would send either side through the driver.
+    asked = fields.select("layer", "field", F.lit(None).cast(keyed.schema["known"].dataType).alias("known"))
+    name, found = F.col("known.name"), F.col("known").isNotNull()
+    rank = F.when(name == F.col("field"), 0).when(name == F.concat(F.lit("sdb_"), F.col("field")), 1).otherwise(2)
+    best = F.col("b")
+    return (
+        asked.unionByName(keyed).repartition("layer", "field").groupBy("layer", "field").agg(
+            F.bool_or(~found).alias("asked"), F.count_if(found & (rank == 2)).alias("suffixes"),
+            F.min(F.when(found & F.col("layer").isNotNull(), F.struct(rank.alias("rank"), "known.name", "known.type"))).alias("b"),
+        )
+        .filter("asked")
+        .select("layer", "field", F.coalesce(F.when((best["rank"] < 2) | (F.col("suffixes") == 1), best["type"]), F.lit("")).alias("type"))
     )
