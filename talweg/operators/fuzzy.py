@@ -1,4 +1,4 @@
-"""Fuzzy canonical values: a similarity join over distinct texts by their rarest grams, and a greedy selection."""
+"""Fuzzy canonical values: a similarity join over distinct texts by their rarest grams or by segments, and a greedy selection."""
 
 from __future__ import annotations
 
@@ -46,17 +46,16 @@ def _bucket(gram: Column) -> Column:
     return F.crc32(gram) % BUCKETS
 
 
-def candidate_pairs(texts: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
-    """Pairs (a_id, b_id), a before b, among which are all that can reach the cutoff, for ``texts(id, text)``.
+def _longest(size: Column, cutoff: float) -> Column:
+    """Length of the longest text that can be similar to one of this length."""
+    return F.floor(size * F.lit((2 - cutoff) / cutoff) + F.lit(1e-9)).cast("int")
+
+
+def _gram_index(grams: DataFrame, cutoff: float) -> DataFrame:
+    """Rows (id, size, low, high, key) of each text's rarest grams, as many as may be lost and one more.
 
-    A ratio of at least ``cutoff`` leaves few characters unmatched, so the texts share all but two grams for each of them. Of
-    two such texts, the rarest grams, as many as may be lost and one more, have one in common. Only these are
-    joined: a text has rows in proportion to its length, and grams that many texts hold are seldom among them. How rare a gram is follows from
-    the frequencies of hashed buckets, a table of fixed size.
+    How rare a gram is follows from the frequencies of hashed buckets, a table of fixed size.
     """
-    size = F.length("text")
-    longest = F.floor(size * F.lit((2 - cutoff) / cutoff) + F.lit(1e-9)).cast("int")
-    grams = texts.select("id", "text", _grams(F.col("text")).alias("grams"))
     counted = grams.select(F.explode("grams").alias("g")).groupBy(_bucket(F.col("g")).alias("b")).agg(F.count(F.lit(1)).alias("n"))
     seen = {r["b"]: r["n"] for r in counted.collect()}  # at most BUCKETS rows
     # A text that is split when the plan is made: a plan with one literal instead of thousands.
@@ -64,12 +63,71 @@ def candidate_pairs(texts: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     ranked = F.array_sort(
         F.transform("grams", lambda g: F.struct(F.get(frequency, _bucket(g).cast("int")).alias("n"), g.alias("g")))
     )
-    rarest = F.slice(ranked, F.lit(1), F.lit(2) * _slack(size + longest, cutoff) + 1)
-    index = grams.select("id", size.alias("size"), F.explode(F.array_distinct(F.transform(rarest, lambda r: r["g"]))).alias("gram"))
-    a = index.select("gram", F.col("id").alias("a_id"), F.col("size").alias("a_size"))
-    b = index.select("gram", F.col("id").alias("b_id"), F.col("size").alias("b_size"))
-    near = F.abs(F.col("a_size") - F.col("b_size")) <= _slack(F.col("a_size") + F.col("b_size"), cutoff)
-    return a.join(b, "gram").filter((F.col("a_id") < F.col("b_id")) & near).select("a_id", "b_id").distinct()
+    rarest = F.slice(ranked, F.lit(1), F.lit(2) * _slack(F.col("size") + _longest(F.col("size"), cutoff), cutoff) + 1)
+    return grams.select("id", "size", "low", "high", F.explode(F.array_distinct(F.transform(rarest, lambda r: r["g"]))).alias("key"))
+
+
+def _segments(size: Column, cutoff: float) -> tuple[Column, Column]:
+    """Number and length of the segments of a text: one more than it and a similar one may leave unmatched."""
+    count = _slack(size + _longest(size, cutoff), cutoff) + 1
+    return count, F.floor(size / count).cast("int")
+
+
+def _segment_index(texts: DataFrame, cutoff: float) -> tuple[DataFrame, DataFrame]:
+    """Rows (id, size, low, high, key, at): the segments of each text, and the places where those of a text not longer can lie in it."""
+    text, size = F.col("text"), F.col("size")
+    key = lambda length, i, at: F.xxhash64(length, i, F.substring(text, at + 1, length)).alias("key")
+    count, length = _segments(size, cutoff)
+    own = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.struct(key(length, i, i * length), (i * length).alias("at")))
+    shortest = F.greatest(F.lit(1), F.ceil(size * F.lit(cutoff / (2 - cutoff)) - F.lit(1e-9)).cast("int"))
+    lengths = F.array_distinct(F.transform(F.sequence(shortest, size), lambda n: _segments(n, cutoff)[1]))
+    slack = _slack(size + size, cutoff)
+
+    def places(q, i):
+        first, last = F.greatest(F.lit(0), i * q - F.floor(slack / 2).cast("int")), F.least(size - q, i * q + slack)
+        return F.when(first <= last, F.transform(F.sequence(first, last), lambda at: F.struct(key(q, i, at), at.alias("at")))).otherwise(
+            F.array().cast("array<struct<key:bigint,at:int>>")
+        )
+
+    met = F.flatten(F.transform(lengths, lambda q: F.flatten(F.transform(F.sequence(F.lit(0), count - 1), lambda i: places(q, i)))))
+    return tuple(texts.select("id", "size", "low", "high", F.inline(rows)) for rows in (own, met))
+
+
+def _work(left: DataFrame, right: DataFrame) -> int:
+    """Pairs of rows with equal keys."""
+    sides = left.select("key", F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(right.select("key", F.lit(0).alias("l"), F.lit(1).alias("r")))
+    met = sides.groupBy("key").agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
+    return met.agg(F.sum(F.col("l").cast("decimal(38,0)") * F.col("r"))).first()[0] or 0
+
+
+def candidate_pairs(texts: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
+    """Pairs (a_id, b_id), a before b, among which are all that can reach the cutoff, for ``texts(id, text)``.
+
+    A ratio of at least ``cutoff`` leaves few characters unmatched. Two indexes follow from that, each with rows in proportion to the text, and
+    the one whose keys meet less often is taken. Grams: the texts share all but two grams for each unmatched character, so of their
+    rarest grams, as many as may be lost and one more, they have one in common; good for words of which some are rare. Segments: the shorter text is cut
+    into one segment more than there are unmatched characters, so one lies whole in the other text, shifted by no more than these; good
+    for texts over few letters, all of whose grams are frequent. Where keys meet, parities of the grams drop nearly all pairs that aren't
+    similar: an unmatched character changes three of them at most.
+    """
+    parity = "aggregate(grams, 0L, (s, g) -> s ^ if(crc32(g) % 128 {} 64, shiftleft(1L, cast(crc32(g) % 64 as int)), 0L))"
+    grams = texts.select("id", "text", F.length("text").alias("size"), _grams(F.col("text")).alias("grams")).withColumns(
+        {"low": F.expr(parity.format("<")), "high": F.expr(parity.format(">="))}
+    )
+    index, (own, met) = _gram_index(grams, cutoff), _segment_index(grams, cutoff)
+    cut = _work(own, met) < _work(index, index)
+    left, right = (own, met) if cut else (index, index)
+    a, b = (side.select("key", *[F.col(c).alias(f"{p}_{c}") for c in side.columns if c != "key"]) for side, p in ((left, "a"), (right, "b")))
+    slack, longer = _slack(F.col("a_size") + F.col("b_size"), cutoff), F.col("b_size") - F.col("a_size")
+    flips = F.bit_count(F.col("a_low").bitwiseXOR(F.col("b_low"))) + F.bit_count(F.col("a_high").bitwiseXOR(F.col("b_high")))
+    near = (F.abs(longer) <= slack) & (flips <= slack * 3)
+    if cut:
+        lost, shift = F.floor((slack - longer) / 2), F.col("b_at") - F.col("a_at")
+        near = near & ((longer > 0) | ((longer == 0) & (F.col("a_id") < F.col("b_id")))) & shift.between(-lost, longer + lost)
+    else:
+        near = near & (F.col("a_id") < F.col("b_id"))
+    # The planner takes exploded rows for as few as their source's, so it is told not to broadcast them.
+    return a.join(b.hint("merge"), "key").filter(near).select(F.least("a_id", "b_id").alias("a_id"), F.greatest("a_id", "b_id").alias("b_id")).distinct()
 
 
 def similar_pairs(values: DataFrame, cutoff: float = CUTOFF) -> DataFrame:

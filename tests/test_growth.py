@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from talweg.operators.dictionary import attribute_types
+from talweg.operators.fuzzy import candidate_pairs
 
 
 def plan(df):
@@ -21,3 +22,11 @@ def test_attribute_types_send_no_side_through_the_driver(spark):
     few = attribute_types(layers.selectExpr("layer", "explode(array('a', 'b')) AS field"), layers.selectExpr("layer", "'x_a' AS name", "'t' AS type"))
     assert "BroadcastExchange" not in plan(few)
     assert few.filter("type = 't'").count() == 50 and few.count() == 100
+
+
+def test_candidates_of_texts_over_few_letters_stay_near_the_number_of_texts(spark):
+    """Hashes hold every gram of two digits, so grams alone made nearly all pairs candidates."""
+    names = spark.range(3000).selectExpr("id", "upper(md5(cast(id div 3 AS string)) || substring('XY', 1, cast(id % 3 AS int))) AS text")
+    pairs = {(r.a_id, r.b_id) for r in candidate_pairs(names).collect()}
+    own = {(3 * k + i, 3 * k + j) for k in range(1000) for i, j in ((0, 1), (0, 2), (1, 2))}
+    assert own <= pairs and len(pairs) < 1.01 * len(own)
