@@ -53,16 +53,24 @@ def with_facts(df: DataFrame, out: str = _FACTS, once: bool = False) -> DataFram
     return df.withColumn(out, facts(F.col(GEOMETRY)))
 
 
+def _srid(df: DataFrame, assumed_srid: int) -> Column:
+    return F.coalesce(F.col(SRID), F.lit(assumed_srid)) if SRID in df.columns else F.lit(assumed_srid)
+
+
 def reproject(df: DataFrame, assumed_srid: int = SIRGAS2000) -> DataFrame:
     """Geometry in EPSG:4326; a missing reference system is assumed."""
-    srid = F.coalesce(F.col(SRID), F.lit(assumed_srid)) if SRID in df.columns else F.lit(assumed_srid)
-    return df.withColumn(GEOMETRY, g.to_geographic(F.col(GEOMETRY), srid)).withColumn(SRID, F.lit(WGS84))
+    return df.withColumn(GEOMETRY, g.to_geographic(F.col(GEOMETRY), _srid(df, assumed_srid))).withColumn(SRID, F.lit(WGS84))
+
+
+def geographic_2d(df: DataFrame, out: str = _FACTS, assumed_srid: int = SIRGAS2000) -> DataFrame:
+    """Reprojected geometry without Z and M, with the facts from before these were dropped, in one look."""
+    looked = df.withColumn("_look", g.geographic_2d(F.col(GEOMETRY), _srid(df, assumed_srid)))
+    return looked.withColumns({GEOMETRY: F.col("_look.geometry"), out: F.col("_look.facts"), SRID: F.lit(WGS84)}).drop("_look")
 
 
 def needs_reprojection(df: DataFrame, assumed_srid: int = SIRGAS2000) -> Column:
     """Rows with a geometry in another system than EPSG:4326; a missing system is the assumed one."""
-    srid = F.coalesce(F.col(SRID), F.lit(assumed_srid)) if SRID in df.columns else F.lit(assumed_srid)
-    return F.col(GEOMETRY).isNotNull() & (srid != WGS84)
+    return F.col(GEOMETRY).isNotNull() & (_srid(df, assumed_srid) != WGS84)
 
 
 def force_2d(df: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from talweg.functions.naming import derived_name
 from talweg.functions.text import STATE_KEY_FAMILIES, condition_label
 from talweg.operators import relations as rel
 from talweg.operators.domains import classify, domain_lookup
+from talweg.operators.scale import stage
 from talweg.operators.spatial import STATE_BOUNDS, clip_to_states
 from talweg.operators.spatial_join import assign_regions
 from talweg.sources.rules import RuleTables
@@ -171,11 +172,17 @@ POSTPROCESS_STEPS: dict[str, Callable[[DataFrame, RuleContext], DataFrame]] = {
 
 
 def apply_postprocess(df: DataFrame, names: list[str], ctx: RuleContext) -> DataFrame:
+    """Run the steps in order; what one has changed is written for the next, which may read it twice.
+
+    So a step runs once, and no task holds the Python workers of two steps.
+    """
+    written = df
     for name in names:
         step = POSTPROCESS_STEPS.get(name)
         if step is None:
             ctx.log.append(("", name, "not_registered"))
             continue
-        df = step(df, ctx)
+        written = df if df is written else stage(df)
+        df = step(written, ctx)
         ctx.log.append(("", name, "applied"))
     return df

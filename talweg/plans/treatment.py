@@ -120,15 +120,14 @@ def mandatory_treatments(df: DataFrame) -> DataFrame:
     Z and M are dropped. Hidden columns keep what the run statistics need.
     """
     facts = F.col("_facts")
-    looked = sp.with_facts(sp.reproject(clean_whitespace(df).withColumn(REPROJECTED, sp.needs_reprojection(df))))
-    measured = looked.withColumns(
+    looked = sp.geographic_2d(clean_whitespace(df).withColumn(REPROJECTED, sp.needs_reprojection(df)), "_facts")
+    return looked.withColumns(
         {
             **sp.metric_values(facts),
             DIMS: F.when(~facts["is_empty"], facts["dims"]),
             MEASURABLE: F.coalesce(sp.measurable(facts), F.lit(False)),
         }
-    )
-    return sp.force_2d(measured.drop("_facts"))
+    ).drop("_facts")
 
 
 def prepare_input(df: DataFrame, profile: Profile) -> DataFrame:
