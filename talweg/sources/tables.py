@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SUFFIXES = (".parquet", ".gpkg")
+SPREAD_BYTES = 2 << 20
 
 
 def scan(
@@ -15,13 +16,14 @@ def scan(
 ) -> DataFrame:
     """A feature table in its Parquet form; a column list prunes the scan, geometry included.
 
-    ``spread`` redistributes an input whose files make fewer partitions than there are
-    cores, which pays before geometry work; larger inputs are left as they are split.
+    ``spread`` redistributes an input, which pays before geometry work: at least one partition for each core and for each
+    ``SPREAD_BYTES`` of its files, as a split of usual size, or a row group, holds millions of short rows.
     """
     df = spark.read.parquet(path)
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     df = df.select(*columns) if columns else df
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if spread and df.rdd.getNumPartitions() < cores else df
+    asked = max(spark.sparkContext.defaultParallelism, -(-size // SPREAD_BYTES))
+    return df.repartition(asked) if spread and df.rdd.getNumPartitions() < asked else df
 
 
 def scan_many(spark: SparkSession, paths: list[str], recursive: bool = False,
