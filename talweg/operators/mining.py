@@ -22,7 +22,8 @@ def generate_domain(df: DataFrame, column: str) -> DataFrame:
     form, or had to be repaired, becomes an alias.
     """
     text = strip(F.col(f"`{column}`").cast("string"))
-    distinct = df.select(text.alias("value")).filter("value != ''").distinct()
+    # Written, as the tests of canonical texts would else move before the distinct step, onto every row, and run once for each kind.
+    distinct = stage(df.select(text.alias("value")).filter("value != ''").distinct())
     broken = looks_like_mojibake(F.col("value"))
     canonical = canonical_domain_text(
         F.when(broken, repair_mojibake(F.col("value"))).otherwise(F.col("value"))

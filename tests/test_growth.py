@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from talweg.functions import geometry as g
 from talweg.operators.dictionary import attribute_types
 from talweg.operators.fuzzy import candidate_pairs
+from talweg.operators.mining import generate_domain
+from talweg.operators.scale import stage
+from talweg.plans.treatment import mandatory_treatments
 
 
 def plan(df):
@@ -30,3 +36,24 @@ def test_candidates_of_texts_over_few_letters_stay_near_the_number_of_texts(spar
     pairs = {(r.a_id, r.b_id) for r in candidate_pairs(names).collect()}
     own = {(3 * k + i, 3 * k + j) for k in range(1000) for i, j in ((0, 1), (0, 2), (1, 2))}
     assert own <= pairs and len(pairs) < 1.01 * len(own)
+
+
+def test_a_geometry_takes_one_python_worker_in_the_mandatory_treatments(spark):
+    layer = spark.range(3).select(g.make_point(F.col("id") * 1.0, F.col("id") * 1.0).alias("geometry"), F.lit(4674).alias("srid"))
+    staged = stage(layer)
+    assert plan(mandatory_treatments(staged)).count("ArrowEvalPython") == 1
+
+
+def test_inputs_are_spread_by_bytes(spark, monkeypatch):
+    from talweg.sources import tables
+
+    monkeypatch.setattr(tables, "SPREAD_BYTES", 1024, raising=False)
+    df = tables.scan(spark, "/root/testdata/sf0.001/orders.parquet", spread=True)
+    assert df.rdd.getNumPartitions() > spark.sparkContext.defaultParallelism
+
+
+def test_canonical_texts_are_tested_once_for_each_distinct_text(spark):
+    names = spark.range(10).selectExpr("concat('x ', id % 2) AS v")
+    found = generate_domain(names, "v")
+    assert "Range" not in plan(found)  # only the written distinct texts are read
+    assert sorted(r.value for r in found.collect()) == ["x 0", "x 1"]
