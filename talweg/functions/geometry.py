@@ -390,46 +390,84 @@ def trees_intersect(one, two) -> bool:
     return False
 
 
-def intersects_groups(left: pa.Array, right_of) -> np.ndarray:
-    """Intersection flags of rows against their right geometry, rows grouped by that geometry.
+#: Pairs of segments tested together, and most of one row; rows of more are looked at one by one.
+PAIRS = 1 << 16
+
+
+def _edges(s: sh.Shapes):
+    """Segments of all paths as (start, end, ring), a lone vertex being one to itself, and where those of each geometry begin."""
+    count = np.maximum(s.ring_size - 1, 1)
+    ring = np.repeat(np.arange(len(count)), count)
+    start = sh.runs(s.ring_start[:-1], count)
+    end = np.minimum(start + 1, s.ring_start[1:][ring] - 1)
+    own = np.bincount(s.ring_geom, count, len(s)).astype("i8")
+    return s.xy[start], s.xy[end], ring, np.cumsum(own) - own, own
+
+
+def _products(one_at, one_n, two_at, two_n):
+    """(row, i, j) for every pair of a row's two runs, in blocks of about ``PAIRS``."""
+    size = one_n * two_n
+    before = np.concatenate([[0], np.cumsum(size)])
+    at = 0
+    while at < len(size):
+        end = max(at + 1, int(np.searchsorted(before, before[at] + PAIRS, "right")) - 1)
+        row = np.repeat(np.arange(at, end), size[at:end])
+        place = np.arange(len(row)) - (before[row] - before[at])
+        yield row, one_at[row] + place // two_n[row], two_at[row] + place % two_n[row]
+        at = end
+
+
+def _inside(probed: sh.Shapes, probe_geom, areal: sh.Shapes, edges, area_geom) -> np.ndarray:
+    """Rows where the first vertex of a path of one geometry lies in a polygon of the other, outlines aside."""
+    paths = np.bincount(probed.ring_geom, minlength=len(probed))
+    first = np.cumsum(paths) - paths
+    a, b, ring, at, own = edges
+    polygons, hit = max(1, int(areal.ring_poly.max(initial=0)) + 1), np.zeros(len(probe_geom), bool)
+    before = np.cumsum(paths[probe_geom]) - paths[probe_geom]
+    for row, i, j in _products(first[probe_geom], paths[probe_geom], at[area_geom], own[area_geom]):
+        p, y0, y1 = probed.xy[probed.ring_start[i]], a[j, 1], b[j, 1]
+        passed = (areal.ring_role[ring[j]] >= sh.ROLE_SHELL) & ((y0 <= p[:, 1]) != (y1 <= p[:, 1]))
+        row, i, j, p = row[passed], i[passed], j[passed], p[passed]
+        turn = topo._orient(a[j], b[j], p)
+        right = np.where(b[j, 1] > a[j, 1], turn > 0, turn < 0)
+        row, i, j = row[right], i[right], j[right]
+        probe = before[row] + i - first[probe_geom[row]]
+        key, place, times = np.unique(probe * polygons + areal.ring_poly[ring[j]], return_index=True, return_counts=True)
+        hit[row[place[times % 2 == 1]]] = True
+    return hit
 
-    ``right_of`` yields (row indexes, right WKB): each right geometry is decoded
-    once and all points that face it are located in one array operation.
-    """
-    s = sh.read_shapes(left)
+
+def _meeting(s: sh.Shapes, t: sh.Shapes, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows of ``s`` share a point with the geometry of ``t`` that ``code`` names, and rows too large for that."""
     hit = np.zeros(len(s), bool)
-    raws = None
-    for rows, raw in right_of:
-        tree, _ = sh.read_tree(raw)
-        areas, paths = _areas_and_paths(tree)
-        rows = rows[~s.null[rows] & ~s.empty[rows]]
-        simple = rows[(s.kind[rows] == sh.POINT)] if not paths else rows[:0]
-        if len(simple):
-            first = np.searchsorted(s.ring_geom, simple)
-            points = s.xy[s.ring_start[first]]
-            found = np.zeros(len(simple), bool)
-            for rings in areas:
-                found |= topo.locate(points, rings) >= 0
-            hit[simple] = found
-        rest = np.setdiff1d(rows, simple)
-        if len(rest):
-            raws = raws if raws is not None else left.to_pylist()
-            for i in rest:
-                hit[i] = trees_intersect(sh.read_tree(raws[i])[0], tree)
-    return hit
+    one, two = _edges(s), _edges(t)
+    pairs = np.where(code >= 0, one[4] * two[4][code], 0) if len(t) else np.zeros(len(s), "i8")
+    large, rows = np.flatnonzero(pairs > PAIRS), np.flatnonzero((pairs > 0) & (pairs <= PAIRS))
+    (a, b), (c, d) = one[:2], two[:2]
+    for row, i, j in _products(one[3][rows], one[4][rows], two[3][code[rows]], two[4][code[rows]]):
+        near = (np.minimum(a[i], b[i]) <= np.maximum(c[j], d[j])).all(axis=1) & (np.minimum(c[j], d[j]) <= np.maximum(a[i], b[i])).all(axis=1)
+        row, i, j = row[near], i[near], j[near]
+        hit[rows[row[topo.segments_meet(a[i], b[i], c[j], d[j])]]] = True
+    rows = rows[~hit[rows]]
+    hit[rows[_inside(s, rows, t, two, code[rows])]] = True
+    rows = rows[~hit[rows]]
+    hit[rows[_inside(t, code[rows], s, one, rows)]] = True
+    return hit, large
 
 
 @F.arrow_udf(T.BooleanType())
 def intersects(left: pa.Array, right: pa.Array) -> pa.Array:
-    """Closed intersection of two geometry columns; null when either is null."""
+    """Closed intersection of two geometry columns; null when either is null.
+
+    Each different right geometry is decoded once, and all segments of a batch are tested together in bounded blocks.
+    """
     coded = right.dictionary_encode()
-    codes = np.asarray(coded.indices.fill_null(-1))
-    values = coded.dictionary.to_pylist()
-    order = np.argsort(codes, kind="stable")
-    edges = np.searchsorted(codes[order], np.arange(len(values) + 1))
-    groups = ((order[edges[i] : edges[i + 1]], values[i]) for i in range(len(values)))
-    hit = intersects_groups(left, groups)
-    return pa.array(hit, mask=(codes < 0) | np.asarray(left.is_null()))
+    code = np.asarray(coded.indices.fill_null(-1)).astype("i8")
+    s = sh.read_shapes(left)
+    hit, large = _meeting(s, sh.read_shapes(coded.dictionary), code)
+    for i in large.tolist():
+        hit[i] = trees_intersect(sh.read_tree(left[i].as_buffer())[0], sh.read_tree(right[i].as_buffer())[0])
+    return pa.array(hit, mask=(code < 0) | s.null)
 
 
 def meets_polygon(wkb: Column, polygon: bytes) -> Column:
@@ -513,12 +551,20 @@ def make_point(x: pa.Array, y: pa.Array) -> pa.Array:
 @F.arrow_udf(T.BinaryType())
 def make_polygon(xs: pa.Array, ys: pa.Array) -> pa.Array:
     """Polygon of one ring given as coordinate arrays (taken as they are, not closed)."""
-    return pa.array(
-        [
-            None if x is None else sh.write_tree(sh.POLYGON, [np.stack([x, y], axis=1)] if x else [])
-            for x, y in zip(xs.to_pylist(), ys.to_pylist())
-        ],
-        pa.binary(),
+    null, n = np.asarray(xs.is_null()), len(xs)
+    given = pa.array(~null)
+    xs, ys = xs.filter(given), ys.filter(given)
+    size = np.asarray(pc.list_value_length(xs))
+    if not pc.list_value_length(ys).equals(pc.list_value_length(xs)):
+        raise ValueError("a ring needs as many x as y")
+    xy = np.stack([np.asarray(v.flatten().cast(pa.float64()).fill_null(np.nan)) for v in (xs, ys)], axis=1)
+    filled = size > 0
+    ring_geom, size = np.flatnonzero(~null)[filled], size[filled]
+    return sh.write_shapes(
+        sh.Shapes(
+            null, np.full(n, sh.POLYGON, "i4"), np.full(n, 2, "i4"), xy, np.concatenate([[0], np.cumsum(size)]).astype("i8"), ring_geom,
+            np.full(len(size), sh.ROLE_SHELL, "i4"), np.arange(len(size)), np.ones(n, bool), np.ones(n, bool),
+        )
     )
 
 

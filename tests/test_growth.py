@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from talweg.functions import geometry as g
+from talweg.functions import shapes as sh
 from talweg.operators.dictionary import attribute_types
 from talweg.operators.fuzzy import candidate_pairs
 from talweg.operators.mining import generate_domain
@@ -57,3 +60,19 @@ def test_canonical_texts_are_tested_once_for_each_distinct_text(spark):
     found = generate_domain(names, "v")
     assert "Range" not in plan(found)  # only the written distinct texts are read
     assert sorted(r.value for r in found.collect()) == ["x 0", "x 1"]
+
+
+def test_polygons_of_a_batch_meet_without_a_look_at_each_row(monkeypatch):
+    rng = np.random.default_rng(3)
+    corners = lambda n: [g.box_wkb(x, y, x + w, y + h) for x, y, w, h in rng.integers(0, 12, (n, 4)) + [0, 0, 1, 1]]
+    hole = sh.write_tree(sh.POLYGON, [np.array([[0, 0], [12, 0], [12, 12], [0, 12], [0, 0.0]]), np.array([[1, 1], [1, 11], [11, 11], [11, 1], [1, 1.0]])])
+    left = [None, g.point_wkb(5, 5), g.point_wkb(0, 6), sh.write_tree(sh.POLYGON, []), *corners(400)]
+    right = [hole if i % 7 < 4 else w for i, w in enumerate(corners(len(left)))]
+    wanted = [None if w is None else bool(g.trees_intersect(sh.read_tree(w)[0], sh.read_tree(r)[0])) for w, r in zip(left, right)]
+    columns = pa.array(left, pa.binary()), pa.array(right, pa.binary())
+    assert len(set(wanted)) == 3
+    monkeypatch.setattr(g, "PAIRS", 10, raising=False)  # each row is too large
+    assert g.intersects.func(*columns).to_pylist() == wanted
+    monkeypatch.setattr(g, "PAIRS", 100)
+    monkeypatch.setattr(g, "trees_intersect", None)
+    assert g.intersects.func(*columns).to_pylist() == wanted

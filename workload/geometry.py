@@ -8,7 +8,7 @@ from talweg.functions import geometry as g
 from talweg.operators import spatial as sp
 from talweg.operators.spatial_join import assign_regions, intersecting_pairs, normalize_uf, reference_layer
 from workload.inputs import (
-    BOX_SQL, LAT_SQL, LON_SQL, REGION_SQL, Registry, customer_boxes, customer_points, nation_regions, table,
+    BOX_SQL, LAT_SQL, LON_SQL, REGION_SQL, Registry, customer_boxes, customer_corners, customer_points, nation_regions, table,
 )
 
 QUERIES = Registry()
@@ -241,11 +241,11 @@ def region_pairs_shuffled(spark, sf):
 )
 def region_pairs_of_stray_boxes(spark, sf):
     """The pairs where two boxes in five have a corner far off the map, as unprojected coordinates give it."""
-    f = F.col("f")
-    wide = sp.with_facts(customer_boxes(spark, sf), "f").select(
+    key = F.col("c_custkey")
+    wide = customer_corners(spark, sf).select(
         "c_custkey",
-        g.make_box(F.when(F.col("c_custkey") % 5 == 1, F.lit(-8e7)).otherwise(f["minx"]), f["miny"],
-                   F.when(F.col("c_custkey") % 5 == 0, F.lit(1e9)).otherwise(f["maxx"]), f["maxy"]).alias("geometry"),
+        g.make_box(F.when(key % 5 == 1, F.lit(-8e7)).otherwise(F.col("x0")), F.col("y0"),
+                   F.when(key % 5 == 0, F.lit(1e9)).otherwise(F.col("x1")), F.col("y1")).alias("geometry"),
     )
     return intersecting_pairs(wide, reference_layer(nation_regions(spark, sf)), "c_custkey")
 
