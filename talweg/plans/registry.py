@@ -144,9 +144,14 @@ def apply_column_functions(df: DataFrame, mapping: dict[str, list[str]], ctx: Ru
     return df
 
 
-def enrich_regions(df: DataFrame, ctx: RuleContext) -> DataFrame:
-    if ctx.regions is None:
+def check_postprocess(names: list[str], ctx: RuleContext) -> None:
+    """Raise before any step runs where one lacks what it needs."""
+    if "enrich_with_municipality_intersection" in names and ctx.regions is None:
         raise ValueError("the profile joins reference regions but none were given")
+
+
+def enrich_regions(df: DataFrame, ctx: RuleContext) -> DataFrame:
+    check_postprocess(["enrich_with_municipality_intersection"], ctx)
     return assign_regions(df, ctx.regions, ctx.row_key)
 
 

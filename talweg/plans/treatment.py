@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -18,7 +20,7 @@ from talweg.operators.mining import autofix_domain, mine_relations
 from talweg.operators.quality import QualityConfig
 from talweg.operators.relations import relation_summary, resolve_relation
 from talweg.operators.scale import stage
-from talweg.plans.registry import RuleContext, apply_column_functions, apply_postprocess
+from talweg.plans.registry import RuleContext, apply_column_functions, apply_postprocess, check_postprocess
 from talweg.sources.rules import RuleTables, profile_config
 
 RELOCATE = "relocate_outside_brazil_bounds_to_centroid"  # fixed value: profile switch
@@ -61,13 +63,18 @@ class Profile:
 
 @dataclass(frozen=True)
 class TreatmentResult:
-    data: DataFrame                 # treated table with internal columns
     context: RuleContext
     profile: Profile
     audited: DataFrame              # the same rows with classification columns
     stats: dict                     # counted while the rows were written
+    finish: Callable[[], DataFrame]  # post-processing of the audited rows
     region: sp.Region = sp.Region()
 
+    @cached_property
+    def data(self) -> DataFrame:
+        """Treated table with internal columns; post-processed when first asked for, as summaries and deltas don't need it."""
+        return self.finish()
+
     @property
     def silver(self) -> DataFrame:
         """Output rows: internal columns dropped, features off the region relocated if configured."""
@@ -154,7 +161,7 @@ def treat(
     to the staged table which also fixes the ids. What depends on all rows (which derived columns
     changed, whether the layer is measurable, the statistics of the run) is observed during that write, so the
     table is not read again for it. Post-processing joins end in a second staged table, so that
-    output, summaries and reports read rows instead of joining again.
+    output and reports read rows instead of joining again; it is written when ``data`` or ``silver`` is first asked for.
     ``region`` is where relocated features go; the paths may name the state, like profile and theme.
     """
     profile = Profile.of(rules, profile_name)
@@ -185,5 +192,10 @@ def treat(
     hidden = [c for c in treated.columns if c.startswith("__") and c != REPAIR_FLAG]
     final = treated.drop(*hidden, *unchanged, *absent)
     final = sc.backfill_derived(final).withColumn(FID_COLUMN, F.col(ID_COLUMN))
-    final = sp.fill_missing_metrics(apply_postprocess(final, profile.postprocess, ctx)).drop("__clip")
-    return TreatmentResult(stage(final) if profile.postprocess else final, ctx, profile, treated, stats, region)
+    check_postprocess(profile.postprocess, ctx)
+
+    def finish() -> DataFrame:
+        done = sp.fill_missing_metrics(apply_postprocess(final, profile.postprocess, ctx)).drop("__clip")
+        return stage(done) if profile.postprocess else done
+
+    return TreatmentResult(ctx, profile, treated, stats, finish, region)

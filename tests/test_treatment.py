@@ -265,3 +265,12 @@ def test_empty_layers_are_treated(spark, rules):
     assert result.stats["rows"] == result.stats["reprojected_to_wgs84"] == 0 and result.data.count() == 0
     assert registry.named_state(("other", None, "/in/RL_CAR_MA.gpkg", "/src/app_car_ac.gpkg")) == "ma"
     assert registry.named_state(("rl_car_zz", None)) is None
+
+
+def test_summaries_take_no_post_processing(spark, rules, monkeypatch):
+    name, ran = "enforce_car_state_bounds", []
+    step = registry.POSTPROCESS_STEPS[name]
+    monkeypatch.setitem(registry.POSTPROCESS_STEPS, name, lambda df, ctx: ran.append(name) or step(df, ctx))
+    result = treat(car_layer(spark), rules, "car_reserva_legal/rl_car_ma", ["cod_tema"])
+    assert result.relation_summaries().count() == 3 and result.domain_summary().count() == 4 and not ran
+    assert result.data.count() == result.silver.count() == 3 and ran == [name]
