@@ -144,12 +144,16 @@ def _errors(wkb: pa.Array, crs: pa.Array, geographic: pa.Array) -> pa.Array:
     s = sh.read_shapes(wkb)
     flags = np.array(geographic.to_pylist(), bool)
     quick = validity.quick_valid(s, flags)
-    names = crs.to_pylist()
-    raws = wkb.to_pylist() if not quick.all() else []
-    return pa.array(
-        [[] if ok else validity.ogc_errors(raws[i], names[i], bool(flags[i])) for i, ok in enumerate(quick)],
-        pa.list_(pa.string()),
-    )
+    odd = np.flatnonzero(~quick)
+    # Equal geometries of a batch are looked at once, in one reference system each.
+    raws, names = wkb.take(pa.array(odd)).dictionary_encode(), crs.take(pa.array(odd)).to_pylist()
+    values, reasons, found = raws.dictionary.to_pylist(), {}, [[]] * len(s)
+    for i, code, name in zip(odd.tolist(), raws.indices.to_pylist(), names):
+        key = code, name, bool(flags[i])
+        if key not in reasons:
+            reasons[key] = validity.ogc_errors(None if code is None else values[code], name, key[2])
+        found[i] = reasons[key]
+    return pa.array(found, pa.list_(pa.string()))
 
 
 # Errors are nearly always filtered by their size, so they are planned like ``geometry_facts_once``.

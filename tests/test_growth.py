@@ -76,3 +76,14 @@ def test_polygons_of_a_batch_meet_without_a_look_at_each_row(monkeypatch):
     monkeypatch.setattr(g, "PAIRS", 100)
     monkeypatch.setattr(g, "trees_intersect", None)
     assert g.intersects.func(*columns).to_pylist() == wanted
+
+
+def test_equal_geometries_of_a_batch_are_checked_once(monkeypatch):
+    bow = sh.write_tree(sh.POLYGON, [np.array([[0, 0], [1, 1], [1, 0], [0, 1], [0, 0.0]])])
+    rows = [bow, g.box_wkb(0, 0, 1, 1), None, bow, g.box_wkb(300, 0, 301, 1), bow, None, g.box_wkb(300, 0, 301, 1)]
+    crs, geographic = ["EPSG:4326"] * 5 + ["EPSG:5880", None, "EPSG:5880"], [True] * 5 + [False] * 3
+    plain, looked = g.validity.ogc_errors, []
+    wanted = [plain(*row) for row in zip(rows, crs, geographic)]
+    monkeypatch.setattr(g.validity, "ogc_errors", lambda *row: looked.append(row) or plain(*row))
+    assert g._errors(pa.array(rows, pa.binary()), pa.array(crs), pa.array(geographic)).to_pylist() == wanted
+    assert wanted[1] == wanted[7] == [] and len(looked) == len(set(looked)) == 5
