@@ -56,10 +56,22 @@ def _parse(text: Column, formats) -> Column:
     return F.transform(F.transform(plain, _full_year), parsed)[0]
 
 
-def parse_date(value: Column) -> Column:
-    """Day-first date of a text; blank, 'nan' and 'None' are null."""
+def date_text(value: Column) -> Column:
+    """Text that can be a date; blank, 'nan' and 'None' are null."""
     text = strip(value)
-    return _parse(F.when(~text.isin("", "nan", "None"), text), DAY_FIRST_FORMATS)
+    return F.when(~text.isin("", "nan", "None"), text)
+
+
+def parse_date(value: Column, text: Column | None = None) -> Column:
+    """Day-first date of a text; blank, 'nan' and 'None' are null.
+
+    With ``text``, a column that holds the ``date_text``, dates in the first two formats are read from there: they have neither tail nor
+    short year to rewrite, so only other texts go through the lambdas, which aren't compiled.
+    """
+    if text is None:
+        return _parse(date_text(value), DAY_FIRST_FORMATS)
+    direct = [F.try_to_timestamp(F.when(text.rlike(shape), text), F.lit(layout)).cast("date") for shape, layout in DAY_FIRST_FORMATS[:2]]
+    return F.coalesce(*direct, _parse(text, DAY_FIRST_FORMATS))
 
 
 def date_folder(value: Column) -> Column:

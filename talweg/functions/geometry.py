@@ -50,7 +50,7 @@ def _facts(wkb: pa.Array) -> pa.Array:
     with np.errstate(invalid="ignore"):
         area, length = sh.measures(s, polyconic(s.xy))
     facts = {
-        "kind": pa.array([sh.KINDS[k] for k in s.kind], pa.string()),
+        "kind": pa.array(sh.KINDS, pa.string()).take(pa.array(s.kind)),
         "dims": pa.array(s.dims, pa.int32(), mask=s.null),
         "is_empty": pa.array(s.empty, mask=s.null),
         "finite": pa.array(finite),
@@ -70,6 +70,22 @@ geometry_facts = F.arrow_udf(_facts, FACTS)
 geometry_facts_once = F.arrow_udf(_facts, FACTS).asNondeterministic()
 
 
+BOUNDS = T.StructType([f for f in FACTS.fields if f.name in ("kind", "finite", "minx", "miny", "maxx", "maxy")])
+
+
+def _bounds(wkb: pa.Array) -> pa.Array:
+    """Type and bounds of geometries, as in their facts."""
+    s = sh.read_shapes(wkb)
+    box, present = sh.bounds(s), ~s.null & ~s.empty
+    kind = pa.array(sh.KINDS, pa.string()).take(pa.array(s.kind))
+    sides = [_doubles(box[:, i], present) for i in range(4)]
+    return pa.StructArray.from_arrays([kind, pa.array(present & np.isfinite(box).all(axis=1)), *sides], BOUNDS.names)
+
+
+# Planned like ``geometry_facts_once``, for joins that need no measures.
+geometry_bounds_once = F.arrow_udf(_bounds, BOUNDS).asNondeterministic()
+
+
 def _where(rows: np.ndarray, new: pa.Array, old: pa.Array) -> pa.Array:
     """``new`` in the marked rows, else ``old``."""
     return pc.if_else(pa.array(rows), new.cast(pa.binary()), old.cast(pa.binary()))
@@ -306,13 +322,36 @@ def _clipped_lines(s: sh.Shapes, boxes: np.ndarray) -> sh.Shapes:
     )
 
 
+def _boxes(*sides: pa.Array) -> np.ndarray:
+    return np.stack([np.asarray(a.fill_null(np.nan)) for a in sides], axis=1)
+
+
 @F.arrow_udf(T.BinaryType())
 def clip_to_box(wkb: pa.Array, minx: pa.Array, miny: pa.Array, maxx: pa.Array, maxy: pa.Array) -> pa.Array:
-    """Part of a geometry inside a box, null where they do not meet.
+    """Part of a geometry inside a box, null where they do not meet."""
+    return _clipped(wkb, _boxes(minx, miny, maxx, maxy))
 
-    Whole batches are clipped together; one by one go collections, what only touches its box, and polygons that are not valid.
-    """
-    boxes = np.stack([np.asarray(a.fill_null(np.nan)) for a in (minx, miny, maxx, maxy)], axis=1)
+
+@F.arrow_udf(T.StructType([T.StructField("geometry", T.BinaryType()), T.StructField("beyond", T.BooleanType()), T.StructField("facts", FACTS)]))
+def clip_beyond(wkb: pa.Array, minx: pa.Array, miny: pa.Array, maxx: pa.Array, maxy: pa.Array) -> pa.Array:
+    """Whether a geometry lies beyond a box on some side; if so the part inside and its facts, null where they do not meet."""
+    boxes, s = _boxes(minx, miny, maxx, maxy), sh.read_shapes(wkb)
+    own = sh.bounds(s)
+    with np.errstate(invalid="ignore"):
+        # Coordinates that are no numbers count as the largest.
+        past = (own[:, :2] < boxes[:, :2]).any(axis=1) | ~(own[:, 2:] <= boxes[:, 2:]).all(axis=1)
+        meets = (own[:, :2] <= boxes[:, 2:]).all(axis=1) & (own[:, 2:] >= boxes[:, :2]).all(axis=1)
+    beyond = past & ~s.null & ~s.empty & ~np.isnan(boxes).any(axis=1)
+    rows = np.flatnonzero(beyond & meets)
+    part = _clipped(wkb.take(pa.array(rows)), boxes[rows])
+    place, cut = np.zeros(len(s), "i8"), np.zeros(len(s), bool)
+    place[rows], cut[rows] = np.arange(len(rows)), np.asarray(part.is_valid())
+    place = pa.array(place, mask=~cut)
+    return pa.StructArray.from_arrays([part.cast(pa.binary()).take(place), pa.array(beyond), _facts(part).take(place)], ["geometry", "beyond", "facts"])
+
+
+def _clipped(wkb: pa.Array, boxes: np.ndarray) -> pa.Array:
+    """Whole batches are clipped together; one by one go collections, what only touches its box, and polygons that are not valid."""
     s = sh.read_shapes(wkb)
     own = sh.bounds(s)
     with np.errstate(invalid="ignore"):
@@ -459,8 +498,7 @@ def _meeting(s: sh.Shapes, t: sh.Shapes, code: np.ndarray) -> tuple[np.ndarray,
     return hit, large
 
 
-@F.arrow_udf(T.BooleanType())
-def intersects(left: pa.Array, right: pa.Array) -> pa.Array:
+def _intersects(left: pa.Array, right: pa.Array) -> pa.Array:
     """Closed intersection of two geometry columns; null when either is null.
 
     Each different right geometry is decoded once, and all segments of a batch are tested together in bounded blocks.
@@ -474,6 +512,22 @@ def intersects(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array(hit, mask=(code < 0) | s.null)
 
 
+intersects = F.arrow_udf(_intersects, T.BooleanType())
+
+
+@F.arrow_udf(T.IntegerType())
+def first_met(wkb: pa.Array, pieces: pa.Array) -> pa.Array:
+    """Place of the first geometry of a list that meets a geometry, from 0; null where none does."""
+    size = np.asarray(pc.list_value_length(pieces).fill_null(0)).astype("i8")
+    row = np.repeat(np.arange(len(size)), size)
+    place = np.arange(len(row)) - (np.cumsum(size) - size)[row]
+    met = np.asarray(_intersects(wkb.take(pa.array(row)), pieces.flatten()).fill_null(False)) if len(row) else np.zeros(0, bool)
+    rows, at = np.unique(row[met], return_index=True)
+    found = np.full(len(size), -1, "i4")
+    found[rows] = place[met][at]
+    return pa.array(found, mask=found < 0)
+
+
 def meets_polygon(wkb: Column, polygon: bytes) -> Column:
     """Closed intersection with one fixed polygon, which is prepared once for each batch; null for null."""
 

@@ -18,6 +18,8 @@ from pyspark.sql.types import StringType
 
 # Unicode white space as Python's str.split sees it.
 WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
+# The same characters one by one, for trimming without a search.
+WHITE_CHARACTERS = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 
 
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -32,7 +34,7 @@ def collapse(value: Column) -> Column:
 
 def strip(value: Column) -> Column:
     """Trim Unicode white space at both ends, keeping the inside as it is."""
-    return F.regexp_replace(value, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.btrim(value, F.lit(WHITE_CHARACTERS))
 
 
 def stringify(value: Column) -> Column:
@@ -234,9 +236,12 @@ def _closest_condition(keys: pa.Array) -> pa.Array:
     return labels.take(coded.indices)
 
 
-def condition_label(value: Column) -> Column:
-    """Label of a registry condition: contained keyword, then closest, then trimmed text."""
-    key = rule_key(value)
+def condition_label(value: Column, key: Column | None = None) -> Column:
+    """Label of a registry condition: contained keyword, then closest, then trimmed text.
+
+    ``key`` is the rule key of ``value`` where a column holds it; else it is worked out wherever it is used.
+    """
+    key = rule_key(value) if key is None else key
     contained = F.coalesce(
         *[F.when(F.contains(key, F.lit(k)), F.lit(v)) for k, v in CONDITION_LABELS.items()]
     )

@@ -44,18 +44,18 @@ def classify(
     A left join on the comparison key. The lookup is broadcast if the caller knows it
     to be ``small``; otherwise adaptive execution decides by measured bytes and splits hot values.
     """
-    source = F.col(f"`{column}`")
-    text = strip(source.cast("string"))
+    source, text = F.col(f"`{column}`"), F.col("_text")
     side = checked_side(
         lookup.select(F.col("key").alias("_key"), F.col("canonical").alias("_canonical"),
                       F.col("by_alias").alias("_alias")),
         small,
     )
-    keyed = df.withColumn("_key", F.when(text != "", rule_key(text)))
+    # A column of its own is worked out once, for the key and for the result.
+    keyed = df.withColumn("_text", strip(source.cast("string"))).withColumn("_key", F.when(text != "", rule_key(text)))
     return (
         keyed.join(side, "_key", "left")
         .withColumn(out, classification(source, text, F.col("_canonical"), F.col("_alias")))
-        .drop("_key", "_canonical", "_alias")
+        .drop("_key", "_text", "_canonical", "_alias")
     )
 
 

@@ -12,6 +12,7 @@ from talweg.functions.naming import FID_COLUMN, ID_COLUMN
 from talweg.operators.scale import stage
 
 PARTITION_BYTES, MOST_PARTITIONS = 256 << 20, 500_000
+READ_ORDER = "__read"  # place in which a row was read; told beforehand where the table has been written since
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
 
 
@@ -38,12 +39,13 @@ def add_sequential_id(
     partitions; ids are then partition offset plus position. Equal keys keep the order in which they are read: that place is
     the last key, so partitions can begin inside a run of equal keys, however long. ``work``, which must keep
     every row and its column ``_at``, runs on the placed rows on their way to the staged
-    table: range partitioning looks at its input twice, so costly columns belong there.
+    table: range partitioning looks at its input twice, so costly columns belong there. A column ``READ_ORDER``
+    tells the place of a row where ``df`` doesn't have its rows in the order in which they were read.
     """
+    tied = df if READ_ORDER in df.columns else df.withColumn(READ_ORDER, F.monotonically_increasing_id())
     placed = (
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(*_partitions(df), *order_by, "_tie")
-        .sortWithinPartitions(*order_by, "_tie").drop("_tie")
+        tied.repartitionByRange(*_partitions(df), *order_by, READ_ORDER)
+        .sortWithinPartitions(*order_by, READ_ORDER).drop(READ_ORDER)
         .withColumn("_at", F.monotonically_increasing_id())
     )
     placed = stage(work(placed) if work else placed)

@@ -137,6 +137,15 @@ def spatial_metrics(df: DataFrame, measure: bool = True) -> DataFrame:
     return with_facts(df).withColumns(wanted).drop(_FACTS)
 
 
+def lacks_metrics(df: DataFrame) -> Column:
+    """Rows with a geometry and without one of the metrics that the table has."""
+    lacking = F.lit(False)
+    for name in (AREA, PERIMETER, LONGITUDE, LATITUDE):
+        if name in df.columns:
+            lacking = lacking | F.col(name).isNull()
+    return lacking & F.col(GEOMETRY).isNotNull()
+
+
 def fill_missing_metrics(df: DataFrame) -> DataFrame:
     """Metrics of rows that lack one are all computed again.
 
@@ -145,10 +154,7 @@ def fill_missing_metrics(df: DataFrame) -> DataFrame:
     present = [c for c in (AREA, PERIMETER, LONGITUDE, LATITUDE) if c in df.columns]
     if not present or GEOMETRY not in df.columns:
         return df
-    lacking = F.lit(False)
-    for name in present:
-        lacking = lacking | F.col(name).isNull()
-    lacking = lacking & F.col(GEOMETRY).isNotNull()
+    lacking = lacks_metrics(df)
     facts = g.geometry_facts(F.when(lacking, F.col(GEOMETRY)))
     values = metric_values(F.col(_FACTS))
     return (
@@ -178,14 +184,6 @@ def box_covers(facts: Column, box) -> Column:
     )
 
 
-def outside_box(facts: Column, minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
-    """Some side of a non-empty geometry lies strictly beyond the box."""
-    return F.coalesce(
-        (facts["minx"] < minx) | (facts["maxx"] > maxx) | (facts["miny"] < miny) | (facts["maxy"] > maxy),
-        F.lit(False),
-    )
-
-
 @dataclass(frozen=True)
 class Region:
     """Region of interest: a box by default, or a polygon given as WKB."""
@@ -288,31 +286,22 @@ def changed_geometry_count(pairs: DataFrame, before: str, after: str) -> DataFra
 def clip_to_states(df: DataFrame, state: str | Column, out: str = "clip_status") -> DataFrame:
     """Clip to the state envelope; ``out`` is clipped, outside (no overlap, unchanged) or kept.
 
-    The 27 envelopes are a literal map. Only geometries beyond their envelope reach
-    the clipping function, and metrics are computed again for clipped rows only.
+    The 27 envelopes are a literal map. One function looks at the bounds, clips what lies beyond its envelope
+    and measures only what it clipped.
     """
     code = F.lit(state) if isinstance(state, str) else state
     envelopes = F.create_map(
         *[x for k, box in STATE_BOUNDS.items() for x in (F.lit(k), F.array(*map(F.lit, box)))]
     )
-    work = with_facts(df).withColumn("_box", envelopes[code])
-    sides = [F.col("_box")[i] for i in range(4)]
-    work = work.withColumn("_beyond", outside_box(F.col(_FACTS), *sides)).withColumn(
-        "_clip", g.clip_to_box(F.when(F.col("_beyond"), F.col(GEOMETRY)), *sides)
-    )
-    clipped = F.col("_clip").isNotNull()
-    work = work.withColumn(
-        out, F.when(clipped, "clipped").when(F.col("_beyond"), "outside").otherwise("kept")
-    )
-    values = metric_values(F.col("_new"))
-    refreshed = [c for c in values if c in df.columns]
-    if refreshed:
-        work = work.withColumn("_new", g.geometry_facts(F.col("_clip"))).withColumns(
-            {c: F.when(F.col("_new.finite"), values[c]).otherwise(F.col(c)) for c in refreshed}
-        )
-    return work.withColumn(GEOMETRY, F.coalesce("_clip", GEOMETRY)).drop(
-        _FACTS, "_box", "_beyond", "_clip", "_new"
-    )
+    work = df.withColumn("_box", envelopes[code])
+    work = work.withColumn("_clip", g.clip_beyond(F.col(GEOMETRY), *[F.col("_box")[i] for i in range(4)]))
+    clipped = F.col("_clip.geometry")
+    values = metric_values(F.col("_clip.facts"))
+    changes = {c: F.when(F.col("_clip.facts.finite"), values[c]).otherwise(F.col(c)) for c in values if c in df.columns}
+    return work.withColumns({
+        **changes, out: F.when(clipped.isNotNull(), "clipped").when(F.col("_clip.beyond"), "outside").otherwise("kept"),
+        GEOMETRY: F.coalesce(clipped, F.col(GEOMETRY)),
+    }).drop("_box", "_clip")
 
 
 def repair_geometries(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from talweg.functions import geometry as g
@@ -129,24 +129,44 @@ def _close_cells(cells_from: Column, cells_to: Column, side: Column) -> Column:
     return F.sequence(F.ceil(cells_from / side) - 1, F.floor(cells_to / side))
 
 
-def _touching_tiles(
-    features: DataFrame, regions: DataFrame, row_key: str, size: float | None, broadcast_cells: int, hot_rows: int
-) -> DataFrame:
+@dataclass(frozen=True)
+class Tiling:
+    """Regions cut into tiles, and what is known of their number and size."""
+
+    grid: Grid
+    tiled: DataFrame
+    stats: Row
+
+    @classmethod
+    def of(cls, regions: DataFrame, size: float | None = None) -> "Tiling":
+        grid = Grid.of(regions, size)
+        tiled = region_tiles(regions, grid)
+        length = F.aggregate("tiles", F.lit(0).cast("long"), lambda n, t: n + F.length(t["piece"]))
+        square = F.pow("side", F.lit(2.0))
+        return cls(grid, tiled, tiled.agg(
+            F.sum(F.size("tiles")).alias("tiles"), F.sum(length).alias("bytes"),
+            F.sum((F.pow(F.lit((LEVEL_SPAN + 1.0)), 2) + 4 * (grid.top - F.col("r_level")))).alias("cells"),
+            F.array_sort(F.collect_set("r_level")).alias("levels"),  # a handful of integers
+            F.min("side").alias("side"), F.sum(F.size("tiles") * square).alias("area"), F.sum(length * square).alias("volume"),
+        ).first())
+
+    def small(self, broadcast_cells: int) -> bool:
+        """Whether all tiles, repeated on the grid of the smallest ones, can be broadcast."""
+        s = self.stats
+        square = (s["side"] or 1.0) ** 2
+        return (s["area"] or 0) <= broadcast_cells * square and (s["volume"] or 0) <= BROADCAST_BYTES * square
+
+
+def _touching_tiles(features: DataFrame, tiling: Tiling, row_key: str, broadcast_cells: int, hot_rows: int) -> DataFrame:
     """(row_key, code, name, uf) for every feature and tile that share a point."""
-    grid = Grid.of(regions, size)
+    grid, tiled, stats = tiling.grid, tiling.tiled, tiling.stats
     size = grid.size
-    tiled = region_tiles(regions, grid)
     right = _region_cells(tiled, size, grid.top)
-    stats = tiled.agg(
-        F.sum(F.size("tiles")).alias("tiles"), F.sum(F.aggregate("tiles", F.lit(0).cast("long"), lambda n, t: n + F.length(t["piece"]))).alias("bytes"),
-        F.sum((F.pow(F.lit((LEVEL_SPAN + 1.0)), 2) + 4 * (grid.top - F.col("r_level")))).alias("cells"),
-        F.array_sort(F.collect_set("r_level")).alias("levels"),  # a handful of integers
-    ).first()
 
     f = F.col("f")
     left_x, left_y, right_x, right_y = map(F.lit, grid.bounds)
     left = (
-        features.select(F.col(row_key), F.col(GEOMETRY), g.geometry_facts_once(F.col(GEOMETRY)).alias("f"))
+        features.select(F.col(row_key), F.col(GEOMETRY), g.geometry_bounds_once(F.col(GEOMETRY)).alias("f"))
         .filter("f.finite")
         .select(row_key, GEOMETRY, f["kind"].alias("kind"),
                 F.greatest(f["minx"], left_x).alias("x0"), F.greatest(f["miny"], left_y).alias("y0"),
@@ -210,7 +230,7 @@ def intersecting_pairs(
     tiles wholly inside need no exact test. Cells and tiles are broadcast after a check of their number and bytes;
     otherwise both sides shuffle, with crowded cells salted.
     """
-    met = _touching_tiles(features, regions, row_key, size, broadcast_cells, hot_rows)
+    met = _touching_tiles(features, Tiling.of(regions, size), row_key, broadcast_cells, hot_rows)
     return met.dropDuplicates([row_key, "rid"]).drop("rid")
 
 
@@ -246,16 +266,52 @@ def first_match(pairs: DataFrame, row_key: str) -> DataFrame:
     ).select(row_key, "m.*")
 
 
+def _cell_regions(tiling: Tiling) -> DataFrame:
+    """Regions by cell of the smallest tiles: the first that covers it, and the pieces of those before that one."""
+    n = F.round(F.col("side") / tiling.stats["side"]).cast("long")
+    within = lambda c: F.sequence(F.col(c) * n, F.col(c) * n + n - 1)
+    tiles = tiling.tiled.select("code", "name", "uf", "side", F.explode("tiles").alias("t")).select(
+        "code", "name", "uf", "side", "t.*"
+    ).withColumn("_i", F.explode(within("i"))).withColumn("_j", F.explode(within("j")))
+    listed = tiles.groupBy("_i", "_j").agg(F.array_sort(F.collect_list(F.struct("code", "name", "uf", "inside", "piece"))).alias("all"))
+    names = lambda x: F.struct(x["code"].alias("code"), x["name"].alias("name"), x["uf"].alias("uf"))
+    first = listed.withColumn("_sure", F.get(F.transform(F.filter("all", lambda x: x["inside"]), names), F.lit(0)))
+    before = first.withColumn("all", F.filter("all", lambda x: ~x["inside"] & (F.col("_sure").isNull() | (names(x) < F.col("_sure")))))
+    return before.select("_i", "_j", "_sure", F.transform("all", names).alias("_names"), F.transform("all", lambda x: x["piece"]).alias("_pieces"))
+
+
+def _matched_in_cells(df: DataFrame, tiling: Tiling) -> tuple[DataFrame, DataFrame]:
+    """Features strictly inside one cell of the smallest tiles, with their first region as ``_m``, and all others as they are.
+
+    The cell tells the regions that can meet the feature, so a feature stays in its row and its partition.
+    """
+    f, side = F.col("_f"), F.lit(tiling.stats["side"] or 1.0)
+    i, j = F.floor(f["minx"] / side), F.floor(f["miny"] / side)
+    alone = (f["minx"] > i * side) & (f["maxx"] < (i + 1) * side) & (f["miny"] > j * side) & (f["maxy"] < (j + 1) * side)
+    looked = df.withColumn("_f", g.geometry_bounds_once(F.col(GEOMETRY))).withColumn("_alone", ~f["finite"] | alone)
+    placed = looked.filter("_alone").withColumns({"_i": F.when(f["finite"], i), "_j": F.when(f["finite"], j)}).drop("_f", "_alone")
+    met = placed.join(F.broadcast(_cell_regions(tiling)), ["_i", "_j"], "left")
+    asked = F.size("_pieces") > 0
+    met = met.withColumn("_first", g.first_met(F.when(asked, F.col(GEOMETRY)), F.when(asked, F.col("_pieces"))))
+    met = met.withColumn("_m", F.coalesce(F.get("_names", F.col("_first")), F.col("_sure")))
+    return met.drop("_i", "_j", "_sure", "_names", "_pieces", "_first"), stage(looked.filter("NOT _alone").drop("_f", "_alone"))
+
+
 def assign_regions(df: DataFrame, regions: DataFrame, row_key: str, **options) -> DataFrame:
     """Region code, name and UF of every feature; the marker text where none matches.
 
-    The UF of a matched region without one comes from the feature's own UF.
+    The UF of a matched region without one comes from the feature's own UF. Features in one cell of the smallest tiles find their
+    region there, if all tiles can be broadcast; only those on several cells meet the tiles in pairs and are joined back.
     """
-    pairs = _touching_tiles(
-        df, reference_layer(regions), row_key, options.get("size"), options.get("broadcast_cells", BROADCAST_CELLS), options.get("hot_rows", HOT_ROWS)
-    )
+    tiling = Tiling.of(reference_layer(regions), options.get("size"))
+    broadcast_cells = options.get("broadcast_cells", BROADCAST_CELLS)
+    alone, rest = _matched_in_cells(df, tiling) if tiling.small(broadcast_cells) else (None, df)
+    pairs = _touching_tiles(rest, tiling, row_key, broadcast_cells, options.get("hot_rows", HOT_ROWS))
     match = first_match(pairs, row_key)  # pairs that repeat by tile are one group here
-    joined = df.join(match.withColumn("_hit", F.lit(True)), row_key, "left")
+    joined = rest.join(match.select(row_key, F.struct("code", "name", "uf").alias("_m")), row_key, "left")
+    if alone is not None:
+        joined = alone.unionByName(joined)
+    joined = joined.select("*", "_m.*").drop("_m")
     hit = F.col("code").isNotNull()
     uf = normalize_uf(F.col("uf"))
     if "sdb_uf" in df.columns:
@@ -267,4 +323,4 @@ def assign_regions(df: DataFrame, regions: DataFrame, row_key: str, **options) -
             "acm_municipio": F.when(hit, F.col("name")).otherwise(marker),
             "acm_uf": F.when(hit, uf).otherwise(marker),
         }
-    ).drop("code", "name", "uf", "_hit")
+    ).drop("code", "name", "uf")

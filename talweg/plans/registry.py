@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from talweg.functions.dates import parse_date
+from talweg.functions.dates import date_text, parse_date
 from talweg.functions.naming import derived_name
-from talweg.functions.text import STATE_KEY_FAMILIES, condition_label
+from talweg.functions.text import STATE_KEY_FAMILIES, condition_label, rule_key
 from talweg.operators import relations as rel
 from talweg.operators.domains import classify, domain_lookup
 from talweg.operators.scale import stage
@@ -98,11 +98,13 @@ def validate_dates(df: DataFrame, column: str, ctx: RuleContext) -> DataFrame:
     kind = df.schema[column].dataType
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return df
-    return df.withColumn(derived_name(column), parse_date(F.col(f"`{column}`").cast("string")))
+    source = F.col(f"`{column}`").cast("string")
+    return df.withColumn("_text", date_text(source)).withColumn(derived_name(column), parse_date(source, F.col("_text"))).drop("_text")
 
 
 def label_condition(df: DataFrame, column: str, ctx: RuleContext) -> DataFrame:
-    return df.withColumn(derived_name(column), condition_label(F.col(f"`{column}`")))
+    source = F.col(f"`{column}`")
+    return df.withColumn("_key", rule_key(source)).withColumn(derived_name(column), condition_label(source, F.col("_key"))).drop("_key")
 
 
 # Function names used by rule profiles.
@@ -176,6 +178,10 @@ POSTPROCESS_STEPS: dict[str, Callable[[DataFrame, RuleContext], DataFrame]] = {
 }
 
 
+#: Steps after which no row lacks a metric that it had before.
+METRICS_KEPT = frozenset(POSTPROCESS_STEPS)
+
+
 def apply_postprocess(df: DataFrame, names: list[str], ctx: RuleContext) -> DataFrame:
     """Run the steps in order; what one has changed is written for the next, which may read it twice.
 

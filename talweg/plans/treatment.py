@@ -15,12 +15,12 @@ from talweg.functions.text import collapse
 from talweg.operators import schema as sc
 from talweg.operators import spatial as sp
 from talweg.operators.domains import domain_lookup, invalid_value_counts, status_counts
-from talweg.operators.identifiers import add_sequential_id
+from talweg.operators.identifiers import READ_ORDER, add_sequential_id
 from talweg.operators.mining import autofix_domain, mine_relations
 from talweg.operators.quality import QualityConfig
 from talweg.operators.relations import relation_summary, resolve_relation
 from talweg.operators.scale import stage
-from talweg.plans.registry import RuleContext, apply_column_functions, apply_postprocess, check_postprocess
+from talweg.plans.registry import METRICS_KEPT, RuleContext, apply_column_functions, apply_postprocess, check_postprocess
 from talweg.sources.rules import RuleTables, profile_config
 
 RELOCATE = "relocate_outside_brazil_bounds_to_centroid"  # fixed value: profile switch
@@ -120,14 +120,15 @@ def clean_whitespace(df: DataFrame) -> DataFrame:
 DIMS, MEASURABLE, REPROJECTED = "__dims", "__measurable", "__reprojected"
 
 
-def mandatory_treatments(df: DataFrame) -> DataFrame:
+def mandatory_treatments(df: DataFrame, cleaned: bool = False) -> DataFrame:
     """White space, reprojection, metrics and 2-D; one look at each geometry.
 
     Metrics need only x and y, so they are taken together with the dimension before
-    Z and M are dropped. Hidden columns keep what the run statistics need.
+    Z and M are dropped. Hidden columns keep what the run statistics need. Texts that were ``cleaned`` already are left.
     """
     facts = F.col("_facts")
-    looked = sp.geographic_2d(clean_whitespace(df).withColumn(REPROJECTED, sp.needs_reprojection(df)), "_facts")
+    texts = df if cleaned else clean_whitespace(df)
+    looked = sp.geographic_2d(texts.withColumn(REPROJECTED, sp.needs_reprojection(df)), "_facts")
     return looked.withColumns(
         {
             **sp.metric_values(facts),
@@ -138,9 +139,14 @@ def mandatory_treatments(df: DataFrame) -> DataFrame:
 
 
 def prepare_input(df: DataFrame, profile: Profile) -> DataFrame:
-    """Normalised names, legacy aliases, clean text, coerced types; raises on schema errors."""
+    """Normalised names, legacy aliases, clean text, coerced types; raises on schema errors.
+
+    The clean rows are written with their place: schema tests and the range partitioning then read stored columns,
+    and what the input computes itself is computed once.
+    """
     expected = set(profile.schema.columns) if profile.schema else None
     df = clean_whitespace(sc.apply_legacy_aliases(sc.normalize_columns(df), expected))
+    df = stage(df.withColumn(READ_ORDER, F.monotonically_increasing_id()))
     if profile.schema is None:
         return df
     conformed = sc.conform(df, profile.schema)
@@ -157,7 +163,7 @@ def treat(
     """Treat a feature table by a rule profile.
 
     ``order_by`` names the input columns (before renaming) whose order the ids
-    follow. Raw rows are put in order first; everything row-local then runs once on its way
+    follow. Clean rows are written and put in order first; everything else row-local then runs once on its way
     to the staged table which also fixes the ids. What depends on all rows (which derived columns
     changed, whether the layer is measurable, the statistics of the run) is observed during that write, so the
     table is not read again for it. Post-processing joins end in a second staged table, so that
@@ -171,12 +177,13 @@ def treat(
     seen = Observation()
 
     def row_local(rows: DataFrame) -> DataFrame:
-        done = sp.repair_geometries(apply_column_functions(mandatory_treatments(rows), profile.functions, ctx))
+        done = sp.repair_geometries(apply_column_functions(mandatory_treatments(rows, cleaned=True), profile.functions, ctx))
         tests = {
             "rows": F.count(F.lit(1)),
             "forced_to_2d": F.count_if(F.col(DIMS) > 2),
             "reprojected_to_wgs84": F.count_if(REPROJECTED),
             "measurable": F.coalesce(F.bool_or(MEASURABLE), F.lit(False)),
+            "unmeasured": F.count_if(sp.lacks_metrics(done)),
             **sc.change_tests(ctx.derived),
         }
         return done.observe(seen, *[test.alias(name) for name, test in tests.items()])
@@ -195,7 +202,9 @@ def treat(
     check_postprocess(profile.postprocess, ctx)
 
     def finish() -> DataFrame:
-        done = sp.fill_missing_metrics(apply_postprocess(final, profile.postprocess, ctx)).drop("__clip")
+        done = apply_postprocess(final, profile.postprocess, ctx).drop("__clip")
+        if found["unmeasured"] or not METRICS_KEPT.issuperset(profile.postprocess):
+            done = sp.fill_missing_metrics(done)
         return stage(done) if profile.postprocess else done
 
     return TreatmentResult(ctx, profile, treated, stats, finish, region)

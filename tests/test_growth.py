@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 
 from talweg.functions import geometry as g
 from talweg.functions import shapes as sh
+from talweg.operators import spatial as sp
+from talweg.operators import spatial_join as sj
 from talweg.operators.dictionary import attribute_types
 from talweg.operators.fuzzy import candidate_pairs
 from talweg.operators.mining import generate_domain
 from talweg.operators.scale import stage
-from talweg.plans.treatment import mandatory_treatments
+from talweg.plans.treatment import mandatory_treatments, treat
+from talweg.sources.rules import rule_tables
 
 
 def plan(df):
@@ -87,3 +90,43 @@ def test_equal_geometries_of_a_batch_are_checked_once(monkeypatch):
     monkeypatch.setattr(g.validity, "ogc_errors", lambda *row: looked.append(row) or plain(*row))
     assert g._errors(pa.array(rows, pa.binary()), pa.array(crs), pa.array(geographic)).to_pylist() == wanted
     assert wanted[1] == wanted[7] == [] and len(looked) == len(set(looked)) == 5
+
+
+def test_a_treatment_computes_its_input_once(spark):
+    """Schema tests, sampling and the shuffle of the order each computed it again."""
+    looked = spark.sparkContext.accumulator(0)
+
+    def counted(x: pa.Array) -> pa.Array:
+        looked.add(len(x))
+        return sh.write_points(np.asarray(x.cast(pa.float64())), np.zeros(len(x)))
+
+    layer = spark.range(200).select(F.col("id").alias("k"), F.arrow_udf(counted, "binary")("id").alias("geometry"), F.lit(4674).alias("srid"))
+    rules = rule_tables(spark.createDataFrame([("p", "profile.json", '{"profile_name": "p"}')], "profile string, component string, body string"))
+    result = treat(layer, rules, "p", ["k"])
+    assert result.data.count() == 200 and looked.value == 200
+    assert "ArrowEvalPython" not in plan(result.data)  # no row lacks a metric
+
+
+def test_a_clip_takes_one_python_function(spark):
+    layer = stage(spark.range(3).select(g.make_point(F.col("id") - 45.0, F.col("id") * 1.0).alias("geometry"), F.lit(0.5).alias("acm_long")))
+    assert plan(sp.clip_to_states(layer, "ma")).count("ArrowEvalPython") == 1
+
+
+def test_features_in_one_cell_find_their_region_there(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    corners = np.array([[0, 0], [8, 0], [8, 2.5], [2.5, 2.5], [2.5, 7], [0, 7], [0, 0.0]])
+    shapes = [sh.write_tree(sh.POLYGON, [corners]), g.box_wkb(1.25, 1.25, 7.5, 9), g.box_wkb(-9, -9, -1, 1), g.box_wkb(6.3, 6.1, 6.4, 6.2), g.box_wkb(-30, -30, 30, -8)]
+    codes = ["3", "2", None, "1", "4"]
+    schema = "cd_mun string, nm_mun string, cd_uf string, geometry binary"
+    regions = spark.createDataFrame([(c, f"n{i}", None, w) for i, (c, w) in enumerate(zip(codes, shapes))], schema)
+    at = rng.uniform(-12, 12, (600, 2)).round(1)
+    sizes = rng.choice([0.01, 0.3, 5.0], (600, 2))
+    features = [g.point_wkb(x, y) if i % 2 else g.box_wkb(x, y, x + w, y + h) for i, ((x, y), (w, h)) in enumerate(zip(at, sizes))]
+    features += [None, sh.write_tree(sh.POLYGON, []), g.point_wkb(float("nan"), 1.0), g.point_wkb(2.5, 2.5), g.point_wkb(0, 0), g.box_wkb(-40, -40, 40, 40)]
+    layer = spark.createDataFrame(list(enumerate(features)), "id int, geometry binary")
+    columns = ["id", "acm_cod_munici", "acm_municipio", "acm_uf"]
+    wanted = sj.assign_regions(layer, regions, "id", broadcast_cells=0).select(columns).orderBy("id").collect()
+    paired, plain = [], sj._touching_tiles
+    monkeypatch.setattr(sj, "_touching_tiles", lambda rows, *rest: paired.append(rows.count()) or plain(rows, *rest))
+    assert sj.assign_regions(layer, regions, "id").select(columns).orderBy("id").collect() == wanted
+    assert paired[0] < 0.7 * len(features) and len({r.acm_municipio for r in wanted}) == 5  # a region without code counts as none
