@@ -195,9 +195,15 @@ def repair_title(value: Column) -> Column:
     ).otherwise(value)
 
 
-def canonical_domain_text(value: Column) -> Column:
-    dashed = F.replace(strip(value), F.lit(BROKEN_DASH), F.lit("-"))
-    return F.coalesce(collapse(F.replace(dashed, F.lit(" ? "), F.lit(" - "))), F.lit(""))
+def canonical_domain_text(
+    value: Column, ends: Callable[[Column], Column] = strip, runs: Callable[[Column], Column] = collapse
+) -> Column:
+    """Text with hyphens for broken dashes and lone question marks, and white space collapsed; null gives ''.
+
+    ``ends`` trims before the dashes are looked for, ``runs`` collapses afterwards.
+    """
+    dashed = F.replace(ends(value), F.lit(BROKEN_DASH), F.lit("-"))
+    return F.coalesce(runs(F.replace(dashed, F.lit(" ? "), F.lit(" - "))), F.lit(""))
 
 
 # Phrases and prepositions an alias stem leaves out.
